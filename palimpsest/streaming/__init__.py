@@ -1,0 +1 @@
+"""Empty on purpose: dumps are finished files, and no operator here works on a stream."""
