@@ -76,13 +76,13 @@ def metadata_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def revdocs_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Scratch(spark).path("jsonbz2")
-    sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, CHECK_FILES)
+    sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, CHECK_FILES, row_id="id")
     return samples.printable(read_revdocs(spark, path))
 
 
 def revdocs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Scratch(spark).path("jsonbz2")
-    sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, CHECK_FILES)
+    sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, CHECK_FILES, row_id="id")
     register_fulltext(spark, "check_revdocs", path)
     return samples.printable(spark.table("check_revdocs"))
 
@@ -96,7 +96,7 @@ def xml_flatten_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 def xml_flatten_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     samples.write_xml(spark, sf_dir, scratch.path("xmlbz2"))
-    return samples.printable(read_revisions(spark, scratch.path("xmlbz2"), scratch))
+    return samples.printable(read_revisions(spark, scratch.path("xmlbz2"), scratch).drop("seq"))
 
 
 def page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +105,7 @@ def page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.when(F.col("page_id") % 3 == 0, F.lit(0)).otherwise(F.col("page_id"))
     minute = F.format_string("2015-01-%02dT%02d:00:00Z", 1 + F.col("page_id") % 28, F.col("id") % 24)
     revdocs = samples.revdocs(spark, sf_dir).withColumns({"timestamp": minute, "page_id": page})
-    sinks.write_revdocs(revdocs, path, CHECK_FILES)
+    sinks.write_revdocs(revdocs, path, CHECK_FILES, row_id="id")
     return files_per_page(read_revdocs(spark, path))
 
 
@@ -272,7 +272,7 @@ def dump_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Scratch(spark).path("jsonbz2")
-    sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, CHECK_FILES)
+    sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, CHECK_FILES, row_id="id")
     register_fulltext(spark, "check_steps", path)
     statements = [
         "REFRESH TABLE IDENTIFIER(:revdocs)",
@@ -291,7 +291,7 @@ def guarded_write(spark: SparkSession, sf_dir: str) -> DataFrame:
         output = scratch.path("jsonbz2")
         rows = revdocs.withColumn("comment", F.concat(F.lit(f"attempt {attempt} of "), F.col("id").cast("string")))
         outcome = sinks.write_guarded(
-            spark, lambda: sinks.write_revdocs(rows, output, CHECK_FILES), output, force=force
+            spark, lambda: sinks.write_revdocs(rows, output, CHECK_FILES, row_id="id"), output, force=force
         )
         seen = scratch.keep(read_revdocs(spark, output).select("id", "comment"), f"seen{attempt}")
         results.append(seen.select(F.lit(attempt).alias("attempt"), F.lit(outcome).alias("outcome"), "id", "comment"))

@@ -9,15 +9,19 @@ ROW_BYTES = 256  # Rough size of a revision document without its text.
 SAMPLES_PER_SLICE = 1000
 
 
-def order_by_page(revdocs: DataFrame, files: int) -> DataFrame:
+def order_by_page(revdocs: DataFrame, files: int, row_id: str) -> DataFrame:
     """Spread revision documents over `files` partitions, sorted by page, timestamp and id in each.
 
     A page lies in one partition, unless it alone is more than the fair share of one. Such a page is cut into
     slices of consecutive time, one partition each, so that a page holding a third of everything is written by
     a third of the tasks. No two slices of a page overlap in time.
+
+    `row_id` is a number column that tells even copies of a row apart and stays the same when the rows are
+    read again; rows of one time are dealt out by it. Rows are read more than once, so they should come from
+    files: all reads but the last touch a few narrow columns only.
     """
     placed = revdocs.join(F.broadcast(hot_page_cuts(revdocs, files)), _same_page("page_id", "hot_page"), "left")
-    slices = F.coalesce(_slice(F.col("cuts"), _clock()), F.lit(0))
+    slices = F.coalesce(_slice(F.col("cuts"), _clock(), F.col(row_id)), F.lit(0))
     target = F.pmod(F.hash("page_id").cast("bigint") + slices, F.lit(files)).cast("int")
     return (
         placed.withColumn("target", target)
@@ -59,12 +63,12 @@ def _clock() -> Column:
     return F.coalesce(F.unix_seconds(F.try_to_timestamp("timestamp")), F.lit(0))
 
 
-def _slice(cuts: Column, clock: Column) -> Column:
+def _slice(cuts: Column, clock: Column, row_id: Column) -> Column:
     """The slice of a time. Rows of one time that spans several slices, such as copies of one revision, are
-    dealt out over those slices."""
+    dealt out over those slices; the number that does it must not change if a task is run again."""
     earlier = F.size(F.filter(cuts, lambda cut: cut < clock))
     equal = F.size(F.filter(cuts, lambda cut: cut == clock))
-    return F.when(cuts.isNotNull(), earlier + F.pmod(F.monotonically_increasing_id(), equal + 1))
+    return F.when(cuts.isNotNull(), earlier + F.pmod(row_id, equal + 1))
 
 
 def _same_page(left: str, right: str) -> Column:

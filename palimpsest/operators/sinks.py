@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from palimpsest import storage
 from palimpsest.operators.metadata import metadata
@@ -20,10 +21,25 @@ METADATA_COMPRESSIONS = ("snappy", "gzip")
 WRITTEN, SKIPPED = "written", "skipped"
 
 
-def write_revdocs(revdocs: DataFrame, path: str, files: int = REVDOC_FILES, compression: str = "bzip2") -> None:
-    """JSON lines in at most `files` files, each sorted by page and time (see `order_by_page`)."""
-    ordered = order_by_page(revdocs.select(*REVDOC.names), files)
-    ordered.write.mode("overwrite").option("compression", compression).json(path)
+def write_revdocs(
+    revdocs: DataFrame,
+    path: str,
+    files: int = REVDOC_FILES,
+    compression: str = "bzip2",
+    row_id: str | None = None,
+) -> None:
+    """JSON lines in at most `files` files, each sorted by page and time (see `order_by_page`).
+
+    Without a `row_id` the rows are first written to scratch storage, which numbers them. That also spares
+    computing them more than once if they come from more than a scan.
+    """
+    with storage.Scratch(revdocs.sparkSession) as scratch:
+        if row_id is None:
+            row_id = "row"
+            numbered = revdocs.select(*REVDOC.names, F.monotonically_increasing_id().alias(row_id))
+            revdocs = scratch.keep(numbered, "numbered")
+        ordered = order_by_page(revdocs, files, row_id).select(*REVDOC.names)
+        ordered.write.mode("overwrite").option("compression", compression).json(path)
 
 
 def write_metadata(

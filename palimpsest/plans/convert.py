@@ -34,8 +34,8 @@ def convert(
     def write() -> None:
         with storage.Scratch(spark) as scratch:
             if kind == "current":
-                # Placing pages looks at the rows more than once; parsing them again each time would cost more.
-                revdocs = scratch.keep(read_pages(spark, xml_path), "parsed")
+                numbered = read_pages(spark, xml_path).withColumn("seq", F.monotonically_increasing_id())
+                revdocs = scratch.keep(numbered, "parsed")
             else:
                 revdocs = read_revisions(spark, xml_path, scratch)
             if not allow_malformed:
@@ -44,9 +44,9 @@ def convert(
                 ).first()
                 if bad["n"]:
                     raise RuntimeError(f"{bad['n']} malformed revisions in {xml_path}, such as: {bad['example'][:500]}")
-            revdocs = revdocs.drop("malformed")
-            if converter is not None:
-                revdocs = revdocs.transform(converter)
-            sinks.write_revdocs(revdocs, json_path, files)
+            if converter is None:
+                sinks.write_revdocs(revdocs, json_path, files, row_id="seq")
+            else:
+                sinks.write_revdocs(revdocs.drop("malformed", "seq").transform(converter), json_path, files)
 
     return sinks.write_guarded(spark, write, json_path, input=xml_path, force=force, marker=marker)

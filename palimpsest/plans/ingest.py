@@ -24,18 +24,18 @@ def check_staged_files(
     exclude_multistream: bool = False,
     delete_unexpected: bool = False,
     marker: str = storage.SUCCESS_MARKER,
-) -> DataFrame:
+) -> dict[str, int]:
     """Compare the files below `dump.xml_path` with the manifest and mark the folder if all are right.
 
-    Returns the file statuses. Raises if the dump is not complete at its source, the manifest lists nothing,
+    Returns how many files are present and how many do not belong there. Raises if the dump is not complete at its source, the manifest lists nothing,
     a file cannot be read, or a file is missing or corrupt: staging those again and re-running goes on from
-    there. Files that do not belong are only reported by `audit.unexpected_files`, unless
-    `delete_unexpected` is set. A marker of an earlier run is taken away first.
+    there. Files that do not belong stay, unless `delete_unexpected` is set. A marker of an earlier run is taken away first.
     """
     manifest_path = manifest_path or f"{dump.path}/{dump.wiki}-{dump.day}-md5sums.txt"
     status_path = status_path or f"{dump.path}/status.html"
     require_valid_day(spark, dump.day)
     require_ready(spark, dump, status_path)
+    storage.make_folder(spark, dump.xml_path)
     storage.delete(spark, f"{dump.xml_path}/{marker}")
 
     with storage.Scratch(spark) as scratch:
@@ -49,8 +49,9 @@ def check_staged_files(
 
         if audit.any_error(statuses).first()["any_error"]:
             _fail("files that could not be checked", statuses.where(F.col("status") == audit.ERROR))
+        unexpected = scratch.keep(audit.unexpected_files(inventory(spark, dump.xml_path), manifest), "unexpected")
         if delete_unexpected:
-            for row in audit.unexpected_files(inventory(spark, dump.xml_path), manifest).toLocalIterator():
+            for row in unexpected.toLocalIterator():
                 storage.delete(spark, row["path"])
         pending = audit.pending_files(statuses)
         if not pending.isEmpty():
@@ -60,8 +61,7 @@ def check_staged_files(
         if not missing.isEmpty():
             _fail("files not verified", missing)
         storage.touch(spark, f"{dump.xml_path}/{marker}")
-        # One row per file of one dump, so the statuses outlive their scratch table as local rows.
-        return spark.createDataFrame(statuses.collect(), statuses.schema)
+        return {"present": verified.count(), "unexpected": unexpected.count()}
 
 
 def require_valid_day(spark: SparkSession, day: str) -> None:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.functions import hex_digest
@@ -18,7 +19,13 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
 
     Names that start with `_` or `.`, success markers among them, are hidden as in every Spark file source.
     """
-    return _listing(spark, path).select("path", F.col("_metadata.file_name").alias("filename"), "length")
+    listing = _listing(spark, path)
+    filled = listing.select("path", _filename().alias("filename"), "length")
+    # Scans leave out files of no bytes, so those are taken from the names that Spark listed for the scan.
+    names = [(unquote(name),) for name in listing.inputFiles()]
+    listed = spark.createDataFrame(names, "path string").select("path", _filename().alias("filename"))
+    empty = listed.join(filled, "filename", "left_anti").select("path", "filename", F.lit(0).cast("bigint").alias("length"))
+    return filled.unionByName(empty)
 
 
 def digests(
@@ -29,13 +36,13 @@ def digests(
     Files up to `whole_file_limit` bytes are hashed by the JVM as one value. A digest is sequential, so a
     longer file is one task that reads it in chunks, in constant memory whatever its size.
     """
-    columns = ["path", F.col("_metadata.file_name").alias("filename"), "length"]
-    listing = _listing(spark, path)
-    short = listing.where(F.col("length") <= whole_file_limit)
-    # Reading leaves out a file that fails; the join with the listing brings it back without a digest.
-    read = short.select("path", hex_digest(F.col("content"), algorithm).alias("digest"))
-    short = short.select(*columns).join(read, "path", "left")
-    long = listing.where(F.col("length") > whole_file_limit).select(*columns)
+    files = inventory(spark, path)
+    fits = F.col("length") <= whole_file_limit
+    # Reading leaves out a file that fails; the join with the inventory brings it back without a digest.
+    read = _listing(spark, path).where(fits).select("path", hex_digest(F.col("content"), algorithm).alias("digest"))
+    of_nothing = F.when(F.col("length") == 0, hex_digest(F.lit(b""), algorithm))
+    short = files.where(fits).join(read, "path", "left").withColumn("digest", F.coalesce("digest", of_nothing))
+    long = files.where(~fits)
     n_long = long.count()
     if n_long == 0:
         return short
@@ -50,6 +57,10 @@ def _listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("ignoreCorruptFiles", True).load(path)
 
 
+def _filename() -> Column:
+    return F.substring_index("path", "/", -1)
+
+
 def _chunked_hasher(algorithm: str):
     """Built as a closure so that executors need not have this package installed."""
     chunk_bytes = CHUNK_BYTES
@@ -66,7 +77,8 @@ def _chunked_hasher(algorithm: str):
                     store, name = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
                 else:
                     store, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-                with store.open_input_stream(name) as stream:
+                # The digest is of the file as it is; by default its name would decide on decompression.
+                with store.open_input_stream(name, compression=None) as stream:
                     while chunk := stream.read(chunk_bytes):
                         hasher.update(chunk)
             except OSError:

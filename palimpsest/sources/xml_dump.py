@@ -51,7 +51,8 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_revisions(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
-    """Revision documents of a dump with pages of any size, plus `malformed` (see `flatten`).
+    """Revision documents of a dump with pages of any size, plus `malformed` (see `flatten`) and `seq`, a
+    number of the row that stays the same when the result is read again.
 
     Only a page's first chunk names the page. Each task carries that header on to the chunks after it, and
     what it parsed is kept in `scratch`, so the dump is decompressed once and its text is not shuffled. Chunks
@@ -81,17 +82,19 @@ def read_revisions(spark: SparkSession, path: str, scratch: Scratch) -> DataFram
         tails.select("file", "block", F.last("page", ignorenulls=True).over(before).alias("page")), "carry_in"
     )
 
-    headless = parsed.where("headless").select("file", "block", *REVISION_COLUMNS, "malformed_revision")
+    headless = parsed.where("headless").select("file", "block", "seq", *REVISION_COLUMNS, "malformed_revision")
     rejoined = headless.join(carry_in, ["file", "block"], "left").select(
         *[F.col(f"page.{name}").alias(name) for name in PAGE_COLUMNS],
         *REVISION_COLUMNS,
+        "seq",
         "malformed_revision",
         F.col("page.malformed_page").alias("malformed_page"),
         F.col("page").isNull().alias("headless"),
     )
     complete = parsed.where("not headless").select(*rejoined.columns).unionByName(rejoined)
     orphan = F.when(F.col("headless"), F.concat(F.lit("no page before revision "), F.coalesce("id", F.lit(-1))))
-    return complete.select(*REVDOC.names, F.coalesce("malformed_revision", "malformed_page", orphan).alias("malformed"))
+    malformed = F.coalesce("malformed_revision", "malformed_page", orphan)
+    return complete.select(*REVDOC.names, malformed.alias("malformed"), "seq")
 
 
 def flatten(chunks: DataFrame, *keep: str, headless_column: bool = False) -> DataFrame:

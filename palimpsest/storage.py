@@ -25,6 +25,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _resolve(spark, path)
+    fs.mkdirs(target)
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Create an empty file, replacing one that is there."""
     fs, target = _resolve(spark, path)

@@ -1,0 +1,136 @@
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from palimpsest.sources import (
+    digests,
+    inventory,
+    manifest_entries,
+    manifest_pattern,
+    read_manifest,
+    read_revdocs,
+    ready_dumps,
+)
+from palimpsest.sources.inventory import _chunked_hasher
+
+A, B, C = ("a" * 32, "b" * 32, "c" * 32)
+HISTORY = "enwiki-20150923-pages-meta-history1.xml-p1p2.bz2"
+CURRENT = "enwiki-20150923-pages-articles.xml.bz2"
+MULTISTREAM = "enwiki-20150923-pages-articles-multistream.xml.bz2"
+LINES = [
+    f"{A}  {HISTORY}",
+    f"{B}  {HISTORY.replace('history1', 'history2')}",
+    f"{A}  frwiki-20150923-pages-meta-history1.xml.bz2",
+    f"{A}  enwiki-20150901-pages-meta-history1.xml.bz2",
+    f"{A} enwiki-20150923-pages-meta-history3.xml.bz2",
+    f"{A}  enwiki-20150923-pages-meta-history4.xml.7z",
+    f"{A}  enwiki-20150923-pages-articles-multistream-index.txt.bz2",
+    f"{A}  {CURRENT}",
+    f"{B}  {MULTISTREAM}",
+    f"noise {B}  {HISTORY}.torrent",
+    "not a line",
+    "",
+]
+
+
+@pytest.fixture
+def manifest_file(tmp_path):
+    path = tmp_path / "md5sums.txt"
+    path.write_text("\n".join(LINES))
+    return str(path)
+
+
+def entries(df):
+    return {r["filename"]: r["md5"] for r in df.collect()}
+
+
+def test_manifest_last_line_wins_and_search_is_unanchored(spark, manifest_file):
+    found = entries(read_manifest(spark, manifest_file, "enwiki", "20150923"))
+    assert found == {HISTORY: B, HISTORY.replace("history1", "history2"): B}
+
+
+def test_manifest_current_and_multistream(spark, manifest_file):
+    assert entries(read_manifest(spark, manifest_file, "enwiki", "20150923", "current")) == {CURRENT: A, MULTISTREAM: B}
+    single = read_manifest(spark, manifest_file, "enwiki", "20150923", "current", exclude_multistream=True)
+    assert entries(single) == {CURRENT: A}
+
+
+def test_manifest_without_match_is_empty(spark, manifest_file):
+    assert read_manifest(spark, manifest_file, "dewiki", "20150923").isEmpty()
+
+
+def test_manifest_unknown_type():
+    with pytest.raises(ValueError):
+        manifest_pattern("enwiki", "20150923", "all")
+
+
+def test_manifest_split_over_tasks_keeps_line_order(spark, tmp_path):
+    path = tmp_path / "md5sums.txt"
+    path.write_text("".join(f"{i:032d}  {HISTORY}\n" for i in range(20000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        df = read_manifest(spark, str(path), "enwiki", "20150923")
+        assert entries(df) == {HISTORY: f"{19999:032d}"}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_repeated_names_collapse_before_the_shuffle(spark):
+    lines = spark.range(10000).select(F.col("id").alias("line_no"), F.lit(f"{A}  {HISTORY}").alias("line"))
+    physical = manifest_entries(lines, manifest_pattern("enwiki", "20150923"))._jdf.queryExecution().executedPlan()
+    assert "partial_max_by" in physical.toString()
+
+
+def test_ready_dumps(spark, tmp_path):
+    for name, text in {
+        "enwiki-20150923": "<p>\nDump complete\n</p>",
+        "frwiki-20150923": "Dump in progress",
+        "zh_min_nanwiki-20150901": "x Dump complete",
+    }.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "status.html").write_text(text)
+    found = {tuple(r) for r in ready_dumps(spark, f"{tmp_path}/*/status.html").collect()}
+    assert found == {("enwiki", "20150923"), ("zh_min_nanwiki", "20150901")}
+
+
+@pytest.fixture
+def folder(tmp_path):
+    contents = {"a.bz2": b"a" * 10, "b.bz2": b"b" * 5000, "c d%20.bz2": b"c" * 6000, "empty.bz2": b""}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    (tmp_path / "_SUCCESS").write_bytes(b"")
+    return str(tmp_path), contents
+
+
+def test_inventory_hides_markers_and_reads_no_content(spark, folder):
+    path, contents = folder
+    df = inventory(spark, path)
+    assert {r["filename"]: r["length"] for r in df.collect()} == {n: len(c) for n, c in contents.items()}
+    assert "content" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("algorithm", ["md5", "sha1"])
+@pytest.mark.parametrize("limit", [1 << 26, 1000, 0])
+def test_digests_whole_and_chunked(spark, folder, algorithm, limit):
+    path, contents = folder
+    found = {r["filename"]: r["digest"] for r in digests(spark, path, algorithm, limit).collect()}
+    assert found == {n: hashlib.new(algorithm, c).hexdigest() for n, c in contents.items()}
+
+
+def test_unreadable_file_has_no_digest(spark, folder):
+    path, _ = folder
+    files = spark.createDataFrame(
+        [(f"file:{path}/a.bz2", "a.bz2", 10), (f"file:{path}/gone.bz2", "gone.bz2", 10)],
+        "path string, filename string, length bigint",
+    )
+    hashed = files.mapInPandas(
+        _chunked_hasher("md5"), "path string, filename string, length bigint, digest string"
+    ).collect()
+    assert {r["filename"]: r["digest"] is None for r in hashed} == {"a.bz2": False, "gone.bz2": True}
+
+
+def test_revdocs_reader_refuses_broken_json(spark, tmp_path):
+    (tmp_path / "part.json").write_text('{"id": 1, "text": "x"}\n{"id": \n')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        read_revdocs(spark, str(tmp_path)).collect()
