@@ -105,7 +105,7 @@ def page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.when(F.col("page_id") % 3 == 0, F.lit(0)).otherwise(F.col("page_id"))
     minute = F.format_string("2015-01-%02dT%02d:00:00Z", 1 + F.col("page_id") % 28, F.col("id") % 24)
     revdocs = samples.revdocs(spark, sf_dir).withColumns({"timestamp": minute, "page_id": page})
-    sinks.write_revdocs(revdocs, path, CHECK_FILES, row_id="id")
+    sinks.write_revdocs(revdocs, path, CHECK_FILES, row_id="id", slice_bytes=0)
     return files_per_page(read_revdocs(spark, path))
 
 

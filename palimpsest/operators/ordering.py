@@ -6,21 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROW_BYTES = 256  # Rough size of a revision document without its text.
+SLICE_BYTES = 64 * 1024 * 1024  # A page of less is never cut.
 SAMPLES_PER_SLICE = 1000
 
 
-def order_by_page(revdocs: DataFrame, files: int, row_id: str) -> DataFrame:
+def order_by_page(revdocs: DataFrame, files: int, row_id: str, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Spread revision documents over `files` partitions, sorted by page, timestamp and id in each.
 
-    A page lies in one partition, unless it alone is more than the fair share of one. Such a page is cut into
-    slices of consecutive time, one partition each, so that a page holding a third of everything is written by
-    a third of the tasks. No two slices of a page overlap in time.
+    A page lies in one partition, unless it alone is more than the fair share of one and than `slice_bytes`.
+    Such a page is cut into slices of consecutive time, one partition each, so that a page holding a third of
+    everything is written by a third of the tasks. No two slices of a page overlap in time.
 
     `row_id` is a number column that tells even copies of a row apart and stays the same when the rows are
     read again; rows of one time are dealt out by it. Rows are read more than once, so they should come from
     files: all reads but the last touch a few narrow columns only.
     """
-    placed = revdocs.join(F.broadcast(hot_page_cuts(revdocs, files)), _same_page("page_id", "hot_page"), "left")
+    cuts = F.broadcast(hot_page_cuts(revdocs, files, slice_bytes))
+    placed = revdocs.join(cuts, _same_page("page_id", "hot_page"), "left")
     slices = F.coalesce(_slice(F.col("cuts"), _clock(), F.col(row_id)), F.lit(0))
     target = F.pmod(F.hash("page_id").cast("bigint") + slices, F.lit(files)).cast("int")
     return (
@@ -31,16 +33,16 @@ def order_by_page(revdocs: DataFrame, files: int, row_id: str) -> DataFrame:
     )
 
 
-def hot_page_cuts(revdocs: DataFrame, files: int) -> DataFrame:
-    """`(hot_page, cuts)`: the times at which to cut every page that weighs more than one file's fair share.
+def hot_page_cuts(revdocs: DataFrame, files: int, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """`(hot_page, cuts)`: the times at which to cut every page that is too much for one file.
 
-    Fewer than `files` pages can, and together they get fewer than `2 * files` cuts, whatever the size of the
+    That takes more than a file's fair share. Fewer than `files` pages can, and together they get fewer than `2 * files` cuts, whatever the size of the
     data; that bounds the broadcast. The cuts are quantiles of a sample, as for a range partitioning: the
     sample decides where pages are cut, never which rows are kept.
     """
     weight = F.coalesce(F.col("bytes"), F.lit(0)) + ROW_BYTES
     pages = revdocs.groupBy("page_id").agg(F.sum(weight).alias("weight"), F.count("*").alias("n"))
-    share = revdocs.agg(F.sum(weight) / files).scalar()
+    share = revdocs.agg(F.greatest(F.sum(weight) / files, F.lit(float(slice_bytes)))).scalar()
     hot = pages.where(F.col("weight") > share).select(
         F.col("page_id").alias("hot_page"), "n", F.ceil(F.col("weight") / share).cast("int").alias("slices")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from palimpsest import storage
 from palimpsest.operators.metadata import metadata
-from palimpsest.operators.ordering import order_by_page
+from palimpsest.operators.ordering import SLICE_BYTES, order_by_page
 from palimpsest.schemas import REVDOC
 
 # How many files by default, and the compressions of the metadata.
@@ -27,6 +27,7 @@ def write_revdocs(
     files: int = REVDOC_FILES,
     compression: str = "bzip2",
     row_id: str | None = None,
+    slice_bytes: int = SLICE_BYTES,
 ) -> None:
     """JSON lines in at most `files` files, each sorted by page and time (see `order_by_page`).
 
@@ -38,7 +39,7 @@ def write_revdocs(
             row_id = "row"
             numbered = revdocs.select(*REVDOC.names, F.monotonically_increasing_id().alias(row_id))
             revdocs = scratch.keep(numbered, "numbered")
-        ordered = order_by_page(revdocs, files, row_id).select(*REVDOC.names)
+        ordered = order_by_page(revdocs, files, row_id, slice_bytes).select(*REVDOC.names)
         ordered.write.mode("overwrite").option("compression", compression).json(path)
 
 
