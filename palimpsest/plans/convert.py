@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from palimpsest import storage
 from palimpsest.operators import sinks
+from palimpsest.schemas import REVDOC
 from palimpsest.sources import read_pages, read_revisions
 
 Converter = Callable[[DataFrame], DataFrame]
@@ -24,11 +25,14 @@ def convert(
     allow_malformed: bool = False,
     force: bool = False,
     marker: str = storage.SUCCESS_MARKER,
+    also: Callable[[DataFrame], None] | None = None,
 ) -> str:
     """Read the marked XML folder and write sorted revision documents, unless that is done already.
 
     `converter` is applied to the revision documents on the way. Input that does not fit the format stops the
-    run before anything is written; with `allow_malformed` its rows are kept, with NULL fields.
+    run before anything is written; with `allow_malformed` its rows are kept, with NULL fields. `also` gets the
+    revision documents once they are written, while they are still at hand as columns; it is not called if
+    there was nothing to do.
     """
 
     def write() -> None:
@@ -44,9 +48,11 @@ def convert(
                 ).first()
                 if bad["n"]:
                     raise RuntimeError(f"{bad['n']} malformed revisions in {xml_path}, such as: {bad['example'][:500]}")
-            if converter is None:
-                sinks.write_revdocs(revdocs, json_path, files, row_id="seq")
-            else:
-                sinks.write_revdocs(revdocs.drop("malformed", "seq").transform(converter), json_path, files)
+            if converter is not None:
+                converted = revdocs.drop("malformed", "seq").transform(converter).select(*REVDOC.names)
+                revdocs = scratch.keep(converted.withColumn("seq", F.monotonically_increasing_id()), "converted")
+            sinks.write_revdocs(revdocs, json_path, files, row_id="seq")
+            if also is not None:
+                also(revdocs.select(*REVDOC.names))
 
     return sinks.write_guarded(spark, write, json_path, input=xml_path, force=force, marker=marker)

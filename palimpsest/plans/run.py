@@ -44,9 +44,13 @@ class Options:
 def run(spark: SparkSession, dump: Dump, options: Options = Options()) -> dict[str, str]:
     """Take a staged dump to its two tables. Returns what each stage that ran came to.
 
-    Stages hand over through files and markers only, so each can be run again on its own.
+    Stages hand over through files and markers, so each can be run again on its own. If XML is converted in
+    the same run, the metadata is taken from the parsed columns on the way, which spares decompressing and
+    parsing all of the full text again; the rows are the same.
     """
     outcome = {}
+    metadata_settings = (options.metadata_files, options.metadata_compression)
+    load_early = options.metadata_table and options.metadata_load
     if options.check_files:
         check_staged_files(
             spark,
@@ -71,6 +75,9 @@ def run(spark: SparkSession, dump: Dump, options: Options = Options()) -> dict[s
             allow_malformed=options.allow_malformed,
             force=options.force,
             marker=options.marker,
+            also=(lambda revdocs: sinks.write_metadata(revdocs, dump.metadata_path, *metadata_settings))
+            if load_early
+            else None,
         )
     if options.fulltext_table:
         register_fulltext(spark, dump.fulltext_table, dump.json_path)
@@ -79,8 +86,7 @@ def run(spark: SparkSession, dump: Dump, options: Options = Options()) -> dict[s
         register_metadata(spark, dump.metadata_table, dump.metadata_path)
         outcome["metadata_table"] = REGISTERED
     if options.metadata_load:
-        sinks.load_metadata(
-            spark, dump.fulltext_table, dump.metadata_table, options.metadata_files, options.metadata_compression
-        )
+        if not (load_early and outcome.get("convert_xml") == sinks.WRITTEN):
+            sinks.load_metadata(spark, dump.fulltext_table, dump.metadata_table, *metadata_settings)
         outcome["metadata_load"] = LOADED
     return outcome

@@ -9,7 +9,9 @@ from test_xml import HEAD, page, revision
 
 from palimpsest import storage
 from palimpsest.naming import Dump
+from palimpsest.operators import sinks
 from palimpsest.plans import Options, check_staged_files, convert, run
+from palimpsest.schemas import METADATA
 from palimpsest.sources import read_revdocs
 
 SMALL = Options(revdoc_files=2, metadata_files=2)
@@ -21,8 +23,8 @@ def time(minute):
 
 
 FILES = {
-    "1": HEAD + page(1, "One", revision(12, time(2)), revision(11, time(1))) + "</mediawiki>\n",
-    "2": HEAD + page(2, "Two", revision(21, time(1)), revision(22, time(5)), revision(23, time(3))) + "</mediawiki>\n",
+    "1": HEAD + page(1, "One", revision(12, time(2)), revision(11, time(1))) + "</export>\n",
+    "2": HEAD + page(2, "Two", revision(21, time(1)), revision(22, time(5)), revision(23, time(3))) + "</export>\n",
 }
 
 
@@ -72,6 +74,20 @@ def test_all_stages(spark, tmp_path, family, options):
     assert run(spark, dump, options)["convert_xml"] == "skipped"
 
 
+def test_metadata_is_the_same_from_columns_and_from_json(spark, dump, monkeypatch):
+    """The first run takes it from the parsed columns, the second, with nothing to convert, from the JSON table."""
+    load, loads = sinks.load_metadata, []
+    monkeypatch.setattr(sinks, "load_metadata", lambda *args: (loads.append(args), load(*args)))
+    run(spark, dump, SMALL)
+    assert not loads
+    early = spark.createDataFrame(spark.table("enwiki_20150923").collect(), METADATA)
+    run(spark, dump, SMALL)
+    assert len(loads) == 1
+    late = spark.table("enwiki_20150923")
+    assert late.count() == early.count() == 5
+    assert late.exceptAll(early).isEmpty()
+
+
 def test_each_stage_can_be_left_out(spark, dump):
     nothing = {"check_files", "convert_xml", "fulltext_table", "metadata_table", "metadata_load"}
     for stage_name in ("check_files", "convert_xml", "fulltext_table", "metadata_table", "metadata_load"):

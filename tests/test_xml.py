@@ -5,7 +5,7 @@ from palimpsest.schemas import REVDOC
 from palimpsest.sources import read_pages, read_revisions
 from palimpsest.storage import Scratch
 
-HEAD = "<mediawiki xml:lang='en'>\n  <siteinfo><sitename>S</sitename></siteinfo>\n"
+HEAD = "<export xml:lang='en'>\n  <siteinfo><sitename>S</sitename></siteinfo>\n"
 
 
 def revision(id, *elements, text='<text bytes="4">text</text>'):
@@ -44,7 +44,7 @@ DUMP = HEAD + "".join(
         page(4, "After an empty page", revision(41, text='<text bytes="4">null</text>'), revision(42, text="")),
         page(5, "Malformed", revision("five"), revision(52)),
     ]
-) + "</mediawiki>\n"
+) + "</export>\n"
 
 
 @pytest.fixture(params=["pages", "revisions"])
@@ -162,13 +162,13 @@ def large_dump(request, spark, tmp_path_factory):
         text,
         F.lit("</text></revision>"),
         F.when(last, "\n  </page>").otherwise(""),
-        F.when(k == per_file - 1, "\n</mediawiki>").otherwise(""),
+        F.when(k == per_file - 1, "\n</export>").otherwise(""),
     )
     rows.select(xml).write.option("compression", request.param).text(path)
     return path, rows.select("id", "page_id")
 
 
-@pytest.mark.parametrize("split", ["70k", "150k", "333k", "5m"])
+@pytest.mark.parametrize("split", ["70k", "333k", "5m"])
 @pytest.mark.parametrize("grain", ["pages", "revisions"])
 def test_no_split_loses_doubles_or_misplaces_a_revision(spark, large_dump, split, grain):
     path, expected = large_dump
