@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.storage import Scratch
+
 ROW_BYTES = 256  # Rough size of a revision document without its text.
 SLICE_BYTES = 64 * 1024 * 1024  # A page of less is never cut.
 SAMPLES_PER_SLICE = 1000
 
 
-def order_by_page(revdocs: DataFrame, files: int, row_id: str, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+def order_by_page(
+    revdocs: DataFrame, files: int, row_id: str, scratch: Scratch, slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """Spread revision documents over `files` partitions, sorted by page, timestamp and id in each.
 
     A page lies in one partition, unless it alone is more than the fair share of one and than `slice_bytes`.
@@ -19,46 +23,57 @@ def order_by_page(revdocs: DataFrame, files: int, row_id: str, slice_bytes: int
 
     `row_id` is a number column that tells even copies of a row apart and stays the same when the rows are
     read again; rows of one time are dealt out by it. Rows are read more than once, so they should come from
-    files: all reads but the last touch a few narrow columns only.
+    files: all reads but the last touch a few narrow columns only. What they find goes to `scratch`.
     """
-    cuts = F.broadcast(hot_page_cuts(revdocs, files, slice_bytes))
-    placed = revdocs.join(cuts, _same_page("page_id", "hot_page"), "left")
-    slices = F.coalesce(_slice(F.col("cuts"), _clock(), F.col(row_id)), F.lit(0))
-    target = F.pmod(F.hash("page_id").cast("bigint") + slices, F.lit(files)).cast("int")
+    target = F.hash("page_id").cast("bigint")
+    placed = revdocs
+    cuts = hot_page_cuts(revdocs, files, scratch, slice_bytes)
+    if cuts is not None:
+        # Bounded by the number of files, see there.
+        placed = revdocs.join(F.broadcast(cuts), _same_page("page_id", "hot_page"), "left")
+        target += F.coalesce(_slice(F.col("cuts"), _clock(), F.col(row_id)), F.lit(0))
     return (
-        placed.withColumn("target", target)
+        placed.withColumn("target", F.pmod(target, F.lit(files)).cast("int"))
         .repartitionById(files, "target")
         .sortWithinPartitions("page_id", "timestamp", "id")
         .select(*revdocs.columns)
     )
 
 
-def hot_page_cuts(revdocs: DataFrame, files: int, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """`(hot_page, cuts)`: the times at which to cut every page that is too much for one file.
+def hot_page_cuts(revdocs: DataFrame, files: int, scratch: Scratch, slice_bytes: int = SLICE_BYTES) -> DataFrame | None:
+    """`(hot_page, cuts)`: the times at which to cut every page that is too much for one file; None if no page is.
 
-    That takes more than a file's fair share. Fewer than `files` pages can, and together they get fewer than `2 * files` cuts, whatever the size of the
-    data; that bounds the broadcast. The cuts are quantiles of a sample, as for a range partitioning: the
-    sample decides where pages are cut, never which rows are kept.
+    Such a page weighs more than a file's fair share. Fewer than `files` pages can, and together they get fewer
+    than `2 * files` cuts, whatever the size of the data. The cuts are quantiles of a sample, as for a range
+    partitioning: the sample decides where pages are cut, never which rows are kept. Each step is written
+    before the next one, so no broadcast waits for a scan of everything.
     """
     weight = F.coalesce(F.col("bytes"), F.lit(0)) + ROW_BYTES
-    pages = revdocs.groupBy("page_id").agg(F.sum(weight).alias("weight"), F.count("*").alias("n"))
-    share = revdocs.agg(F.greatest(F.sum(weight) / files, F.lit(float(slice_bytes)))).scalar()
-    hot = pages.where(F.col("weight") > share).select(
-        F.col("page_id").alias("hot_page"), "n", F.ceil(F.col("weight") / share).cast("int").alias("slices")
+    total = revdocs.agg(F.sum(weight)).first()[0] or 0
+    share = max(total / files, slice_bytes)
+    if total <= share:
+        return None
+    hot = scratch.keep(
+        revdocs.groupBy("page_id")
+        .agg(F.sum(weight).alias("weight"), F.count("*").alias("n"))
+        .where(F.col("weight") > share)
+        .select(F.col("page_id").alias("hot_page"), "n", F.ceil(F.col("weight") / share).cast("int").alias("slices")),
+        "hot_pages",
     )
-    rate = SAMPLES_PER_SLICE * F.col("slices") / F.col("n")
+    if hot.isEmpty():
+        return None
     sample = (
         revdocs.select("page_id", _clock().alias("clock"))
         .join(F.broadcast(hot), _same_page("page_id", "hot_page"))
-        .where(F.rand(7) < rate)
+        .where(F.rand(7) < SAMPLES_PER_SLICE * F.col("slices") / F.col("n"))
     )
     # The number of quantiles has to be a constant: take fine ones and keep every so many.
     fine = max(2 * files, 200)
-    quantiles = F.percentile_approx("clock", [i / fine for i in range(1, fine)])
-    return sample.groupBy("hot_page", "slices").agg(quantiles.alias("fine")).select(
-        "hot_page",
-        F.expr(f"transform(sequence(1, slices - 1), i -> fine[cast(i * {fine}L div slices as int) - 1])").alias("cuts"),
-    )
+    steps = ", ".join(f"{i / fine}D" for i in range(1, fine))
+    quantiles = F.expr(f"percentile_approx(clock, array({steps}))")
+    kept = F.expr(f"transform(sequence(1, slices - 1), i -> fine[cast(i * {fine}L div slices as int) - 1])")
+    cuts = sample.groupBy("hot_page", "slices").agg(quantiles.alias("fine")).select("hot_page", kept.alias("cuts"))
+    return scratch.keep(cuts, "cuts")
 
 
 def _clock() -> Column:

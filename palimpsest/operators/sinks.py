@@ -39,7 +39,7 @@ def write_revdocs(
             row_id = "row"
             numbered = revdocs.select(*REVDOC.names, F.monotonically_increasing_id().alias(row_id))
             revdocs = scratch.keep(numbered, "numbered")
-        ordered = order_by_page(revdocs, files, row_id, slice_bytes).select(*REVDOC.names)
+        ordered = order_by_page(revdocs, files, row_id, scratch, slice_bytes).select(*REVDOC.names)
         ordered.write.mode("overwrite").option("compression", compression).json(path)
 
 

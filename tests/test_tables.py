@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from palimpsest import storage
 from palimpsest.operators import sinks
 from palimpsest.operators.metadata import metadata, project_metadata
-from palimpsest.operators.ordering import hot_page_cuts, order_by_page
+from palimpsest.operators.ordering import SLICE_BYTES, hot_page_cuts, order_by_page
 from palimpsest.schemas import METADATA, REVDOC
 from palimpsest.sources import read_metadata, read_revdocs, register_fulltext, register_metadata
 
@@ -24,6 +24,12 @@ def numbered(spark, n, page, minutes="id", partitions=8):
     )
 
 
+@pytest.fixture
+def scratch(spark):
+    with storage.Scratch(spark) as opened:
+        yield opened
+
+
 @pytest.fixture(scope="module")
 def json_revdocs(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("json") / "rows")
@@ -43,21 +49,21 @@ def pieces(df):
     return found
 
 
-def test_pages_stay_whole_and_sorted(spark):
-    found = pieces(order_by_page(numbered(spark, 5000, "id % 400", "5000 - id"), 8, "row"))
+def test_pages_stay_whole_and_sorted(spark, scratch):
+    found = pieces(order_by_page(numbered(spark, 5000, "id % 400", "5000 - id"), 8, "row", scratch))
     assert len(found) == 400
     assert sum(n for _, _, n in found.values()) == 5000
 
 
-def test_partitions_are_never_more_than_files(spark):
-    assert order_by_page(numbered(spark, 1000, "id % 100"), 3, "row").rdd.getNumPartitions() == 3
-    assert len(pieces(order_by_page(numbered(spark, 1000, "id % 100"), 1, "row"))) == 100
+def test_partitions_are_never_more_than_files(spark, scratch):
+    assert order_by_page(numbered(spark, 1000, "id % 100"), 3, "row", scratch).rdd.getNumPartitions() == 3
+    assert len(pieces(order_by_page(numbered(spark, 1000, "id % 100"), 1, "row", scratch))) == 100
 
 
-def test_hot_page_is_cut_into_slices_of_time(spark):
+def test_hot_page_is_cut_into_slices_of_time(spark, scratch):
     """A third of all rows belong to one page; no partition gets much more than its share of them."""
     df = numbered(spark, 30_000, "CASE WHEN id % 3 = 0 THEN 7 ELSE 1000 + id % 900 END", "id * 7919 % 30000")
-    found = pieces(order_by_page(df, 16, "row", slice_bytes=0))
+    found = pieces(order_by_page(df, 16, "row", scratch, slice_bytes=0))
     hot = sorted(piece for (page, _), piece in found.items() if page == 7)
     assert sum(n for _, _, n in hot) == 10_000
     assert 5 <= len(hot) <= 7
@@ -67,49 +73,48 @@ def test_hot_page_is_cut_into_slices_of_time(spark):
 
 
 def test_light_pages_are_not_cut_however_few_there_are(spark):
-    assert len(pieces(order_by_page(numbered(spark, 1000, "1"), 8, "row"))) == 1
-    assert len(pieces(order_by_page(numbered(spark, 1000, "1"), 8, "row", slice_bytes=0))) == 8
     weight = 1000 * (100 + 256)
-    assert len(pieces(order_by_page(numbered(spark, 1000, "1"), 8, "row", slice_bytes=weight // 3 + 1))) == 3
+    for slice_bytes, slices in ((SLICE_BYTES, 1), (0, 8), (weight // 3 + 1, 3)):
+        with storage.Scratch(spark) as scratch:
+            ordered = order_by_page(numbered(spark, 1000, "1"), 8, "row", scratch, slice_bytes)
+            assert len(pieces(ordered)) == slices
 
 
-def test_copies_of_one_revision_are_dealt_out(spark):
+def test_copies_of_one_revision_are_dealt_out(spark, scratch):
     df = numbered(spark, 30_000, "CASE WHEN id % 3 = 0 THEN 7 ELSE 1000 + id % 900 END", "CASE WHEN id % 3 = 0 THEN 5 ELSE id END")
     df = df.withColumn("id", F.when(F.col("page_id") == 7, 0).otherwise(F.col("id")))
-    hot = [piece for (page, _), piece in pieces(order_by_page(df, 16, "row", slice_bytes=0)).items() if page == 7]
+    hot = [piece for (page, _), piece in pieces(order_by_page(df, 16, "row", scratch, slice_bytes=0)).items() if page == 7]
     assert sum(n for _, _, n in hot) == 10_000
     assert len(hot) >= 5
     assert max(n for _, _, n in hot) < 2 * 30_000 / 16
 
 
-def test_rows_without_page_or_time_are_kept(spark):
+def test_rows_without_page_or_time_are_kept(spark, scratch):
     df = numbered(spark, 3000, "CASE WHEN id % 2 = 0 THEN NULL ELSE id % 50 END").withColumn(
         "timestamp", F.when(F.col("id") % 5 == 0, F.lit("not a time")).otherwise(F.col("timestamp"))
     )
-    ordered = order_by_page(df, 8, "row", slice_bytes=0)
+    ordered = order_by_page(df, 8, "row", scratch, slice_bytes=0)
     assert ordered.exceptAll(df).isEmpty()
     assert ordered.count() == 3000
     assert ordered.where("page_id IS NULL").select(F.spark_partition_id()).distinct().count() > 1
 
 
-def test_cuts_are_bounded(spark):
+def test_cuts_are_bounded(spark, scratch):
     """Ten pages share everything; with four files none is hot, with forty each gets cut in four."""
     df = numbered(spark, 4000, "id % 10")
-    assert hot_page_cuts(df, 4, 0).isEmpty()
-    cuts = {r["hot_page"]: r["cuts"] for r in hot_page_cuts(df, 40, 0).collect()}
+    assert hot_page_cuts(df, 4, storage.Scratch(spark), 0) is None
+    cuts = {r["hot_page"]: r["cuts"] for r in hot_page_cuts(df, 40, scratch, 0).collect()}
     assert len(cuts) == 10
     assert sum(map(len, cuts.values())) < 2 * 40
 
 
-def test_ordering_shuffles_rows_once(spark, tmp_path):
+@pytest.mark.parametrize("slice_bytes", [0, 1 << 26])
+def test_ordering_shuffles_rows_once(spark, tmp_path, scratch, slice_bytes):
     numbered(spark, 1000, "id % 10").write.parquet(str(tmp_path / "rows"))
-    physical = plan(order_by_page(spark.read.parquet(str(tmp_path / "rows")), 8, "row"))
-    main = physical[: physical.index("BroadcastExchange")]
-    assert main.count("Exchange") == 1 and "shufflepartitionidpassthrough" in main
-    # Deciding on the cuts reads no text.
-    assert physical.count("text") == main.count("text") + physical[physical.index("BroadcastExchange") :].count("text")
-    scans = [line for line in physical.splitlines() if "ReadSchema" in line]
-    assert len([line for line in scans if "text:" in line.split("ReadSchema")[1]]) <= 1
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    physical = plan(order_by_page(rows, 40, "row", scratch, slice_bytes))
+    assert physical.count(" Exchange") == 1 and "shufflepartitionidpassthrough" in physical
+    assert physical.count("BroadcastExchange") == (1 if slice_bytes == 0 else 0)
 
 
 def test_metadata_schema_and_order(spark):
