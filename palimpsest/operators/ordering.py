@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.storage import Scratch
 
 ROW_BYTES = 256  # Rough size of a revision document without its text.
+FILE_BYTES = 1024 * 1024 * 1024  # Text per file if the number of files is left open.
 SLICE_BYTES = 64 * 1024 * 1024  # A page of less is never cut.
 SAMPLES_PER_SLICE = 1000
 
 
 def order_by_page(
-    revdocs: DataFrame, files: int, row_id: str, scratch: Scratch, slice_bytes: int = SLICE_BYTES
+    revdocs: DataFrame, files: int | None, row_id: str, scratch: Scratch, slice_bytes: int = SLICE_BYTES
 ) -> DataFrame:
     """Spread revision documents over `files` partitions, sorted by page, timestamp and id in each.
 
+    With `files` None there are as many as it takes to give each about `FILE_BYTES`.
+
     A page lies in one partition, unless it alone is more than the fair share of one and than `slice_bytes`.
     Such a page is cut into slices of consecutive time, one partition each, so that a page holding a third of
     everything is written by a third of the tasks. No two slices of a page overlap in time.
@@ -25,9 +30,13 @@ def order_by_page(
     read again; rows of one time are dealt out by it. Rows are read more than once, so they should come from
     files: all reads but the last touch a few narrow columns only. What they find goes to `scratch`.
     """
+    total = revdocs.agg(F.sum(_weight())).first()[0] or 0
+    if files is None:
+        files = max(1, math.ceil(total / FILE_BYTES))
+    share = max(total / files, slice_bytes)
     target = F.hash("page_id").cast("bigint")
     placed = revdocs
-    cuts = hot_page_cuts(revdocs, files, scratch, slice_bytes)
+    cuts = hot_page_cuts(revdocs, share, files, scratch) if total > share else None
     if cuts is not None:
         # Bounded by the number of files, see there.
         placed = revdocs.join(F.broadcast(cuts), _same_page("page_id", "hot_page"), "left")
@@ -40,22 +49,17 @@ def order_by_page(
     )
 
 
-def hot_page_cuts(revdocs: DataFrame, files: int, scratch: Scratch, slice_bytes: int = SLICE_BYTES) -> DataFrame | None:
-    """`(hot_page, cuts)`: the times at which to cut every page that is too much for one file; None if no page is.
+def hot_page_cuts(revdocs: DataFrame, share: float, files: int, scratch: Scratch) -> DataFrame | None:
+    """`(hot_page, cuts)`: the times at which to cut every page that weighs more than `share`; None if no page does.
 
-    Such a page weighs more than a file's fair share. Fewer than `files` pages can, and together they get fewer
-    than `2 * files` cuts, whatever the size of the data. The cuts are quantiles of a sample, as for a range
+    `share` is a `files`-th of the total or more, so fewer than `files` pages weigh more, and together they get
+    fewer than `2 * files` cuts, whatever the size of the data. The cuts are quantiles of a sample, as for a range
     partitioning: the sample decides where pages are cut, never which rows are kept. Each step is written
     before the next one, so no broadcast waits for a scan of everything.
     """
-    weight = F.coalesce(F.col("bytes"), F.lit(0)) + ROW_BYTES
-    total = revdocs.agg(F.sum(weight)).first()[0] or 0
-    share = max(total / files, slice_bytes)
-    if total <= share:
-        return None
     hot = scratch.keep(
         revdocs.groupBy("page_id")
-        .agg(F.sum(weight).alias("weight"), F.count("*").alias("n"))
+        .agg(F.sum(_weight()).alias("weight"), F.count("*").alias("n"))
         .where(F.col("weight") > share)
         .select(F.col("page_id").alias("hot_page"), "n", F.ceil(F.col("weight") / share).cast("int").alias("slices")),
         "hot_pages",
@@ -76,6 +80,10 @@ def hot_page_cuts(revdocs: DataFrame, files: int, scratch: Scratch, slice_bytes:
     return scratch.keep(cuts, "cuts")
 
 
+def _weight() -> Column:
+    return F.coalesce(F.col("bytes"), F.lit(0)) + ROW_BYTES
+
+
 def _clock() -> Column:
     return F.coalesce(F.unix_seconds(F.try_to_timestamp("timestamp")), F.lit(0))
 

@@ -24,12 +24,12 @@ WRITTEN, SKIPPED = "written", "skipped"
 def write_revdocs(
     revdocs: DataFrame,
     path: str,
-    files: int = REVDOC_FILES,
+    files: int | None = REVDOC_FILES,
     compression: str = "bzip2",
     row_id: str | None = None,
     slice_bytes: int = SLICE_BYTES,
 ) -> None:
-    """JSON lines in at most `files` files, each sorted by page and time (see `order_by_page`).
+    """JSON lines in at most `files` files, each sorted by page and time (see `order_by_page`, also for None).
 
     Without a `row_id` the rows are first written to scratch storage, which numbers them. That also spares
     computing them more than once if they come from more than a scan.

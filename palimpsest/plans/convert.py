@@ -20,7 +20,7 @@ def convert(
     xml_path: str,
     json_path: str,
     kind: str = "history",
-    files: int = sinks.REVDOC_FILES,
+    files: int | None = sinks.REVDOC_FILES,
     converter: Converter | None = None,
     allow_malformed: bool = False,
     force: bool = False,

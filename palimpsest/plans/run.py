@@ -35,7 +35,7 @@ class Options:
     marker: str = storage.SUCCESS_MARKER
     converter: Converter | None = None
     allow_malformed: bool = False
-    revdoc_files: int = sinks.REVDOC_FILES
+    revdoc_files: int | None = sinks.REVDOC_FILES
     metadata_files: int | None = sinks.METADATA_FILES
     metadata_compression: str = "snappy"
     force: bool = False

@@ -80,6 +80,14 @@ def test_light_pages_are_not_cut_however_few_there_are(spark):
             assert len(pieces(ordered)) == slices
 
 
+def test_number_of_files_follows_the_bytes_if_left_open(spark):
+    df = numbered(spark, 1000, "id")
+    for each, partitions in ((100, 1), (10_000_000, 10)):
+        with storage.Scratch(spark) as scratch:
+            weighty = df.withColumn("bytes", F.lit(each).cast("bigint"))
+            assert order_by_page(weighty, None, "row", scratch).rdd.getNumPartitions() == partitions
+
+
 def test_copies_of_one_revision_are_dealt_out(spark, scratch):
     df = numbered(spark, 30_000, "CASE WHEN id % 3 = 0 THEN 7 ELSE 1000 + id % 900 END", "CASE WHEN id % 3 = 0 THEN 5 ELSE id END")
     df = df.withColumn("id", F.when(F.col("page_id") == 7, 0).otherwise(F.col("id")))
@@ -102,8 +110,9 @@ def test_rows_without_page_or_time_are_kept(spark, scratch):
 def test_cuts_are_bounded(spark, scratch):
     """Ten pages share everything; with four files none is hot, with forty each gets cut in four."""
     df = numbered(spark, 4000, "id % 10")
-    assert hot_page_cuts(df, 4, storage.Scratch(spark), 0) is None
-    cuts = {r["hot_page"]: r["cuts"] for r in hot_page_cuts(df, 40, scratch, 0).collect()}
+    total = 4000 * (100 + 256)
+    assert hot_page_cuts(df, total / 4, 4, storage.Scratch(spark)) is None
+    cuts = {r["hot_page"]: r["cuts"] for r in hot_page_cuts(df, total / 40, 40, scratch).collect()}
     assert len(cuts) == 10
     assert sum(map(len, cuts.values())) < 2 * 40
 
