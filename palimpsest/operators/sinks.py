@@ -92,11 +92,15 @@ def write_guarded(
     return WRITTEN
 
 
+def require_compression(compression: str) -> None:
+    if compression.lower() not in METADATA_COMPRESSIONS:
+        raise ValueError(f"unknown compression {compression!r}, expected one of {METADATA_COMPRESSIONS}")
+
+
 def _metadata_settings(spark: SparkSession, files: int | None, compression: str):
     """A number of files is a number of shuffle partitions: the distinct's own shuffle makes them, without a
     second one."""
-    if compression.lower() not in METADATA_COMPRESSIONS:
-        raise ValueError(f"unknown compression {compression!r}, expected one of {METADATA_COMPRESSIONS}")
+    require_compression(compression)
     settings = {"spark.sql.parquet.compression.codec": compression.lower()}
     if files is not None:
         settings["spark.sql.shuffle.partitions"] = str(files)

@@ -11,6 +11,7 @@ from palimpsest import storage
 from palimpsest.operators import sinks
 from palimpsest.schemas import REVDOC
 from palimpsest.sources import read_pages, read_revisions
+from palimpsest.sources.manifest import require_kind
 
 Converter = Callable[[DataFrame], DataFrame]
 
@@ -35,6 +36,8 @@ def convert(
     there was nothing to do.
     """
 
+    require_kind(kind)
+
     def write() -> None:
         with storage.Scratch(spark) as scratch:
             if kind == "current":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from palimpsest import storage
 from palimpsest.naming import Dump
@@ -12,6 +12,7 @@ from palimpsest.operators import sinks
 from palimpsest.plans.convert import Converter, convert
 from palimpsest.plans.ingest import check_staged_files
 from palimpsest.sources import register_fulltext, register_metadata
+from palimpsest.sources.manifest import require_kind
 
 CHECKED, REGISTERED, LOADED = "checked", "registered", "loaded"
 
@@ -38,7 +39,11 @@ class Options:
     revdoc_files: int | None = sinks.REVDOC_FILES
     metadata_files: int | None = sinks.METADATA_FILES
     metadata_compression: str = "snappy"
-    force: bool = False
+    force: bool = False  # Convert again even if the output is marked; staged files are never touched.
+
+    def __post_init__(self):
+        require_kind(self.kind)
+        sinks.require_compression(self.metadata_compression)
 
 
 def run(spark: SparkSession, dump: Dump, options: Options = Options()) -> dict[str, str]:
@@ -51,6 +56,10 @@ def run(spark: SparkSession, dump: Dump, options: Options = Options()) -> dict[s
     outcome = {}
     metadata_settings = (options.metadata_files, options.metadata_compression)
     load_early = options.metadata_table and options.metadata_load
+
+    def write_metadata(revdocs: DataFrame) -> None:
+        sinks.write_metadata(revdocs, dump.metadata_path, *metadata_settings)
+
     if options.check_files:
         check_staged_files(
             spark,
@@ -75,9 +84,7 @@ def run(spark: SparkSession, dump: Dump, options: Options = Options()) -> dict[s
             allow_malformed=options.allow_malformed,
             force=options.force,
             marker=options.marker,
-            also=(lambda revdocs: sinks.write_metadata(revdocs, dump.metadata_path, *metadata_settings))
-            if load_early
-            else None,
+            also=write_metadata if load_early else None,
         )
     if options.fulltext_table:
         register_fulltext(spark, dump.fulltext_table, dump.json_path)

@@ -14,9 +14,13 @@ MULTISTREAM = "-multistream"
 
 def manifest_pattern(wiki: str, day: str, kind: str = "history") -> str:
     """The pattern of the lines that list the files of one wiki, day and dump type."""
+    require_kind(kind)
+    return LINE_PATTERN.format(wiki=wiki, day=day, family=FILE_FAMILIES[kind])
+
+
+def require_kind(kind: str) -> None:
     if kind not in FILE_FAMILIES:
         raise ValueError(f"unknown dump type {kind!r}, expected one of {sorted(FILE_FAMILIES)}")
-    return LINE_PATTERN.format(wiki=wiki, day=day, family=FILE_FAMILIES[kind])
 
 
 def manifest_entries(

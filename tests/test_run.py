@@ -202,6 +202,15 @@ def test_own_marker_is_written_and_looked_for(spark, dump):
     assert not marker(dump).exists()
 
 
+def test_options_are_checked_before_anything_runs(spark, dump):
+    with pytest.raises(ValueError, match="unknown dump type"):
+        Options(kind="all")
+    with pytest.raises(ValueError, match="unknown compression"):
+        Options(metadata_compression="lzo")
+    with pytest.raises(ValueError, match="unknown dump type"):
+        convert(spark, dump.xml_path, dump.json_path, kind="all")
+
+
 def test_scratch_tables_are_gone_after_a_run(spark, dump):
     shared = Path(spark.conf.get("spark.checkpoint.dir"))
     before = set(shared.iterdir())
