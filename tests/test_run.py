@@ -5,11 +5,13 @@ import hashlib
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from test_xml import HEAD, page, revision
 
 from palimpsest import storage
 from palimpsest.naming import Dump
 from palimpsest.operators import sinks
+from palimpsest.plans import ingest
 from palimpsest.plans import Options, check_staged_files, convert, run
 from palimpsest.schemas import METADATA
 from palimpsest.sources import read_revdocs
@@ -136,6 +138,15 @@ def test_bad_files_stop_the_run_and_clear_the_marker(spark, dump, how):
     assert run(spark, dump, SMALL)["check_files"] == "checked"
 
 
+def test_unreadable_file_stops_the_run(spark, dump, monkeypatch):
+    read = ingest.digests
+    blind = F.when(F.col("filename").contains("history2"), None).otherwise(F.col("digest"))
+    monkeypatch.setattr(ingest, "digests", lambda *args: read(*args).withColumn("digest", blind))
+    with pytest.raises(RuntimeError, match="1 files that could not be checked: .*history2"):
+        check_staged_files(spark, dump)
+    assert not marker(dump).exists()
+
+
 def test_without_check_being_there_is_enough(spark, dump):
     spoil(dump, "corrupt")
     assert check_staged_files(spark, dump, check=False)["present"] == 2

@@ -187,6 +187,21 @@ def test_no_split_loses_doubles_or_misplaces_a_revision(spark, large_dump, split
         assert got.select("seq").distinct().count() == got.count()
 
 
+def test_carry_in_too_large_to_broadcast_is_joined_all_the_same(spark, large_dump):
+    path, expected = large_dump
+    settings = {"spark.sql.files.maxPartitionBytes": "150k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        read = read_revisions(spark, path, Scratch(spark))
+        assert "SortMergeJoin" in read._jdf.queryExecution().executedPlan().toString()
+        got = [tuple(r) for r in read.select("id", "page_id").collect()]
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert sorted(got) == sorted(tuple(r) for r in expected.collect())
+
+
 def test_revision_reader_does_not_shuffle_text(spark, large_dump):
     """The whole result is scans of scratch tables; rows without a header meet the small carry-in by broadcast."""
     result = read_revisions(spark, large_dump[0], Scratch(spark))
