@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +22,10 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     """
     listing = _listing(spark, path)
     filled = listing.select("path", _filename().alias("filename"), "length")
-    # Scans leave out files of no bytes, so those are taken from the names that Spark listed for the scan.
-    names = [(unquote(name),) for name in listing.inputFiles()]
-    listed = spark.createDataFrame(names, "path string").select("path", _filename().alias("filename"))
+    # Scans leave out files of no bytes, so those are taken from the names that Spark listed for the scan. The
+    # driver holds that list anyway.
+    names = pa.array([unquote(name) for name in listing.inputFiles()], pa.string())
+    listed = spark.createDataFrame(pa.table({"path": names})).select("path", _filename().alias("filename"))
     empty = listed.join(filled, "filename", "left_anti").select("path", "filename", F.lit(0).cast("bigint").alias("length"))
     return filled.unionByName(empty)
 
