@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -47,9 +49,9 @@ class Scratch:
     read only the columns it needs. The folder is the one the session names in `spark.checkpoint.dir`.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, base: str | None = None):
         self.spark = spark
-        self.root = f"{_scratch_base(spark)}/palimpsest-{uuid.uuid4().hex}"
+        self.root = f"{base or _scratch_base(spark)}/palimpsest-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -69,10 +71,35 @@ class Scratch:
         self.close()
 
 
+_session_roots: dict[str, str] = {}
+
+
+def session_scratch(spark: SparkSession) -> Scratch:
+    """A scratch for results that are read after the call that made them: it goes when the driver's program ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _session_roots:
+        root = _session_roots[application] = f"{_scratch_base(spark)}/palimpsest-{application}-{uuid.uuid4().hex}"
+        fs, target = _resolve(spark, root)
+
+        def remove() -> None:
+            with contextlib.suppress(Exception):  # The JVM may have gone first.
+                fs.delete(target, True)
+
+        atexit.register(remove)
+    return Scratch(spark, _session_roots[application])
+
+
+_local_bases: dict[str, str] = {}
+
+
 def _scratch_base(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="palimpsest-")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        application = spark.sparkContext.applicationId
+        if application not in _local_bases:
+            _local_bases[application] = tempfile.mkdtemp(prefix="palimpsest-")
+        return _local_bases[application]
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
