@@ -49,16 +49,16 @@ def cells_for(rows: int) -> int:
     return min(MAX_CELLS, max(MIN_CELLS, 1 << (CELLS_PER_ROW * max(1, rows) - 1).bit_length()))
 
 
-def _positions(cells: int) -> list[F.Column]:
-    return [F.pmod(F.xxhash64("text_sha256", F.lit(k)), F.lit(cells)) for k in range(PROBES)]
+def _positions(cells: int, key: str) -> list[F.Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(k)), F.lit(cells)) for k in range(PROBES)]
 
 
-def repeated_positions(rows: DataFrame, cells: int) -> DataFrame:
-    """(block, words): positions that two rows or more have set, as bits of 64-bit words.
+def repeated_positions(rows: DataFrame, cells: int, key: str = "text_sha256") -> DataFrame:
+    """(block, words): positions that the keys of two rows or more have set, as bits of 64-bit words.
 
     A row that sets a position twice counts once.
     """
-    set_by = rows.select(F.explode(F.array_distinct(F.array(*_positions(cells)))).alias("position"))
+    set_by = rows.select(F.explode(F.array_distinct(F.array(*_positions(cells, key)))).alias("position"))
     twice = set_by.groupBy("position").agg(F.count("*").alias("n")).where("n > 1")
     word = (F.col("position") % BLOCK / 64).cast("int")
     bit = F.expr("shiftleft(1L, cast(position % 64 as int))")
@@ -71,11 +71,11 @@ def repeated_positions(rows: DataFrame, cells: int) -> DataFrame:
     )
 
 
-def probe(rows: DataFrame, found: DataFrame, cells: int) -> DataFrame:
+def probe(rows: DataFrame, found: DataFrame, cells: int, key: str = "text_sha256") -> DataFrame:
     """With the column `maybe`: whether all positions of the row were set twice or more."""
     probed = rows
     hits = []
-    for k, position in enumerate(_positions(cells)):
+    for k, position in enumerate(_positions(cells, key)):
         table = found.select(F.col("block").alias(f"block_{k}"), F.col("words").alias(f"words_{k}"))
         probed = probed.join(F.broadcast(table), (position / BLOCK).cast("int") == F.col(f"block_{k}"), "left")
         word = F.get(f"words_{k}", (position % BLOCK / 64).cast("int"))

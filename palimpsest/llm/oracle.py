@@ -16,4 +16,16 @@ ORACLE = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
     """,
+    "op7_warc": """
+        WITH payloads AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+        ), groups AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS response FROM payloads
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM response THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM response THEN response END AS refers_to,
+            true AS intact
+        FROM groups
+    """,
 }

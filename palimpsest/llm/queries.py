@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from palimpsest.llm import exact, neardup, packing, pii, quality
+from palimpsest.llm import exact, licenses, lm, neardup, packing, pii, quality, sentencepieces, urls, warc
 from palimpsest.storage import session_scratch
 
 
@@ -27,16 +28,49 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), session_scratch(spark)).withColumnRenamed("id", "doc_id")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether decoding them gives the text back."""
+    coded = sentencepieces.decode(sentencepieces.encode(_table(spark, sf_dir, "documents")))
+    text = F.translate(F.coalesce("text", F.lit("")), sentencepieces.MARK, " ")
+    return coded.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_pieces"),
+        "ids_crc32",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == text).alias("round_trip"),
+    )
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(_table(spark, sf_dir, "documents"), session_scratch(spark))
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"), session_scratch(spark))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     return quality.judge_quality(docs, labels, session_scratch(spark)).withColumnRenamed("id", "doc_id")
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"), session_scratch(spark))
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"), session_scratch(spark)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_exact_dedup, op3_packing, op6_near_dedup, op8_quality)
+    f.__name__: f
+    for f in (
+        op1_pii, op2_exact_dedup, op3_packing, op4_sentencepiece, op5_licenses, op6_near_dedup, op7_warc, op8_quality,
+        op9_url_filter, op10_lm_score,
+    )
 }
