@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 KNOWN_WORDS = 400_000  # Of a worker's table of encoded words, and of checked pairs; a full table starts anew.
+WITHOUT = -1e6  # Score of a letter without a piece.
 ENCODED = "id long, text string, ids array<int>, ids_crc32 long"
 _CHUNKS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 _WHOLE_CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")  # If some piece has a line break.
@@ -42,7 +43,7 @@ class Vocabulary:
     bytes: list[int]
     merges: bool
     endings: frozenset[str] = field(init=False)  # All ends of pieces, whole ones too.
-    pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
+    pairs: dict[int, bool] = field(default_factory=dict)  # Of ids: whether one may follow the other.
 
     def __post_init__(self):
         self.endings = frozenset(piece[k:] for piece in self.ids for k in range(len(piece)))
@@ -67,56 +68,76 @@ class Vocabulary:
             _, k = min(options)
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
 
-    def _check(self, first: str, second: str) -> bool:
+    def _check(self, key: int, first: str, second: str) -> bool:
         if len(self.pairs) > KNOWN_WORDS:
             self.pairs.clear()
-        found = self.pairs[first, second] = self.merged(first + second) == [first, second]
+        found = self.pairs[key] = self.merged(first + second) == [first, second]
         return found
 
     def encode_sorted(self, words: list[str]) -> list[list[str]]:
         """Pieces of each of some sorted distinct words."""
-        scores, endings, pairs, merges = self.scores, self.endings, self.pairs, self.merges
+        step = self._merge_step if self.merges else self._best_step
         forward = [0.0]  # By position: the best score up to it,
         last = [""]  # and the piece that ends there.
+        numbers = [-1]  # Its id, -1 for a letter without a piece.
         previous, result = "", []
         for word in words:
             shared = 0
             limit = min(len(previous), len(word))
             while shared < limit and previous[shared] == word[shared]:
                 shared += 1
-            del forward[shared + 1 :], last[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                start = end - 1
-                piece = word[start:end]
-                options = [(start, piece, scores.get(piece, -1e6))]  # A letter without a piece still has a place.
-                while start and piece in endings:
-                    start -= 1
-                    piece = word[start:end]
-                    if piece in scores:
-                        options.append((start, piece, scores[piece]))
-                best, chosen = None, piece
-                for start, piece, cost in reversed(options):  # Long pieces first.
-                    if merges and start:
-                        admitted = pairs.get((last[start], piece))
-                        if admitted is None:
-                            admitted = self._check(last[start], piece)
-                        if not admitted:
-                            continue
-                    cost += forward[start]
-                    if best is None or cost > best:
-                        best, chosen = cost, piece
-                        if merges:  # Only one is admissible.
-                            break
-                forward.append(best)
-                last.append(chosen)
+            del forward[shared + 1 :], last[shared + 1 :], numbers[shared + 1 :]
+            step(word, shared, forward, last, numbers)
             pieces, end = [], len(word)
             while end:
-                pieces.append(last[end])
-                end -= len(pieces[-1])
-            result.append(pieces[::-1])
+                piece = last[end]
+                pieces.append(piece)
+                end -= len(piece)
+            pieces.reverse()
+            result.append(pieces)
             previous = word
         return result
 
+    def _best_step(self, word: str, shared: int, forward: list[float], last: list[str], numbers: list[int]) -> None:
+        for end in range(shared + 1, len(word) + 1):
+            start = end - 1
+            piece = chosen = word[start:end]
+            best = forward[start] + self.scores.get(piece, WITHOUT)
+            while start and piece in self.endings:
+                start -= 1
+                piece = word[start:end]
+                if piece in self.scores and forward[start] + self.scores[piece] >= best:  # Of equals the longest.
+                    best, chosen = forward[start] + self.scores[piece], piece
+            forward.append(best)
+            last.append(chosen)
+            numbers.append(self.ids.get(chosen, -1))
+
+    def _merge_step(self, word: str, shared: int, forward: list[float], last: list[str], numbers: list[int]) -> None:
+        ids, endings, pairs = self.ids, self.endings, self.pairs
+        for end in range(shared + 1, len(word) + 1):
+            start = end - 1
+            piece = word[start:end]
+            options = [piece]
+            while start and piece in endings:
+                start -= 1
+                piece = word[start:end]
+                if piece in ids:
+                    options.append(piece)
+            while True:  # Long pieces first; one is always admissible.
+                piece = options.pop()
+                start = end - len(piece)
+                number = ids.get(piece, -1)
+                before = numbers[start]
+                if not options or before < 0 or number < 0:
+                    break
+                key = before << 32 | number
+                admitted = pairs.get(key)
+                if admitted or admitted is None and self._check(key, last[start], piece):
+                    break
+            forward.append(forward[start] + self.scores.get(piece, WITHOUT))
+            last.append(piece)
+            numbers.append(number)
+
 
 class Coder:
     """Encodes and decodes texts; words seen before are looked up."""
@@ -125,13 +146,16 @@ class Coder:
         self.vocabulary = vocabulary
         self.capacity = capacity
         self.known: dict[str, bytes] = {}
+        self.codes: dict[str, bytes] = {}
         self.chunks = _WHOLE_CHUNKS if any("\n" in piece for piece in vocabulary.ids) else _CHUNKS
         self.parts = {k: piece.replace(MARK, " ").encode() for piece, k in vocabulary.ids.items()}
         self.parts |= {k: bytes([b]) for b, k in enumerate(vocabulary.bytes)}
 
-    def _ids(self, piece: str) -> list[int]:
-        found = self.vocabulary.ids.get(piece)
-        return [self.vocabulary.bytes[b] for b in piece.encode()] if found is None else [found]
+    def _code(self, piece: str) -> bytes:
+        number = self.vocabulary.ids.get(piece)
+        numbers = [self.vocabulary.bytes[b] for b in piece.encode()] if number is None else [number]
+        code = self.codes[piece] = np.array(numbers, "<i4").tobytes()
+        return code
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, four bytes each, little-endian."""
@@ -140,9 +164,9 @@ class Coder:
         if len(self.known) + len(new) > self.capacity:
             self.known = {}
             new = {w for words in cut for w in words}
-        new = sorted(new)
+        new, codes = sorted(new), self.codes
         for word, pieces in zip(new, self.vocabulary.encode_sorted(new), strict=True):
-            self.known[word] = np.array([k for p in pieces for k in self._ids(p)], "<i4").tobytes()
+            self.known[word] = b"".join([codes.get(p) or self._code(p) for p in pieces])
         return [b"".join(map(self.known.__getitem__, words)) for words in cut]
 
     def decode(self, ids: np.ndarray) -> str:
