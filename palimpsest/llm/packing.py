@@ -2,8 +2,9 @@
 
 How pieces fit together depends on their lengths only, and there are at most `capacity` different ones. So the plan is
 made from the histogram of lengths: a bitset subset-sum over the lengths still available finds the fullest sequence
-that holds the longest of them, which is then removed as often as the counts allow. Each such pattern uses up at least
-one length, so there are at most `capacity` patterns, whatever the size of the corpus.
+that holds the longest of them, which is then removed as often as the counts allow. Each such pattern leaves fewer
+pieces of some length than it uses of it, so there are at most the sum of capacity / length patterns over all lengths
+(under 17,000 for 2048), whatever the size of the corpus.
 
 Pieces find their places by their rank among pieces of equal length. Ranks come from counts per task, not from
 a sort of a length, so a length that a third of all pieces share is no hot group.

@@ -1,0 +1,93 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+from itertools import combinations_with_replacement
+
+import numpy as np
+from helpers_llm import AWKWARD, awkward, documents, prose
+from tokenizers import Tokenizer
+
+from palimpsest.llm import packing
+from palimpsest.storage import Scratch
+
+
+def check(rows, docs, capacity):
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    ids = {key: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0] for key, text in docs}
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for row in rows:
+        pieces[row.id].append((row.piece, row.start, row.length, row.ids_crc32))
+        sequences[row.sequence_id].append((row.offset, row.length))
+    for key, found in pieces.items():
+        copies = sum(k == key for k, _ in docs)
+        total = len(ids[key])
+        first = total % capacity or capacity
+        expected = [(0, first)] + [(at, capacity) for at in range(first, total, capacity)]
+        expected = [(p, s, n, zlib.crc32(np.array(ids[key][s : s + n], "<u4").tobytes())) for p, (s, n) in enumerate(expected)]
+        assert Counter(found) == Counter(expected * copies), key
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences)
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark).where("doc_id is null or doc_id <> 4")
+    rows = packing.pack(docs, Scratch(spark)).collect()
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    assert {r.id for r in rows} == {key for key, _ in texts}
+    check(rows, texts, packing.CAPACITY)
+
+
+def test_small_sequences_are_few(spark):
+    docs = [(k, prose(1 + k % 23, k)) for k in range(500)] + [(500 + k, "same text here") for k in range(300)]
+    rows = packing.pack(documents(spark, [t for _, t in docs]).repartition(7), Scratch(spark), capacity=32).collect()
+    n = check(rows, docs, 32)
+    assert n <= np.ceil(sum(r.length for r in rows) / 32) * 1.02 + 1
+
+
+def test_fullest_against_all_combinations():
+    draw = random.Random(3)
+    for _ in range(200):
+        capacity = draw.randint(5, 18)
+        counts = {k: draw.randint(1, 3) for k in draw.sample(range(1, capacity + 1), draw.randint(1, 4))}
+        chosen = packing.fullest(counts, capacity)
+        assert all(n <= counts[k] for k, n in Counter(chosen).items()) and max(counts) in chosen
+        best = 0
+        for size in range(1, capacity + 1):
+            for some in combinations_with_replacement(counts, size):
+                if max(counts) in some and sum(some) <= capacity and all(n <= counts[k] for k, n in Counter(some).items()):
+                    best = max(best, sum(some))
+        assert sum(chosen) == best
+
+
+def test_plan_holds_every_piece():
+    draw = random.Random(4)
+    counts = {k: draw.randint(1, 10**6) for k in range(1, 2049, 3)}
+    patterns = packing.plan(counts, 2048)
+    used = Counter()
+    for times, lengths in patterns:
+        assert sum(lengths) <= 2048
+        for length in lengths:
+            used[length] += times
+    assert used == counts and len(patterns) <= sum(2048 // k for k in counts)
+
+
+def test_encoder_agrees_with_tokenizer():
+    encoder = packing.Encoder(packing.tokenizer_path(), capacity=300)
+    draw = random.Random(5)
+    parts = ["the", "It's", "x", "12", "é", "日", ".", ",", "\n", " ", "  ", "\t", "　", "\x1c", "<|endoftext|>", "don't", "a_b", "\n\n", "'"]
+    texts = [*("" if t is None else t for t in AWKWARD), *("".join(draw.choice(parts) for _ in range(draw.randint(0, 30))) for _ in range(3000))]
+    texts += [" ".join(draw.choice(parts[:7]) for _ in range(20)) for _ in range(500)]
+    for at in range(0, len(texts), 50):
+        raw = [t.encode() for t in texts[at : at + 50]]
+        found = encoder.encode_rows(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        for text, ids in zip(texts[at : at + 50], found, strict=True):
+            assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text[:80]
+
+
+def test_empty_table(spark):
+    assert packing.pack(documents(spark, []), Scratch(spark)).count() == 0
