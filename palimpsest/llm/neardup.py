@@ -12,7 +12,9 @@ around the diagonal, so the band decides exactly. Linked texts form classes, tra
 No group of equal keys is ever expanded into all its pairs. Equal texts are one. In each round every group aligns its
 most central text with the members of other classes; in a group of copies that leaves one class. A text that has
 been aligned with all other classes of its group leaves the group. What is then left with several classes is
-compared across classes only, in blocks of bounded size.
+compared across classes only, in blocks of bounded size, by parities: shingles are dealt to PARITIES counters, of which
+a text keeps the lowest bits. Shingles that two texts do not share are at least as many as the bits in which they
+differ, so too many of these rule a pair out for certain, and only pairs that are not ruled out are emitted.
 
 * Null text counts as empty. Texts without words are equal. A text of one to four words is one shingle.
 * Rows with equal words are one class. The class id is the smallest row number of its class, `keep_id` the id of its
@@ -42,7 +44,9 @@ ROUNDS = 2  # Of aligning central texts, before classes that are left over are c
 BLOCK_ROWS = 256  # Of a group compared with as many others in one step.
 SALTS = 32  # Parts of the pairs of a text that takes part in a large share of all pairs.
 
-SKETCHED = "seq long, n long, mark string, keys array<long>"
+PARITIES = 2048
+
+SKETCHED = "seq long, n long, mark string, keys array<long>, parity array<long>"
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _ODD = _SEEDS | np.uint64(1)
 
@@ -83,6 +87,12 @@ def sketch(grams: np.ndarray) -> np.ndarray:
     return key
 
 
+def parity(grams: np.ndarray) -> np.ndarray:
+    """Lowest bits of how many shingles fall to each counter, as 64-bit numbers."""
+    counts = np.bincount((grams >> np.uint64(64 - PARITIES.bit_length() + 1)).astype(np.int64), minlength=PARITIES)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def _row_hashes(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for part, data, offsets in blocks(batch, "text"):
         starts, ends, rows = word_spans(data, offsets)
@@ -95,7 +105,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     powers = np.multiply.accumulate(np.full(4096, 0x9E6C63D0876A9A47, np.uint64))
     for batch in batches:
         for part, texts in _row_hashes(batch):
-            n, marks, keys = [], [], []
+            n, marks, keys, parities = [], [], [], []
             for hashes in texts:
                 grams = shingles(hashes)
                 n.append(len(grams))
@@ -104,8 +114,10 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 sums = (hashes * powers[: len(hashes)]).sum(dtype=np.uint64), (mix(hashes) * powers[: len(hashes)]).sum(dtype=np.uint64)
                 marks.append(f"{len(hashes):x}-{sums[0]:016x}{sums[1]:016x}")
                 keys.append(sketch(grams).view(np.int64) if len(grams) else [])
-            arrays = [part.column("seq"), pa.array(n, pa.int64()), pa.array(marks), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["seq", "n", "mark", "keys"])
+                parities.append(parity(grams))
+            lists = [pa.array(values, pa.list_(pa.int64())) for values in (keys, parities)]
+            arrays = [part.column("seq"), pa.array(n, pa.int64()), pa.array(marks), *lists]
+            yield pa.RecordBatch.from_arrays(arrays, ["seq", "n", "mark", "keys", "parity"])
 
 
 def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +232,9 @@ def classes(rows: DataFrame, scratch: Scratch) -> DataFrame:
             pairs = joined.where(F.col("c") != F.col("pc")).where(_fits("n", "pn")).select(F.col("pv").alias("a"), F.col("v").alias("b")).distinct()
             bands = joined.where("v <> pv").select("v", "n", "key", "size", "central")
         else:
-            pairs = _across(joined)
+            parities = sketched.select(F.col("seq").alias("v"), "parity")
+            used = joined.select("v").distinct()
+            pairs = _across(joined.join(scratch.keep(parities.join(used, "v", "left_semi"), "parities"), "v"))
         nodes = components(nodes, _aligned(pairs, rows, scratch, f"turn-{turn}"), scratch, f"turn-{turn}")
     merged = scratch.keep(
         member.groupBy("v").agg(F.first("size").alias("size")).join(nodes, "v").select("v", "size", F.col("c").alias("class")), "classes"
@@ -229,14 +243,55 @@ def classes(rows: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _across(joined: DataFrame) -> DataFrame:
-    """Pairs of different classes within a group, block by block."""
+    """Pairs of different classes within a group that may be similar. A task compares two blocks of a group at a time."""
     blocks_of = F.ceil(F.col("left") / BLOCK_ROWS).cast("int")
-    rows = joined.select("key", "v", "n", "c", blocks_of.alias("blocks"), F.pmod(F.hash("v"), blocks_of).alias("own"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = rows.select("key", F.col("own").alias("i"), other.alias("j"), F.col("v").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    right = rows.select("key", other.alias("i"), F.col("own").alias("j"), F.col("v").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    pairs = left.join(right, ["key", "i", "j"]).where("a < b and ca <> cb").where(_fits("na", "nb"))
-    return pairs.select("a", "b").distinct()
+    rows = joined.select("key", "v", "n", "c", "parity", blocks_of.alias("blocks"), F.pmod(F.hash("v"), blocks_of).alias("own"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    cells = rows.select("key", "v", "n", "c", "parity", "own", other).select(
+        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "v", "n", "c", "parity"
+    )
+    sorted_cells = cells.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return sorted_cells.mapInArrow(_compare_cells, "a long, b long").distinct()
+
+
+def _compare_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([held, rows]).combine_chunks() if held is not None else rows
+        key, low, high = (rows.column(name).to_numpy() for name in ("key", "low", "high"))
+        last = (key == key[-1]) & (low == low[-1]) & (high == high[-1])
+        held = rows.slice(len(rows) - int(last.sum()))  # It may go on in the next batch.
+        yield from _compare(rows.slice(0, len(rows) - len(held)))
+    if held is not None:
+        yield from _compare(held)
+
+
+def _compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    if not len(rows):
+        return
+    key, low, high, own, v, n, c = (rows.column(name).to_numpy() for name in ("key", "low", "high", "own", "v", "n", "c"))
+    lists = rows.column("parity").combine_chunks()
+    bits = np.asarray(lists.flatten()).view(np.uint64).reshape(len(v), -1)
+    change = np.flatnonzero((key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
+    found_a, found_b = [], []
+    for first, stop in zip([0, *change], [*change, len(v)], strict=True):
+        place = np.arange(first, stop)
+        left = place[own[first:stop] == low[first]]
+        right = place if low[first] == high[first] else place[own[first:stop] == high[first]]
+        for at in range(0, len(left), 64):
+            x = left[at : at + 64]
+            total = n[x][:, None] + n[right][None, :]
+            differ = np.bitwise_count(bits[x][:, None, :] ^ bits[right][None, :, :]).sum(axis=2, dtype=np.int32)
+            fine = differ <= total * ((1 - SIMILARITY) / (1 + SIMILARITY) + 1e-9)
+            fine &= np.minimum(n[x][:, None], n[right][None, :]) >= np.maximum(n[x][:, None], n[right][None, :]) * (SIMILARITY - 1e-9)
+            fine &= c[x][:, None] != c[right][None, :]
+            if low[first] == high[first]:
+                fine &= v[x][:, None] < v[right][None, :]
+            i, j = np.nonzero(fine)
+            found_a.append(np.minimum(v[x][i], v[right][j]))
+            found_b.append(np.maximum(v[x][i], v[right][j]))
+    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)) for found in (found_a, found_b)], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
