@@ -187,6 +187,13 @@ def mask(text: str, spans: list[Span]) -> str:
     return "".join([*parts, text[done:]])
 
 
+def clean(text: str) -> str:
+    """The text masked until nothing is found: a span may end only where the one before it was."""
+    while spans := find(text):
+        text = mask(text, spans)
+    return text
+
+
 def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
     """One row per document: id, counts of the base kinds, base_sha256, spans, n_extra.
 
@@ -212,7 +219,7 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", carry: bool =
                 columns["spans"].append(written(spans))
                 columns["n_extra"].append(len(spans) - len(base))
                 if carry:
-                    columns["masked"].append(mask(value, spans) if spans else value)
+                    columns["masked"].append(clean(value) if spans else value)
             kept = {"id": batch.column("id")} | {name: batch.column(name) for name in ["row"] * carry}
             types = {"string": pa.string(), "bigint": pa.int64()}
             yield pa.RecordBatch.from_arrays(
