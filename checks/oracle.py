@@ -210,4 +210,10 @@ ORACLE = {
         FROM conversations
     """,
     "full_run": METADATA,
+    "full_run_with_strays": f"SELECT id, page_id, bytes, text, true AS strays_counted FROM ({REVDOCS})",
+    "missing_report": """
+        SELECT 'samplewiki-20240115-pages-meta-history' || doc_id || '.xml-doc.bz2' AS filename, md5(text) AS md5,
+               'ABSENT' AS status
+        FROM documents
+    """,
 }

@@ -13,7 +13,7 @@ from palimpsest.naming import dump_locations
 from palimpsest.operators import audit, sinks
 from palimpsest.operators.metadata import metadata, project_metadata
 from palimpsest.operators.sql_steps import run_steps
-from palimpsest.plans import Options, convert, run
+from palimpsest.plans import Options, check_staged_files, convert, run
 from palimpsest.sources import (
     digests,
     inventory,
@@ -27,7 +27,7 @@ from palimpsest.sources import (
     register_fulltext,
     register_metadata,
 )
-from palimpsest.storage import Scratch, touch
+from palimpsest.storage import session_scratch, touch
 
 CHECK_FILES = 8
 FULLTEXT_TABLE, METADATA_TABLE = "check_fulltext", "check_metadata"
@@ -56,7 +56,7 @@ def empty_restrictions_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metadata_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written twice, with each compression; the second write replaces the first."""
-    path = Scratch(spark).path("meta_parquet")
+    path = session_scratch(spark).path("meta_parquet")
     revdocs = samples.revdocs(spark, sf_dir)
     sinks.write_metadata(revdocs.where("false"), path, files=CHECK_FILES, compression="gzip")
     sinks.write_metadata(revdocs.unionByName(revdocs), path, files=CHECK_FILES, compression="snappy")
@@ -65,7 +65,7 @@ def metadata_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metadata_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the registered full-text table into the registered metadata table."""
-    scratch = Scratch(spark)
+    scratch = session_scratch(spark)
     revdocs = samples.revdocs(spark, sf_dir)
     sinks.write_revdocs(revdocs.unionByName(revdocs), scratch.path("jsonbz2"), CHECK_FILES)
     register_fulltext(spark, FULLTEXT_TABLE, scratch.path("jsonbz2"))
@@ -75,33 +75,33 @@ def metadata_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revdocs_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = Scratch(spark).path("jsonbz2")
+    path = session_scratch(spark).path("jsonbz2")
     sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, CHECK_FILES, row_id="id")
     return samples.printable(read_revdocs(spark, path))
 
 
 def revdocs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = Scratch(spark).path("jsonbz2")
+    path = session_scratch(spark).path("jsonbz2")
     sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, CHECK_FILES, row_id="id")
     register_fulltext(spark, "check_revdocs", path)
     return samples.printable(spark.table("check_revdocs"))
 
 
 def xml_flatten_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = Scratch(spark).path("xmlbz2")
+    path = session_scratch(spark).path("xmlbz2")
     samples.write_xml(spark, sf_dir, path)
     return samples.printable(read_pages(spark, path))
 
 
 def xml_flatten_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scratch = Scratch(spark)
+    scratch = session_scratch(spark)
     samples.write_xml(spark, sf_dir, scratch.path("xmlbz2"))
     return samples.printable(read_revisions(spark, scratch.path("xmlbz2"), scratch).drop("seq"))
 
 
 def page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the written files look like per page. Every third conversation goes to one hot page."""
-    path = Scratch(spark).path("jsonbz2")
+    path = session_scratch(spark).path("jsonbz2")
     page = F.when(F.col("page_id") % 3 == 0, F.lit(0)).otherwise(F.col("page_id"))
     minute = F.format_string("2015-01-%02dT%02d:00:00Z", 1 + F.col("page_id") % 28, F.col("id") % 24)
     revdocs = samples.revdocs(spark, sf_dir).withColumns({"timestamp": minute, "page_id": page})
@@ -157,7 +157,7 @@ def dump_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = Scratch(spark).path("status")
+    path = session_scratch(spark).path("status")
     samples.write_status_documents(spark, sf_dir, path)
     ready = ready_dumps(spark, f"{path}/*/*.txt")
     return ready.select(F.regexp_replace("wiki", "^dump=", "").alias("wiki"), "day")
@@ -271,7 +271,7 @@ def dump_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = Scratch(spark).path("jsonbz2")
+    path = session_scratch(spark).path("jsonbz2")
     sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, CHECK_FILES, row_id="id")
     register_fulltext(spark, "check_steps", path)
     statements = [
@@ -284,7 +284,7 @@ def sql_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def guarded_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs over one output: the second is skipped, the third is forced."""
-    scratch = Scratch(spark)
+    scratch = session_scratch(spark)
     revdocs = samples.revdocs(spark, sf_dir)
     results = []
     for attempt, force in ((1, False), (2, False), (3, True)):
@@ -299,7 +299,7 @@ def guarded_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def custom_converter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scratch = Scratch(spark)
+    scratch = session_scratch(spark)
     xml, json = scratch.path("xmlbz2"), scratch.path("jsonbz2")
     samples.write_xml(spark, sf_dir, xml)
     touch(spark, f"{xml}/_SUCCESS")
@@ -311,11 +311,39 @@ def custom_converter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A staged dump through all five stages; the metadata table that comes out."""
-    dump = samples.stage_dump(spark, sf_dir, Scratch(spark))
+    dump = samples.stage_dump(spark, sf_dir, session_scratch(spark))
     run(spark, dump, Options(revdoc_files=CHECK_FILES, metadata_files=CHECK_FILES))
     return samples.printable(spark.table(dump.metadata_table))
 
 
+def full_run_with_strays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with files in the folder that no manifest lists; both tables, and what the check counted."""
+    scratch = session_scratch(spark)
+    dump = samples.stage_dump(spark, sf_dir, scratch)
+    strays = samples.revdocs(spark, sf_dir).withColumn("page_id", F.col("page_id") + 1_000_000)
+    samples.page_xml(strays).coalesce(2).write.option("compression", "bzip2").text(scratch.path("strays"))
+    samples.place(spark, scratch.path("strays"), dump.xml_path, lambda n: f"{samples.WIKI}-{samples.DAY}-pages-articles{n}.xml.bz2")
+    outcome = run(spark, dump, Options(revdoc_files=CHECK_FILES, metadata_files=None))
+    rows = spark.table(dump.metadata_table).select("id", "page_id", "bytes").join(
+        spark.table(dump.fulltext_table).select("id", "text"), "id", "full"
+    )
+    return rows.select("*", (F.lit(outcome["unexpected_files"]) != "0").alias("strays_counted"))
+
+
+def missing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list that stays when files of a manifest are missing: one line per document, none of them staged."""
+    scratch = session_scratch(spark)
+    dump = samples.stage_dump(spark, sf_dir, scratch)
+    documents = samples.table(spark, sf_dir, "documents")
+    name = F.format_string(f"{samples.WIKI}-{samples.DAY}-pages-meta-history%s.xml-doc.bz2", F.col("doc_id").cast("string"))
+    documents.select(F.concat_ws("  ", F.md5("text"), name)).write.text(scratch.path("lines"))
+    try:
+        check_staged_files(spark, dump, manifest_path=scratch.path("lines"))
+    except RuntimeError:
+        return spark.read.parquet(f"{dump.path}/problems/files_missing_or_corrupt")
+    raise AssertionError("missing files were not noticed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -348,5 +376,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         guarded_write,
         custom_converter,
         full_run,
+        full_run_with_strays,
+        missing_report,
     )
 }

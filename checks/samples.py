@@ -129,17 +129,17 @@ def stage_dump(spark: SparkSession, sf_dir: str, scratch: Scratch) -> Dump:
     """A dump as it lies there before a first run: XML files with proper names, manifest, status document."""
     dump = Dump(WIKI, DAY, scratch.path("base"))
     write_xml(spark, sf_dir, scratch.path("xml"))
-    _place(spark, scratch.path("xml"), dump.xml_path, lambda n: f"{WIKI}-{DAY}-pages-meta-history{n}.xml-p{n}.bz2")
+    place(spark, scratch.path("xml"), dump.xml_path, lambda n: f"{WIKI}-{DAY}-pages-meta-history{n}.xml-p{n}.bz2")
     manifest = digests(spark, dump.xml_path, MD5).select(F.concat_ws("  ", "digest", "filename"))
     manifest.coalesce(1).write.text(scratch.path("md5"))
-    _place(spark, scratch.path("md5"), dump.path, lambda n: f"{WIKI}-{DAY}-md5sums.txt")
+    place(spark, scratch.path("md5"), dump.path, lambda n: f"{WIKI}-{DAY}-md5sums.txt")
     status = spark.range(1).select(F.lit("<html>Dump complete</html>"))
     status.coalesce(1).write.text(scratch.path("status"))
-    _place(spark, scratch.path("status"), dump.path, lambda n: "status.html")
+    place(spark, scratch.path("status"), dump.path, lambda n: "status.html")
     return dump
 
 
-def _place(spark: SparkSession, source: str, target: str, name: Callable[[int], str]) -> None:
+def place(spark: SparkSession, source: str, target: str, name: Callable[[int], str]) -> None:
     """Give the part files of `source` names of our own in `target`."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(target).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,10 +47,11 @@ def write_metadata(
 ) -> None:
     """Replace the Parquet files at `path` by the metadata of `revdocs`.
 
-    `files` is the number of files; None leaves it to adaptive execution, which sizes them by their bytes.
+    `files` is the number of files; None leaves it to adaptive execution, which sizes them by their bytes. The
+    aggregation is spread as the session says in either case: a number of files moves its narrow result once more.
     """
-    with _metadata_settings(revdocs.sparkSession, files, compression):
-        metadata(revdocs).write.mode("overwrite").parquet(path)
+    require_compression(compression)
+    _in_files(metadata(revdocs), files).write.mode("overwrite").option("compression", compression.lower()).parquet(path)
 
 
 def load_metadata(
@@ -62,8 +62,13 @@ def load_metadata(
     compression: str = "snappy",
 ) -> None:
     """The same from one registered table into the other, replacing what is there."""
-    with _metadata_settings(spark, files, compression):
-        metadata(spark.table(fulltext_table)).write.insertInto(metadata_table, overwrite=True)
+    require_compression(compression)
+    spark.sql(f"ALTER TABLE {metadata_table} SET SERDEPROPERTIES ('compression' = '{compression.lower()}')")
+    _in_files(metadata(spark.table(fulltext_table)), files).write.insertInto(metadata_table, overwrite=True)
+
+
+def _in_files(rows: DataFrame, files: int | None) -> DataFrame:
+    return rows if files is None else rows.repartition(files)
 
 
 def write_guarded(
@@ -73,9 +78,12 @@ def write_guarded(
     input: str | None = None,
     force: bool = False,
     marker: str = storage.SUCCESS_MARKER,
+    prepare: Callable[[], None] | None = None,
 ) -> str:
     """Run `write`, which fills `output`, unless its marker says that this is done already.
 
+    `prepare` runs first, so what it refuses leaves the output of an earlier run as it was.
+
     `input`, if given, must carry the marker. With `force`, or if a run before left no marker, what is in
     `output` gives way. The marker appears last; a write that ends without one is an error.
     """
@@ -83,6 +91,8 @@ def write_guarded(
         raise RuntimeError(f"no {marker} in input {input}")
     if storage.has_marker(spark, output, marker) and not force:
         return SKIPPED
+    if prepare is not None:
+        prepare()
     storage.delete(spark, output)
     write()
     if marker != storage.SUCCESS_MARKER and storage.has_marker(spark, output):
@@ -96,25 +106,3 @@ def require_compression(compression: str) -> None:
     if compression.lower() not in METADATA_COMPRESSIONS:
         raise ValueError(f"unknown compression {compression!r}, expected one of {METADATA_COMPRESSIONS}")
 
-
-def _metadata_settings(spark: SparkSession, files: int | None, compression: str):
-    """A number of files is a number of shuffle partitions: the distinct's own shuffle makes them, without a
-    second one."""
-    require_compression(compression)
-    settings = {"spark.sql.parquet.compression.codec": compression.lower()}
-    if files is not None:
-        settings["spark.sql.shuffle.partitions"] = str(files)
-        settings["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
-    return _settings(spark, settings)
-
-
-@contextmanager
-def _settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
-    before = {key: spark.conf.get(key) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)

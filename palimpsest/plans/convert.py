@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from palimpsest import storage
 from palimpsest.operators import sinks
+from palimpsest.operators.ordering import SLICE_BYTES
 from palimpsest.schemas import REVDOC
 from palimpsest.sources import read_pages, read_revisions
 from palimpsest.sources.manifest import require_kind
@@ -27,9 +28,14 @@ def convert(
     force: bool = False,
     marker: str = storage.SUCCESS_MARKER,
     also: Callable[[DataFrame], None] | None = None,
+    only: list[str] | None = None,
+    slice_bytes: int = SLICE_BYTES,
 ) -> str:
     """Read the marked XML folder and write sorted revision documents, unless that is done already.
 
+    `only` names the files to read; None reads all of the folder. Malformed revisions are listed whole in
+    `<json_path>_malformed`. A page of more than `slice_bytes` may be cut into several files (see `order_by_page`).
+
     `converter` is applied to the revision documents on the way. Input that does not fit the format stops the
     run before anything is written; with `allow_malformed` its rows are kept, with NULL fields. `also` gets the
     revision documents once they are written, while they are still at hand as columns; it is not called if
@@ -38,24 +44,33 @@ def convert(
 
     require_kind(kind)
 
-    def write() -> None:
-        with storage.Scratch(spark) as scratch:
+    parsed: list[DataFrame] = []
+
+    with storage.Scratch(spark) as scratch:
+
+        def parse() -> None:
+            source = xml_path if only is None else only
             if kind == "current":
-                numbered = read_pages(spark, xml_path).withColumn("seq", F.monotonically_increasing_id())
+                numbered = read_pages(spark, source).withColumn("seq", F.monotonically_increasing_id())
                 revdocs = scratch.keep(numbered, "parsed")
             else:
-                revdocs = read_revisions(spark, xml_path, scratch)
+                revdocs = read_revisions(spark, source, scratch)
             if not allow_malformed:
-                bad = revdocs.where(F.col("malformed").isNotNull()).agg(
-                    F.count("*").alias("n"), F.min("malformed").alias("example")
-                ).first()
-                if bad["n"]:
-                    raise RuntimeError(f"{bad['n']} malformed revisions in {xml_path}, such as: {bad['example'][:500]}")
+                bad = revdocs.where(F.col("malformed").isNotNull()).select("seq", "id", "page_id", "malformed")
+                n = bad.count()
+                if n:
+                    listed = f"{json_path}_malformed"
+                    bad.write.mode("overwrite").parquet(listed)
+                    raise RuntimeError(f"{n} malformed revisions in {xml_path}, listed in {listed}")
+            parsed.append(revdocs)
+
+        def write() -> None:
+            revdocs = parsed[0]
             if converter is not None:
                 converted = revdocs.drop("malformed", "seq").transform(converter).select(*REVDOC.names)
                 revdocs = scratch.keep(converted.withColumn("seq", F.monotonically_increasing_id()), "converted")
-            sinks.write_revdocs(revdocs, json_path, files, row_id="seq")
+            sinks.write_revdocs(revdocs, json_path, files, row_id="seq", slice_bytes=slice_bytes)
             if also is not None:
                 also(revdocs.select(*REVDOC.names))
 
-    return sinks.write_guarded(spark, write, json_path, input=xml_path, force=force, marker=marker)
+        return sinks.write_guarded(spark, write, json_path, input=xml_path, force=force, marker=marker, prepare=parse)

@@ -11,7 +11,6 @@ from palimpsest.naming import Dump
 from palimpsest.operators import audit
 from palimpsest.sources import digests, inventory, read_manifest, ready_dumps
 
-NAMES_IN_MESSAGE = 20
 
 
 def check_staged_files(
@@ -20,45 +19,61 @@ def check_staged_files(
     manifest_path: str | None = None,
     status_path: str | None = None,
     kind: str = "history",
-    check: bool = True,
+    check: str | None = audit.MD5,
     exclude_multistream: bool = False,
     delete_unexpected: bool = False,
+    delete_corrupt: bool = False,
     marker: str = storage.SUCCESS_MARKER,
 ) -> dict[str, int]:
     """Compare the files below `dump.xml_path` with the manifest and mark the folder if all are right.
 
     Returns how many files are present and how many do not belong there. Raises if the dump is not complete at
     its source, the manifest lists nothing, a file cannot be read, or a file is missing or corrupt: once those
-    are staged again, another run gets further. Files that do not belong stay, unless `delete_unexpected` is
-    set. The marker of an earlier run is taken away first.
+    are staged again, another run gets further. All such files are listed in a Parquet folder that stays, named in
+    the message. Files that do not belong stay, unless `delete_unexpected` is set, and corrupt ones, unless
+    `delete_corrupt` is. The marker of an earlier run is taken away first.
+
+    `check` is what the manifest holds before each name: md5 or sha1, size, or None if being there is enough.
+    Only files of the manifest are read. Those that were right are listed in `verified_path(dump)`.
     """
     manifest_path = manifest_path or f"{dump.path}/{dump.wiki}-{dump.day}-md5sums.txt"
     status_path = status_path or f"{dump.path}/status.html"
     require_valid_day(spark, dump.day)
     require_ready(spark, dump, status_path)
+    if check is not None and check not in audit.CHECKS:
+        raise ValueError(f"unknown check {check!r}, expected one of {audit.CHECKS} or None")
     storage.make_folder(spark, dump.xml_path)
     storage.delete(spark, f"{dump.xml_path}/{marker}")
+    storage.delete(spark, verified_path(dump))
 
     with storage.Scratch(spark) as scratch:
         manifest = scratch.keep(
-            read_manifest(spark, manifest_path, dump.wiki, dump.day, kind, exclude_multistream), "manifest"
+            read_manifest(spark, manifest_path, dump.wiki, dump.day, kind, exclude_multistream, check), "manifest"
         )
         if manifest.isEmpty():
             raise RuntimeError(f"{manifest_path} lists no {kind} file of {dump.wiki} {dump.day}")
-        files = (digests if check else inventory)(spark, dump.xml_path)
-        statuses = scratch.keep(audit.file_status(manifest, files, check), "statuses")
+        if check in (audit.MD5, audit.SHA1):
+            files = digests(spark, dump.xml_path, check, only=manifest)
+        else:
+            files = inventory(spark, dump.xml_path).withColumn("digest", F.col("length").cast("string"))
+        statuses = scratch.keep(audit.file_status(manifest, files, check is not None), "statuses")
 
         # Four rows at most.
         tally = {row["status"]: row["count"] for row in statuses.groupBy("status").count().collect()}
         if audit.ERROR in tally:
-            _fail("files that could not be checked", statuses.where(F.col("status") == audit.ERROR))
+            _fail(dump, "files that could not be checked", statuses.where(F.col("status") == audit.ERROR))
+        if delete_corrupt:
+            for row in statuses.where(F.col("status") == audit.CORRUPT).select("filename").toLocalIterator():
+                storage.delete(spark, f"{dump.xml_path}/{row['filename']}")
         unexpected = scratch.keep(audit.unexpected_files(inventory(spark, dump.xml_path), manifest), "unexpected")
         if delete_unexpected:
             for row in unexpected.toLocalIterator():
                 storage.delete(spark, row["path"])
-        missing = audit.unverified_files(manifest, statuses.where(F.col("status") == audit.PRESENT))
+        present = statuses.where(F.col("status") == audit.PRESENT)
+        missing = audit.unverified_files(manifest, present)
         if not missing.isEmpty():
-            _fail("files missing or corrupt", missing)
+            _fail(dump, "files missing or corrupt", missing.join(statuses.select("filename", "status"), "filename"))
+        present.select("filename").write.mode("overwrite").parquet(verified_path(dump))
         storage.touch(spark, f"{dump.xml_path}/{marker}")
         return {"present": tally[audit.PRESENT], "unexpected": unexpected.count()}
 
@@ -70,11 +85,32 @@ def require_valid_day(spark: SparkSession, day: str) -> None:
 
 
 def require_ready(spark: SparkSession, dump: Dump, status_path: str) -> None:
-    if ready_dumps(spark, status_path).isEmpty():
+    ready = ready_dumps(spark, status_path)
+    named = (F.col("wiki") == dump.wiki) & (F.col("day") == dump.day)
+    # A path that does not name a dump must lead to one document, which then speaks for this dump.
+    nameless = (F.col("wiki") == "") & (F.lit(spark.read.text(status_path, wholetext=True).count()) == 1)
+    if ready.where(named | nameless).isEmpty():
         raise RuntimeError(f"{status_path} does not say that the dump of {dump.wiki} {dump.day} is complete")
 
 
-def _fail(what: str, files: DataFrame) -> None:
-    """Raise with the number of files, and the first few names."""
-    names = [row["filename"] for row in files.select("filename").orderBy("filename").limit(NAMES_IN_MESSAGE).collect()]
-    raise RuntimeError(f"{files.count()} {what}: {', '.join(names)}")
+def verified_path(dump: Dump) -> str:
+    """Where the names of the files are listed that the last check found right."""
+    return f"{dump.path}/verified"
+
+
+def verified_files(spark: SparkSession, dump: Dump) -> list[str] | None:
+    """Paths of those files, as many as the dump has; None if no check was made."""
+    if not storage.exists(spark, verified_path(dump)):
+        return None
+    return [f"{dump.xml_path}/{row['filename']}" for row in spark.read.parquet(verified_path(dump)).orderBy("filename").collect()]
+
+
+def _fail(dump: Dump, what: str, files: DataFrame) -> None:
+    """Raise with the number of files, and list them all in a folder that stays."""
+    listed = f"{dump.path}/problems/{what.replace(' ', '_')}"
+    files.write.mode("overwrite").parquet(listed)
+    raise RuntimeError(f"{spark_count(files, listed)} {what}, listed in {listed}")
+
+
+def spark_count(files: DataFrame, listed: str) -> int:
+    return files.sparkSession.read.schema(files.schema).parquet(listed).count()

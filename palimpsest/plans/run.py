@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from palimpsest import storage
 from palimpsest.naming import Dump
 from palimpsest.operators import sinks
+from palimpsest.operators.audit import CHECKS, MD5
+from palimpsest.operators.ordering import SLICE_BYTES
 from palimpsest.plans.convert import Converter, convert
-from palimpsest.plans.ingest import check_staged_files
+from palimpsest.plans.ingest import check_staged_files, verified_files
 from palimpsest.sources import register_fulltext, register_metadata
 from palimpsest.sources.manifest import require_kind
 
@@ -28,21 +30,25 @@ class Options:
     metadata_load: bool = True
 
     kind: str = "history"
-    check_digests: bool = True
+    check: str | None = MD5
     exclude_multistream: bool = False
     delete_unexpected: bool = False
+    delete_corrupt: bool = False
     manifest_path: str | None = None
     status_path: str | None = None
     marker: str = storage.SUCCESS_MARKER
     converter: Converter | None = None
     allow_malformed: bool = False
     revdoc_files: int | None = sinks.REVDOC_FILES
+    slice_bytes: int = SLICE_BYTES  # Pages of less text are never cut into several files.
     metadata_files: int | None = sinks.METADATA_FILES
     metadata_compression: str = "snappy"
     force: bool = False  # Convert again even if the output is marked; staged files are never touched.
 
     def __post_init__(self):
         require_kind(self.kind)
+        if self.check is not None and self.check not in CHECKS:
+            raise ValueError(f"unknown check {self.check!r}, expected one of {CHECKS} or None")
         sinks.require_compression(self.metadata_compression)
 
 
@@ -51,7 +57,8 @@ def run(spark: SparkSession, dump: Dump, options: Options = Options()) -> dict[s
 
     Stages hand over through files and markers, so each can be run again on its own. If XML is converted in
     the same run, the metadata is taken from the parsed columns on the way, which spares decompressing and
-    parsing all of the full text again; the rows are the same.
+    parsing all of the full text again; the rows are the same. If files were checked, only those listed and right
+    are converted, whatever else lies in the folder.
     """
     outcome = {}
     metadata_settings = (options.metadata_files, options.metadata_compression)
@@ -61,18 +68,20 @@ def run(spark: SparkSession, dump: Dump, options: Options = Options()) -> dict[s
         sinks.write_metadata(revdocs, dump.metadata_path, *metadata_settings)
 
     if options.check_files:
-        check_staged_files(
+        counts = check_staged_files(
             spark,
             dump,
             manifest_path=options.manifest_path,
             status_path=options.status_path,
             kind=options.kind,
-            check=options.check_digests,
+            check=options.check,
             exclude_multistream=options.exclude_multistream,
             delete_unexpected=options.delete_unexpected,
+            delete_corrupt=options.delete_corrupt,
             marker=options.marker,
         )
         outcome["check_files"] = CHECKED
+        outcome["unexpected_files"] = str(counts["unexpected"])
     if options.convert_xml:
         outcome["convert_xml"] = convert(
             spark,
@@ -85,6 +94,8 @@ def run(spark: SparkSession, dump: Dump, options: Options = Options()) -> dict[s
             force=options.force,
             marker=options.marker,
             also=write_metadata if load_early else None,
+            only=verified_files(spark, dump) if options.check_files else None,
+            slice_bytes=options.slice_bytes,
         )
     if options.fulltext_table:
         register_fulltext(spark, dump.fulltext_table, dump.json_path)

@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from urllib.parse import unquote
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions import hex_digest
 
 WHOLE_FILE_LIMIT = 64 * 1024 * 1024
 CHUNK_BYTES = 4 * 1024 * 1024
+ARROW_SCHEMES = ("file", "hdfs", "viewfs", "s3", "s3a", "gs", "gcs", "abfs", "abfss")
+
+
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the files of no bytes in a directory, hidden ones left out."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    listed = fs.listStatus(target)
+    names = [(s.getPath().getName(), s.getPath().toString()) for s in listed if s.getLen() == 0 and s.isFile()]
+    return [path for name, path in names if not name.startswith(("_", "."))]
 
 
 def inventory(spark: SparkSession, path: str) -> DataFrame:
@@ -22,34 +30,50 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     """
     listing = _listing(spark, path)
     filled = listing.select("path", _filename().alias("filename"), "length")
-    # Scans leave out files of no bytes, so those are taken from the names that Spark listed for the scan. The
-    # driver holds that list anyway.
-    names = pa.array([unquote(name) for name in listing.inputFiles()], pa.string())
-    listed = spark.createDataFrame(pa.table({"path": names})).select("path", _filename().alias("filename"))
-    empty = listed.join(filled, "filename", "left_anti").select("path", "filename", F.lit(0).cast("bigint").alias("length"))
-    return filled.unionByName(empty)
+    # Scans leave out files of no bytes, so those, and only those, are taken from the file system's own listing.
+    empty = [(name, 0) for name in empty_files(spark, path)]
+    return filled.unionByName(
+        spark.createDataFrame(empty, "path string, length bigint").select("path", _filename().alias("filename"), "length")
+    )
 
 
 def digests(
-    spark: SparkSession, path: str, algorithm: str = "md5", whole_file_limit: int = WHOLE_FILE_LIMIT
+    spark: SparkSession,
+    path: str,
+    algorithm: str = "md5",
+    whole_file_limit: int = WHOLE_FILE_LIMIT,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """`(path, filename, length, digest)` of the files in a directory; `digest` is NULL where reading failed.
 
     Files up to `whole_file_limit` bytes are hashed by the JVM as one value. A digest is sequential, so a
-    longer file is one task that reads it in chunks, in constant memory whatever its size.
+    longer file is one task that reads it in chunks, in constant memory whatever its size. Chunks are read by
+    Arrow's file systems, which have credentials of their own; a scheme they do not know is an error at once.
+    With `only`, a table of `filename`, no other file is read.
     """
     files = inventory(spark, path)
+    if only is not None:
+        files = files.join(only.select("filename").distinct(), "filename", "left_semi").select(*files.columns)
     fits = F.col("length") <= whole_file_limit
     # Reading leaves out a file that fails; the join with the inventory brings it back without a digest.
-    read = _listing(spark, path).where(fits).select("path", hex_digest(F.col("content"), algorithm).alias("digest"))
+    read = _listing(spark, path).where(fits)
+    if only is not None:
+        named = read.withColumn("filename", _filename())
+        read = named.join(only.select("filename").distinct(), "filename", "left_semi")
+    read = read.select("path", hex_digest(F.col("content"), algorithm).alias("digest"))
     of_nothing = F.when(F.col("length") == 0, hex_digest(F.lit(b""), algorithm))
     short = files.where(fits).join(read, "path", "left").withColumn("digest", F.coalesce("digest", of_nothing))
     long = files.where(~fits)
     n_long = long.count()
     if n_long == 0:
         return short
-    # An explicit count: adaptive execution would pack a few short rows of paths into one task.
-    hashed = long.repartition(n_long).mapInPandas(
+    scheme = long.select("path").first()["path"].split(":")[0]
+    if scheme not in ARROW_SCHEMES:
+        raise ValueError(f"files of more than {whole_file_limit} bytes can't be read in chunks from {scheme}:, only from {ARROW_SCHEMES}")
+    # Numbered, so that every file is a task of its own, the longest first. The names of long files are few.
+    order = Window.orderBy(F.desc("length"), "path")
+    numbered = long.withColumn("number", (F.row_number().over(order) - 1).cast("int"))
+    hashed = numbered.repartitionById(n_long, "number").drop("number").mapInPandas(
         _chunked_hasher(algorithm), "path string, filename string, length bigint, digest string"
     )
     return short.unionByName(hashed)
@@ -70,7 +94,7 @@ def _chunked_hasher(algorithm: str):
     def hash_files(batches: Iterator) -> Iterator:
         import hashlib
 
-        from pyarrow import fs
+        from pyarrow import ArrowException, fs
 
         def digest(path: str) -> str | None:
             hasher = hashlib.new(algorithm)
@@ -83,7 +107,7 @@ def _chunked_hasher(algorithm: str):
                 with store.open_input_stream(name, compression=None) as stream:
                     while chunk := stream.read(chunk_bytes):
                         hasher.update(chunk)
-            except OSError:
+            except (OSError, ArrowException):
                 return None
             return hasher.hexdigest()
 

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 # A manifest line is a 32-character digest, two spaces and the file name. The dump type picks
 # the family of file names.
 FILE_FAMILIES = {"history": "pages-meta-history", "current": "pages-articles"}
-LINE_PATTERN = r"(\w{{32}})  ({wiki}-{day}-{family}.*\.xml.*\.bz2)"
+LINE_PATTERN = r"({value})  ({wiki}-{day}-{family}.*\.xml.*\.bz2)"
+VALUES = {"md5": r"\w{32}", "sha1": r"\w{40}", "size": r"\d+"}  # What stands before the name, by check.
 MULTISTREAM = "-multistream"
 
 
-def manifest_pattern(wiki: str, day: str, kind: str = "history") -> str:
-    """The pattern of the lines that list the files of one wiki, day and dump type."""
+def manifest_pattern(wiki: str, day: str, kind: str = "history", check: str | None = "md5") -> str:
+    """The pattern of the lines that list the files of one wiki, day and dump type, with what `check` compares."""
     require_kind(kind)
-    return LINE_PATTERN.format(wiki=wiki, day=day, family=FILE_FAMILIES[kind])
+    return LINE_PATTERN.format(value=VALUES[check or "md5"], wiki=wiki, day=day, family=FILE_FAMILIES[kind])
 
 
 def require_kind(kind: str) -> None:
@@ -42,9 +43,15 @@ def manifest_entries(
 
 
 def read_manifest(
-    spark: SparkSession, path: str, wiki: str, day: str, kind: str = "history", exclude_multistream: bool = False
+    spark: SparkSession,
+    path: str,
+    wiki: str,
+    day: str,
+    kind: str = "history",
+    exclude_multistream: bool = False,
+    check: str | None = "md5",
 ) -> DataFrame:
-    """The entries of the manifest file (or files) at `path`."""
+    """The entries of the manifest file (or files) at `path`; `md5` holds whatever value `check` compares."""
     lines = spark.read.text(path).select(
         F.col("value").alias("line"),
         F.struct(
@@ -53,4 +60,4 @@ def read_manifest(
             F.monotonically_increasing_id().alias("seq"),
         ).alias("line_no"),
     )
-    return manifest_entries(lines, manifest_pattern(wiki, day, kind), exclude_multistream=exclude_multistream)
+    return manifest_entries(lines, manifest_pattern(wiki, day, kind, check), exclude_multistream=exclude_multistream)

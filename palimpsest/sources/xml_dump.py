@@ -40,7 +40,7 @@ PAGE_COLUMNS = ["page_id", "page_title", "page_namespace", "page_redirect", "pag
 REVISION_COLUMNS = [name for name in REVDOC.names if name not in PAGE_COLUMNS]
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
+def read_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Revision documents of a dump whose pages each fit in a task, plus `malformed` (see `flatten`)."""
     pages = spark.read.option("lineSep", "</page>").text(path).where(F.col("value").contains("<revision>"))
     revisions = pages.select(
@@ -50,12 +50,13 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return flatten(revisions.select("header", _revision(F.col("chunk")).alias("revision")))
 
 
-def read_revisions(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
+def read_revisions(spark: SparkSession, path: str | list[str], scratch: Scratch) -> DataFrame:
     """Revision documents of a dump with pages of any size, plus `malformed` (see `flatten`) and `seq`, a
     number of the row that stays the same when the result is read again.
 
     Only a page's first chunk names the page. Each task carries that header on to the chunks after it, and
-    what it parsed is kept in `scratch`, so the dump is decompressed once and its text is not shuffled. Chunks
+    what it parsed is kept in `scratch`, so the dump is decompressed once. Its text is not shuffled as long as the
+    table of last headers, one row per split, is below Spark's broadcast threshold (some 100,000 splits). Chunks
     at the start of a split, before its first header, then take the last header of the splits before.
     """
     chunks = (

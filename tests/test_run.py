@@ -63,6 +63,7 @@ def test_all_stages(spark, tmp_path, family, options):
     dump = stage(Dump("enwiki", "20150923", str(tmp_path)), family)
     assert run(spark, dump, options) == {
         "check_files": "checked",
+        "unexpected_files": "0",
         "convert_xml": "written",
         "fulltext_table": "registered",
         "metadata_table": "registered",
@@ -94,7 +95,8 @@ def test_each_stage_can_be_left_out(spark, dump):
     nothing = {"check_files", "convert_xml", "fulltext_table", "metadata_table", "metadata_load"}
     for stage_name in ("check_files", "convert_xml", "fulltext_table", "metadata_table", "metadata_load"):
         switches = {name: name == stage_name for name in nothing}
-        assert set(run(spark, dump, Options(revdoc_files=2, metadata_files=2, **switches))) == {stage_name}
+        outcome = set(run(spark, dump, Options(revdoc_files=2, metadata_files=2, **switches)))
+        assert outcome - {"unexpected_files"} == {stage_name}
     assert ids(spark.table("enwiki_20150923")) == [11, 12, 21, 22, 23]
 
 
@@ -131,8 +133,10 @@ def spoil(dump, how):
 def test_bad_files_stop_the_run_and_clear_the_marker(spark, dump, how):
     check_staged_files(spark, dump)
     name = spoil(dump, how)
-    with pytest.raises(RuntimeError, match=f"1 files missing or corrupt: {name.name}"):
+    with pytest.raises(RuntimeError, match="1 files missing or corrupt, listed in"):
         run(spark, dump, SMALL)
+    listed = spark.read.parquet(f"{dump.path}/problems/files_missing_or_corrupt").collect()
+    assert [(r["filename"], r["status"]) for r in listed] == [(name.name, "ABSENT" if how == "missing" else "CORRUPT")]
     assert not marker(dump).exists()
     stage(dump)
     assert run(spark, dump, SMALL)["check_files"] == "checked"
@@ -141,18 +145,18 @@ def test_bad_files_stop_the_run_and_clear_the_marker(spark, dump, how):
 def test_unreadable_file_stops_the_run(spark, dump, monkeypatch):
     read = ingest.digests
     blind = F.when(F.col("filename").contains("history2"), None).otherwise(F.col("digest"))
-    monkeypatch.setattr(ingest, "digests", lambda *args: read(*args).withColumn("digest", blind))
-    with pytest.raises(RuntimeError, match="1 files that could not be checked: .*history2"):
+    monkeypatch.setattr(ingest, "digests", lambda *args, **more: read(*args, **more).withColumn("digest", blind))
+    with pytest.raises(RuntimeError, match="1 files that could not be checked, listed in"):
         check_staged_files(spark, dump)
     assert not marker(dump).exists()
 
 
 def test_without_check_being_there_is_enough(spark, dump):
     spoil(dump, "corrupt")
-    assert check_staged_files(spark, dump, check=False)["present"] == 2
+    assert check_staged_files(spark, dump, check=None)["present"] == 2
     spoil(dump, "missing")
     with pytest.raises(RuntimeError, match="missing or corrupt"):
-        check_staged_files(spark, dump, check=False)
+        check_staged_files(spark, dump, check=None)
 
 
 def test_manifest_without_entries_is_an_error_and_deletes_nothing(spark, dump):
@@ -227,3 +231,61 @@ def test_scratch_tables_are_gone_after_a_run(spark, dump):
     before = set(shared.iterdir())
     run(spark, dump, SMALL)
     assert set(shared.iterdir()) == before
+
+
+def test_stray_files_are_counted_but_not_converted(spark, dump):
+    stray = HEAD + page(9, "Nine", revision(991, time(1))) + "</export>\n"
+    Path(dump.xml_path, "enwiki-20150923-pages-articles9.xml-p9.bz2").write_bytes(bz2.compress(stray.encode()))
+    Path(dump.xml_path, "stray.xml").write_text(stray)
+    Path(dump.xml_path, "notes.txt").write_text(stray)
+    assert run(spark, dump, SMALL)["unexpected_files"] == "3"
+    assert ids(spark.table("enwiki_20150923")) == ids(spark.table("enwiki_20150923_fulltext")) == [11, 12, 21, 22, 23]
+
+
+@pytest.mark.parametrize("check", ["sha1", "size"])
+def test_other_checks(spark, dump, check):
+    lines = []
+    for path in sorted(Path(dump.xml_path).glob("*.bz2")):
+        content = path.read_bytes()
+        lines.append(f"{hashlib.sha1(content).hexdigest() if check == 'sha1' else len(content)}  {path.name}")
+    Path(dump.path, "other.txt").write_text("\n".join(lines))
+    listed = {"manifest_path": f"{dump.path}/other.txt", "check": check}
+    assert check_staged_files(spark, dump, **listed) == {"present": 2, "unexpected": 0}
+    name = spoil(dump, "corrupt")
+    with pytest.raises(RuntimeError, match="missing or corrupt"):
+        check_staged_files(spark, dump, delete_corrupt=True, **listed)
+    assert not name.exists()
+
+
+def test_status_must_be_of_this_dump(spark, dump, tmp_path):
+    other = tmp_path / "dewiki-20150923"
+    other.mkdir()
+    (other / "status.html").write_text("Dump complete")
+    with pytest.raises(RuntimeError, match="does not say"):
+        check_staged_files(spark, dump, status_path=str(other / "status.html"))
+    Path(dump.path, "status.html").write_text("in progress")
+    with pytest.raises(RuntimeError, match="does not say"):
+        check_staged_files(spark, dump, status_path=f"{tmp_path}/*/status.html")
+
+
+def test_refused_input_leaves_an_earlier_output_alone(spark, dump):
+    storage.touch(spark, f"{dump.xml_path}/_SUCCESS")
+    convert(spark, dump.xml_path, dump.json_path, files=2)
+    Path(dump.xml_path, "more.xml").write_text(page(3, "Bad", revision("x")))
+    with pytest.raises(RuntimeError, match="1 malformed revisions"):
+        convert(spark, dump.xml_path, dump.json_path, files=2, force=True)
+    assert ids(read_revdocs(spark, dump.json_path)) == [11, 12, 21, 22, 23]
+    assert spark.read.parquet(f"{dump.json_path}_malformed").count() == 1
+
+
+def test_settings_stay_as_they_are(spark, dump):
+    seen = []
+
+    def converter(df):
+        seen.append(spark.conf.get("spark.sql.shuffle.partitions"))
+        return df
+
+    before = dict(spark.conf.getAll)
+    run(spark, dump, Options(revdoc_files=2, metadata_files=1, converter=converter, metadata_compression="gzip"))
+    assert dict(spark.conf.getAll) == before and seen == ["8"]
+    assert len(list(Path(dump.metadata_path).glob("*.gz.parquet"))) == 1
