@@ -36,7 +36,7 @@ def order_by_page(
     share = max(total / files, slice_bytes)
     target = F.hash("page_id").cast("bigint")
     placed = revdocs
-    cuts = hot_page_cuts(revdocs, share, files, scratch) if total > share else None
+    cuts = hot_page_cuts(revdocs, share, scratch) if total > share else None
     if cuts is not None:
         # Bounded by the number of files, see there.
         placed = revdocs.join(F.broadcast(cuts), _same_page("page_id", "hot_page"), "left")
@@ -49,11 +49,11 @@ def order_by_page(
     )
 
 
-def hot_page_cuts(revdocs: DataFrame, share: float, files: int, scratch: Scratch) -> DataFrame | None:
+def hot_page_cuts(revdocs: DataFrame, share: float, scratch: Scratch) -> DataFrame | None:
     """`(hot_page, cuts)`: the times at which to cut every page that weighs more than `share`; None if no page does.
 
-    `share` is a `files`-th of the total or more, so fewer than `files` pages weigh more, and together they get
-    fewer than `2 * files` cuts, whatever the size of the data. The cuts are quantiles of a sample, as for a range
+    `share` is a `files`-th of the total or more, so fewer pages than files weigh more, and together they get
+    fewer than two cuts per file, whatever the size of the data. The cuts are quantiles of a sample, as for a range
     partitioning: the sample decides where pages are cut, never which rows are kept. Each step is written
     before the next one, so no broadcast waits for a scan of everything.
     """
@@ -71,10 +71,11 @@ def hot_page_cuts(revdocs: DataFrame, share: float, files: int, scratch: Scratch
         .join(F.broadcast(hot), _same_page("page_id", "hot_page"))
         .where(F.rand(7) < SAMPLES_PER_SLICE * F.col("slices") / F.col("n"))
     )
-    # The number of quantiles has to be a constant: take fine ones and keep every so many.
-    fine = max(2 * files, 200)
+    # The number of quantiles has to be a constant: take fine ones, as the page with most slices needs, and keep every
+    # so many. The accuracy tells that many apart.
+    fine = max(4 * hot.agg(F.max("slices")).first()[0], 200)
     steps = ", ".join(f"{i / fine}D" for i in range(1, fine))
-    quantiles = F.expr(f"percentile_approx(clock, array({steps}))")
+    quantiles = F.expr(f"percentile_approx(clock, array({steps}), {max(10_000, 10 * fine)})")
     kept = F.expr(f"transform(sequence(1, slices - 1), i -> fine[cast(i * {fine}L div slices as int) - 1])")
     cuts = sample.groupBy("hot_page", "slices").agg(quantiles.alias("fine")).select("hot_page", kept.alias("cuts"))
     return scratch.keep(cuts, "cuts")

@@ -111,8 +111,8 @@ def test_cuts_are_bounded(spark, scratch):
     """Ten pages share everything; with four files none is hot, with forty each gets cut in four."""
     df = numbered(spark, 4000, "id % 10")
     total = 4000 * (100 + 256)
-    assert hot_page_cuts(df, total / 4, 4, storage.Scratch(spark)) is None
-    cuts = {r["hot_page"]: r["cuts"] for r in hot_page_cuts(df, total / 40, 40, scratch).collect()}
+    assert hot_page_cuts(df, total / 4, storage.Scratch(spark)) is None
+    cuts = {r["hot_page"]: r["cuts"] for r in hot_page_cuts(df, total / 40, scratch).collect()}
     assert len(cuts) == 10
     assert sum(map(len, cuts.values())) < 2 * 40
 
