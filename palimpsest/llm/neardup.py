@@ -177,9 +177,20 @@ def _align_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(keep)
 
 
-def _aligned(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """The pairs (a, b) that are similar. `a` may be in very many pairs."""
-    pairs = scratch.keep(pairs, f"{name}-pairs")
+def _differ(a: str, b: str) -> F.Column:
+    return sum((F.bit_count(F.get(a, k).bitwiseXOR(F.get(b, k))) for k in range(PARITIES // 64)), F.lit(0))
+
+
+def _aligned(pairs: DataFrame, texts: DataFrame, sketched: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs (a, b) that are similar. `a` may be in very many pairs. Texts are fetched only for pairs that their
+    parities do not rule out."""
+    pairs = scratch.keep(pairs, f"{name}-candidates")
+    used = pairs.select(F.col("a").alias("seq")).union(pairs.select(F.col("b").alias("seq"))).distinct()
+    facts = scratch.keep(sketched.select("seq", "n", "parity").join(used, "seq", "left_semi"), f"{name}-facts")
+    for side in ("a", "b"):
+        pairs = pairs.join(facts.select(F.col("seq").alias(side), F.col("n").alias(f"n{side}"), F.col("parity").alias(f"p{side}")), side)
+    allowed = (F.col("na") + F.col("nb")) * ((1 - SIMILARITY) / (1 + SIMILARITY) + 1e-9)  # Shingles that are not shared.
+    pairs = scratch.keep(pairs.where(_differ("pa", "pb") <= allowed).select("a", "b"), f"{name}-pairs")
     many = pairs.groupBy("a").agg(F.count("*").alias("n"))
     total = pairs.count()
     hot = F.broadcast(many.where(F.col("n") * 1_000 > total + 100_000).select("a", F.lit(SALTS).alias("salts")))  # Under 1,000 rows.
@@ -235,7 +246,7 @@ def classes(rows: DataFrame, scratch: Scratch) -> DataFrame:
             parities = sketched.select(F.col("seq").alias("v"), "parity")
             used = joined.select("v").distinct()
             pairs = _across(joined.join(scratch.keep(parities.join(used, "v", "left_semi"), "parities"), "v"))
-        nodes = components(nodes, _aligned(pairs, rows, scratch, f"turn-{turn}"), scratch, f"turn-{turn}")
+        nodes = components(nodes, _aligned(pairs, rows, sketched, scratch, f"turn-{turn}"), scratch, f"turn-{turn}")
     merged = scratch.keep(
         member.groupBy("v").agg(F.first("size").alias("size")).join(nodes, "v").select("v", "size", F.col("c").alias("class")), "classes"
     )
