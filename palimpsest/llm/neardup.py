@@ -46,7 +46,7 @@ SALTS = 32  # Parts of the pairs of a text that takes part in a large share of a
 
 PARITIES = 2048
 
-SKETCHED = "seq long, n long, mark string, keys array<long>, parity array<long>"
+SKETCHED = "seq long, n long, mark string, keys array<long>"
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _ODD = _SEEDS | np.uint64(1)
 
@@ -105,7 +105,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     powers = np.multiply.accumulate(np.full(4096, 0x9E6C63D0876A9A47, np.uint64))
     for batch in batches:
         for part, texts in _row_hashes(batch):
-            n, marks, keys, parities = [], [], [], []
+            n, marks, keys = [], [], []
             for hashes in texts:
                 grams = shingles(hashes)
                 n.append(len(grams))
@@ -114,10 +114,22 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 sums = (hashes * powers[: len(hashes)]).sum(dtype=np.uint64), (mix(hashes) * powers[: len(hashes)]).sum(dtype=np.uint64)
                 marks.append(f"{len(hashes):x}-{sums[0]:016x}{sums[1]:016x}")
                 keys.append(sketch(grams).view(np.int64) if len(grams) else [])
-                parities.append(parity(grams))
-            lists = [pa.array(values, pa.list_(pa.int64())) for values in (keys, parities)]
-            arrays = [part.column("seq"), pa.array(n, pa.int64()), pa.array(marks), *lists]
-            yield pa.RecordBatch.from_arrays(arrays, ["seq", "n", "mark", "keys", "parity"])
+            arrays = [part.column("seq"), pa.array(n, pa.int64()), pa.array(marks), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["seq", "n", "mark", "keys"])
+
+
+def _fact_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, texts in _row_hashes(batch):
+            grams = [shingles(hashes) for hashes in texts]
+            parities = pa.array(map(parity, grams), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([part.column("seq"), pa.array(map(len, grams), pa.int64()), parities], ["v", "n", "parity"])
+
+
+def _facts(texts: DataFrame, used: DataFrame) -> DataFrame:
+    """(v, n, parity) of the texts whose numbers are in `used` (v)."""
+    wanted = texts.select("seq", "text").join(used.select(F.col("v").alias("seq")).distinct(), "seq", "left_semi")
+    return wanted.mapInArrow(_fact_batches, "v long, n long, parity array<long>")
 
 
 def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,14 +193,14 @@ def _differ(a: str, b: str) -> F.Column:
     return sum((F.bit_count(F.get(a, k).bitwiseXOR(F.get(b, k))) for k in range(PARITIES // 64)), F.lit(0))
 
 
-def _aligned(pairs: DataFrame, texts: DataFrame, sketched: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def _aligned(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The pairs (a, b) that are similar. `a` may be in very many pairs. Texts are fetched only for pairs that their
     parities do not rule out."""
     pairs = scratch.keep(pairs, f"{name}-candidates")
-    used = pairs.select(F.col("a").alias("seq")).union(pairs.select(F.col("b").alias("seq"))).distinct()
-    facts = scratch.keep(sketched.select("seq", "n", "parity").join(used, "seq", "left_semi"), f"{name}-facts")
+    facts = _facts(texts, pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))))
+    facts = scratch.keep(facts, f"{name}-facts")
     for side in ("a", "b"):
-        pairs = pairs.join(facts.select(F.col("seq").alias(side), F.col("n").alias(f"n{side}"), F.col("parity").alias(f"p{side}")), side)
+        pairs = pairs.join(facts.select(F.col("v").alias(side), F.col("n").alias(f"n{side}"), F.col("parity").alias(f"p{side}")), side)
     allowed = (F.col("na") + F.col("nb")) * ((1 - SIMILARITY) / (1 + SIMILARITY) + 1e-9)  # Shingles that are not shared.
     pairs = scratch.keep(pairs.where(_differ("pa", "pb") <= allowed).select("a", "b"), f"{name}-pairs")
     many = pairs.groupBy("a").agg(F.count("*").alias("n"))
@@ -243,10 +255,9 @@ def classes(rows: DataFrame, scratch: Scratch) -> DataFrame:
             pairs = joined.where(F.col("c") != F.col("pc")).where(_fits("n", "pn")).select(F.col("pv").alias("a"), F.col("v").alias("b")).distinct()
             bands = joined.where("v <> pv").select("v", "n", "key", "size", "central")
         else:
-            parities = sketched.select(F.col("seq").alias("v"), "parity")
-            used = joined.select("v").distinct()
-            pairs = _across(joined.join(scratch.keep(parities.join(used, "v", "left_semi"), "parities"), "v"))
-        nodes = components(nodes, _aligned(pairs, rows, sketched, scratch, f"turn-{turn}"), scratch, f"turn-{turn}")
+            parities = scratch.keep(_facts(rows, joined.select("v")).select("v", "parity"), "parities")
+            pairs = _across(joined.join(parities, "v"))
+        nodes = components(nodes, _aligned(pairs, rows, scratch, f"turn-{turn}"), scratch, f"turn-{turn}")
     merged = scratch.keep(
         member.groupBy("v").agg(F.first("size").alias("size")).join(nodes, "v").select("v", "size", F.col("c").alias("class")), "classes"
     )
