@@ -4,11 +4,17 @@ Training documents are those whose crc32(id as text) mod 5 is not 1. Tokens are
 per document. Counts of all training words make the base.
 
 The model predicts a token from the two before it: its logit is the product of the token's vector with the sum of the
-context's vectors, each scaled by its position, plus a bias. Its vocabulary is the end, the most frequent words and one
-class for all others, within which the counts decide, so a text of any words has a probability. Every task trains on
-all tokens of its own documents against noise drawn from the unigram distribution, beginning with the same
-parameters; the model is their average, weighted by tokens. As logits are sums of one term per context position, the
-normaliser of all pairs of context words is one product of matrices, and every log-probability is exact.
+context's vectors, each scaled by its position, plus a bias. Its vocabulary is the end, every word that occurs at least
+`minimum_count` times (2, or a thousandth of the root of the number of tokens), so it grows with the corpus, and one
+entry for all rarer words, within which the counts decide; so a text of any words has a probability. Each word of the
+vocabulary has a context vector of its own. It is predicted in two levels, its class and then the word within its class,
+both by the context: the most frequent words are classes of their own, the others share classes of about equal sums of
+roots of frequencies. Every task trains on all tokens of its own documents, at both levels against noise drawn from the
+unigram distribution, beginning with the same parameters. The model is the average of each row of parameters over the
+tasks that used it, weighted by uses. When scoring, the normalisers of both levels are sums over all classes and over all
+words of a class, by matrix products per block, so every log-probability is exact.
+
+The memory of a task grows with the vocabulary, the time per token with the number of classes, which is about its root.
 
 Counts of the words that make up most of the text, at most FREQUENT of them, go to all tasks; the others are joined.
 
@@ -20,6 +26,7 @@ Counts of the words that make up most of the text, at most FREQUENT of them, go
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,10 +39,13 @@ from palimpsest.llm.blocks import LOWER, blocks, hash_spans, word_spans
 from palimpsest.storage import Scratch
 
 FOLDS, HELD_OUT = 5, 1
+PART = 8192  # Rows of parameters sent together.
 FREQUENT = 1 << 19  # Words whose counts all tasks hold: 8 MB.
-VOCABULARY = 2048  # Of the model; its tables are quadratic in it.
+VOCABULARY = 2048  # Words of a model that is given no other number.
+SINGLES = 1024  # A vocabulary up to this size has classes of one word only.
+CELLS = 1 << 17  # Logits held at once when scoring.
 SIZE = 32  # Of the vectors.
-NOISE = 32  # Noise words per batch.
+NOISE = 32  # Noise classes per batch.
 BATCH = 4096
 RATE = 0.1
 SEED = 20240101
@@ -54,30 +64,31 @@ class Counts:
     counts: np.ndarray
     tokens: int  # N
     types: int  # V
-    classes: np.ndarray = field(init=False)  # Place in the model's vocabulary.
-    frequencies: np.ndarray = field(init=False)  # Of the classes.
+    words: np.ndarray = field(init=False)  # Place in the model's vocabulary.
+    frequencies: np.ndarray = field(init=False)  # Of the vocabulary: the end, words by falling count, all others.
 
     def __post_init__(self):
         order = np.lexsort((self.keys, -self.counts))
-        order = order[self.keys[order] != END][: VOCABULARY - 2]
-        self.classes = np.full(len(self.keys), VOCABULARY - 1, np.int64)
-        self.classes[order] = np.arange(1, len(order) + 1)
-        self.classes[self.keys == END] = 0
-        frequencies = np.bincount(self.classes, self.counts, VOCABULARY)
+        order = order[(self.keys[order] != END) & (self.counts[order] >= minimum_count(self.tokens))]
+        size = len(order) + 2
+        self.words = np.full(len(self.keys), size - 1, np.int64)
+        self.words[order] = np.arange(1, size - 1)
+        self.words[self.keys == END] = 0
+        frequencies = np.bincount(self.words, self.counts, size)
         frequencies[-1] += self.tokens - self.counts.sum()
         self.frequencies = frequencies
         self.known_types = len(order) + int((self.keys == END).any())
 
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Class and count of each; the count is -1 where the table does not say."""
+        """Place in the vocabulary and count of each; the count is -1 where the table does not say."""
         unique, inverse = np.unique(hashes, return_inverse=True)
-        classes, counts = np.full(len(unique), VOCABULARY - 1), np.full(len(unique), -1)
+        words, counts = np.full(len(unique), len(self.frequencies) - 1), np.full(len(unique), -1)
         if len(self.keys):
             at = np.minimum(np.searchsorted(self.keys, unique), len(self.keys) - 1)
             known = self.keys[at] == unique
-            classes[known], counts[known] = self.classes[at[known]], self.counts[at[known]]
-        classes[unique == END] = 0
-        return classes[inverse], counts[inverse]
+            words[known], counts[known] = self.words[at[known]], self.counts[at[known]]
+        words[unique == END] = 0
+        return words[inverse], counts[inverse]
 
     @property
     def base_total(self) -> float:
@@ -89,6 +100,23 @@ class Counts:
         return self.frequencies[-1] + 0.5 * (self.types - self.known_types + 1)
 
 
+def minimum_count(tokens: int) -> int:
+    """Of a word of the model's vocabulary."""
+    return max(2, math.ceil(math.sqrt(tokens) / 1000))
+
+
+def class_starts(frequencies: np.ndarray, singles: int = SINGLES) -> np.ndarray:
+    """Where each class begins in the vocabulary, and its end. Some root of the size of classes have many words each."""
+    size = len(frequencies)
+    if size <= singles:
+        return np.arange(size + 1)
+    shared = math.ceil(math.sqrt(size))
+    alone = shared // 2
+    mass = np.cumsum(np.sqrt(frequencies[alone : size - 1] + 0.5))
+    cuts = alone + np.searchsorted(mass, mass[-1] * np.arange(1, shared) / shared)
+    return np.unique(np.concatenate([np.arange(alone + 1), cuts, [size - 1, size]]))
+
+
 def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens, ends included, and the row of each."""
     data = LOWER[data]
@@ -99,65 +127,138 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return hashes, np.repeat(np.arange(n), np.bincount(rows, minlength=n) + 1)
 
 
-def contexts(classes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The classes of the token before each and of the one before that; ends stand for what is before a text."""
+def contexts(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The token before each and the one before that; ends stand for what is before a text."""
     result = []
     for back in (1, 2):
-        shifted = np.zeros_like(classes)
-        if len(classes) > back:
+        shifted = np.zeros_like(words)
+        if len(words) > back:
             same = rows[back:] == rows[:-back]
-            shifted[back:] = np.where(same, classes[:-back], 0)
+            shifted[back:] = np.where(same, words[:-back], 0)
         result.append(shifted)
     return result[0], result[1]
 
 
 class Model:
-    """Parameters as one array of 32-bit floats, with views on its parts."""
+    """Parameters as one array of 32-bit floats, with views on its parts.
 
-    def __init__(self, values: np.ndarray):
+    starts: where the classes begin in the vocabulary; without it every word is a class.
+    """
+
+    def __init__(self, values: np.ndarray, starts: np.ndarray | None = None):
         self.values = values
-        n = VOCABULARY * SIZE
-        self.context, self.target = values[:n].reshape(-1, SIZE), values[n : 2 * n].reshape(-1, SIZE)
-        self.bias, self.scale = values[2 * n : 2 * n + VOCABULARY], values[2 * n + VOCABULARY :].reshape(2, SIZE)
+        self.starts = np.arange(VOCABULARY + 1) if starts is None else starts
+        sizes = np.diff(self.starts)
+        self.classes, self.shared = np.repeat(np.arange(len(sizes)), sizes), sizes > 1
+        n, c, w = len(self.classes), len(sizes), len(self.classes) * bool(self.shared.any())
+        ends = np.cumsum([n * SIZE, c * SIZE, c, 2 * SIZE, w * SIZE, w])
+        context, target, self.bias, scale, word, self.word_bias = np.split(values, ends)[:6]
+        self.context, self.target = context.reshape(-1, SIZE), target.reshape(-1, SIZE)
+        self.scale, self.word = scale.reshape(2, SIZE), word.reshape(-1, SIZE)
+        self.fixed = values[ends[0] : ends[3]].reshape(1, -1)  # Used by every token.
+
+    @classmethod
+    def size(cls, starts: np.ndarray) -> int:
+        n, c = int(starts[-1]), len(starts) - 1
+        return n * SIZE + c * (SIZE + 1) + 2 * SIZE + (n * (SIZE + 1) if n > c else 0)
 
     @classmethod
-    def initial(cls, frequencies: np.ndarray) -> Model:
-        n = VOCABULARY * SIZE
-        model = cls(np.empty(2 * n + VOCABULARY + 2 * SIZE, np.float32))
+    def initial(cls, frequencies: np.ndarray, starts: np.ndarray | None = None) -> Model:
+        starts = np.arange(len(frequencies) + 1) if starts is None else starts
+        model = cls(np.empty(cls.size(starts), np.float32), starts)
         draw = np.random.default_rng(SEED)
-        model.context[:] = draw.normal(0, 0.1, (VOCABULARY, SIZE))
-        model.target[:] = draw.normal(0, 0.1, (VOCABULARY, SIZE))
-        model.bias[:] = np.log((frequencies + 0.5) / (frequencies + 0.5).sum())
+        for vectors in (model.context, model.target, model.word):
+            vectors[:] = 0.1 * draw.standard_normal(vectors.shape, np.float32)
+        of_classes = np.add.reduceat(frequencies, starts[:-1])
+        model.bias[:] = np.log((of_classes + 0.5) / (of_classes + 0.5).sum())
         model.scale[:] = 1
+        if len(model.word):
+            model.word_bias[:] = np.log((frequencies + 0.5) / np.add.reduceat(frequencies + 0.5, starts[:-1])[model.classes])
         return model
 
-    def train(self, w1: np.ndarray, w2: np.ndarray, target: np.ndarray, noise: np.ndarray, draw: np.random.Generator, squares: Model) -> None:
-        """One step of noise-contrastive estimation with AdaGrad. noise: cumulated probabilities of the noise words."""
-        drawn = np.minimum(np.searchsorted(noise, draw.random(NOISE)), VOCABULARY - 1)
+    def groups(self) -> list[np.ndarray]:
+        """All parameters as matrices."""
+        return [self.fixed, self.context, self.word, self.word_bias.reshape(-1, 1)]
+
+    def train(
+        self, w1: np.ndarray, w2: np.ndarray, target: np.ndarray, noise: np.ndarray, draw: np.random.Generator, squares: Model,
+        words: np.ndarray | None = None, within: np.ndarray | None = None,
+    ) -> np.ndarray:
+        """One step of noise-contrastive estimation with AdaGrad. Returns the words whose own vectors it used.
+
+        target: classes. noise: cumulated probabilities of the classes. words, within: the same for words.
+        """
+        drawn = np.minimum(np.searchsorted(noise, draw.random(NOISE)), len(noise) - 1)
         chance = np.log(np.diff(noise, prepend=0) * NOISE + 1e-12).astype(np.float32)
         c1, c2 = self.context[w1], self.context[w2]
         predicted = c1 * self.scale[0] + c2 * self.scale[1]
         vectors, others = self.target[target], self.target[drawn]
         logit = np.einsum("ij,ij->i", predicted, vectors) + self.bias[target] - chance[target]
         other = predicted @ others.T + (self.bias[drawn] - chance[drawn])
-        pull = (1 / (1 + np.exp(np.clip(logit, -30, 30)))).astype(np.float32)
-        push = (-1 / (1 + np.exp(-np.clip(other, -30, 30)))).astype(np.float32)
+        pull, push = _pull(logit), _push(other)
         of_predicted = pull[:, None] * vectors + push @ others
-        gradient = Model(np.zeros_like(self.values))
-        _add(gradient.target, target, pull[:, None] * predicted)
-        np.add.at(gradient.target, drawn, push.T @ predicted)
-        gradient.bias += np.bincount(target, pull, VOCABULARY).astype(np.float32)
-        np.add.at(gradient.bias, drawn, push.sum(axis=0))
-        _add(gradient.context, w1, of_predicted * self.scale[0])
-        _add(gradient.context, w2, of_predicted * self.scale[1])
-        gradient.scale[0] += (of_predicted * c1).sum(axis=0)
-        gradient.scale[1] += (of_predicted * c2).sum(axis=0)
-        step = gradient.values / len(target)
-        squares.values += step * step
-        self.values += RATE * step / np.sqrt(squares.values + 1e-8)
+        n, used = len(target), np.zeros(0, np.int64)
+        steps = []
+        if words is not None and len(self.word):
+            deep = np.flatnonzero(self.shared[target])
+            used, *gradients = self._within(words[deep], predicted[deep], within, draw, of_predicted, deep)
+            steps.append((used, (self.word, squares.word, gradients[0]), (self.word_bias, squares.word_bias, gradients[1])))
+        both = np.concatenate([target, drawn])
+        of_target = np.concatenate([pull[:, None] * predicted, push.T @ predicted])
+        of_bias = np.concatenate([pull, push.sum(axis=0)])
+        steps.append((both, (self.target, squares.target, of_target), (self.bias, squares.bias, of_bias)))
+        of_context = np.concatenate([of_predicted * self.scale[0], of_predicted * self.scale[1]])
+        steps.append((np.concatenate([w1, w2]), (self.context, squares.context, of_context)))
+        of_scale = np.stack([np.einsum("ij,ij->j", of_predicted, c1), np.einsum("ij,ij->j", of_predicted, c2)])
+        steps.append((np.arange(2), (self.scale, squares.scale, of_scale)))
+        for places, *changes in steps:
+            _step(places, changes, n)
+        return used
+
+    def _within(self, words: np.ndarray, predicted: np.ndarray, within: np.ndarray, draw: np.random.Generator, of_predicted: np.ndarray, deep: np.ndarray):
+        """Gradients of the words within their classes: words, of their vectors, of their biases. Adds to `of_predicted`.
+
+        Each word has one noise word of its class.
+        """
+        classes = self.classes[words]
+        first, last = self.starts[classes], self.starts[classes + 1] - 1
+        low = np.where(first > 0, within[first - 1], 0)
+        mass = within[last] - low
+        drawn = np.clip(np.searchsorted(within, low + mass * draw.random(len(words))), first, last)
+        chance = lambda w: np.log((within[w] - np.where(w > 0, within[w - 1], 0)) / mass + 1e-12).astype(np.float32)
+        vectors, others = self.word[words], self.word[drawn]
+        pull = _pull(np.einsum("ij,ij->i", predicted, vectors) + self.word_bias[words] - chance(words))
+        push = _push(np.einsum("ij,ij->i", predicted, others) + self.word_bias[drawn] - chance(drawn))
+        of_predicted[deep] += pull[:, None] * vectors + push[:, None] * others
+        of_others = push[:, None] * predicted
+        gradients = np.concatenate([pull[:, None] * predicted, of_others]), np.concatenate([pull, push])
+        return np.concatenate([words, drawn]), *gradients
+
+    def log_chances(self, w1: np.ndarray, w2: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Natural logs of the probabilities of words after their contexts."""
+        pairs, inverse = np.unique(w1 * len(self.classes) + w2, return_inverse=True)
+        near, far = np.divmod(pairs, len(self.classes))
+        predicted = self.context[near] * self.scale[0] + self.context[far] * self.scale[1]
+        normaliser = _log_sums(predicted, self.target, self.bias)
+        classes = self.classes[words]
+        of_words = predicted[inverse]
+        logs = np.einsum("ij,ij->i", of_words, self.target[classes]) + self.bias[classes] - normaliser[inverse]
+        deep = np.flatnonzero(self.shared[classes])
+        if len(deep):
+            deep = deep[np.argsort(classes[deep], kind="stable")]
+            logs[deep] += np.einsum("ij,ij->i", of_words[deep], self.word[words[deep]]) + self.word_bias[words[deep]]
+            bounds = np.flatnonzero(np.diff(classes[deep], prepend=-1, append=-1))
+            for first, stop in zip(bounds[:-1], bounds[1:], strict=True):
+                some, of = deep[first:stop], classes[deep[first]]
+                inside = slice(self.starts[of], self.starts[of + 1])
+                logs[some] -= _log_sums(of_words[some], self.word[inside], self.word_bias[inside])
+        return logs.astype(float)
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Terms of the nearer and the farther context word for each token, and log normalisers of context pairs."""
+        """Terms of the nearer and the farther context word for each class, and log normalisers of all context pairs.
+
+        Quadratic in the vocabulary, so only for small ones.
+        """
         near = (self.context * self.scale[0]) @ self.target.T + self.bias
         far = (self.context * self.scale[1]) @ self.target.T
         top_near, top_far = near.max(axis=1, keepdims=True), far.max(axis=1, keepdims=True)
@@ -165,12 +266,46 @@ class Model:
         return near, far, np.log(np.maximum(mass, 1e-37)) + top_near + top_far.T
 
 
-def _add(into: np.ndarray, places: np.ndarray, values: np.ndarray) -> None:
-    """Adds rows that may share a place."""
-    order = np.argsort(places, kind="stable")
+def _pull(logit: np.ndarray) -> np.ndarray:
+    return (1 / (1 + np.exp(np.clip(logit, -30, 30)))).astype(np.float32)
+
+
+def _push(logit: np.ndarray) -> np.ndarray:
+    return (-1 / (1 + np.exp(-np.clip(logit, -30, 30)))).astype(np.float32)
+
+
+def _log_sums(predicted: np.ndarray, vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """For each row the log of the sum of exp(predicted . vector + bias) over all vectors."""
+    result = np.empty(len(predicted), np.float32)
+    rows = max(16, CELLS // len(vectors))
+    predicted = np.column_stack([predicted, np.ones(len(predicted), np.float32)])
+    terms = np.ascontiguousarray(np.column_stack([vectors, bias]).T)
+    for at in range(0, len(predicted), rows):
+        logits = predicted[at : at + rows] @ terms
+        with np.errstate(over="ignore"):
+            sums = np.exp(logits, out=logits).sum(axis=1)
+        far = np.flatnonzero(~((sums > 1e-20) & (sums < 1e30)))
+        some = result[at : at + rows]
+        some[:] = np.log(np.clip(sums, 1e-20, 1e30))
+        for row in far:
+            exact = predicted[at + row] @ terms
+            some[row] = np.log(np.exp(exact - exact.max()).sum()) + exact.max()
+    return result
+
+
+def _step(places: np.ndarray, changes: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> None:
+    """AdaGrad on the rows at `places`, which may repeat. changes: (values, squares, sums of gradients over n tokens)."""
+    if not len(places):
+        return
+    order = np.argsort(places.astype(np.int32))
     ranked = places[order]
     begin = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    into[ranked[begin]] += np.add.reduceat(values[order], begin, axis=0)
+    rows = ranked[begin]
+    for values, squares, gradients in changes:
+        step = np.add.reduceat(gradients[order], begin, axis=0) / np.float32(n)
+        sums = squares[rows] + step * step
+        squares[rows] = sums
+        values[rows] += RATE * step / np.sqrt(sums + 1e-8)
 
 
 def _narrow(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -209,7 +344,7 @@ def count(narrow: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def frequent(counts: DataFrame, limit: int = FREQUENT) -> Counts:
-    """The table for all tasks. The least count in it is the lowest one that keeps it within `limit` words."""
+    """The table for all tasks: the vocabulary, and down to the lowest count that keeps it within `limit` words."""
     step = F.floor(F.log2("c") * 16).cast("int")  # Under 1,024 steps.
     steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("types"), F.sum("c").alias("tokens")).collect()
     lowest, taken = 1 << 20, 0
@@ -217,79 +352,99 @@ def frequent(counts: DataFrame, limit: int = FREQUENT) -> Counts:
         if taken + row["types"] > limit:
             break
         lowest, taken = row["step"], taken + row["types"]
-    table = counts.where(step >= lowest).toArrow()
+    table = counts.where((step >= lowest) | (F.col("c") >= minimum_count(sum(r["tokens"] for r in steps)))).toArrow()
     keys, found = (np.asarray(table.column(name).combine_chunks()) for name in ("h", "c"))
     keys = keys.view(np.uint64) if len(keys) else np.zeros(0, np.uint64)
     order = np.argsort(keys)
     return Counts(keys[order], found[order].astype(np.int64), sum(r["tokens"] for r in steps), sum(r["types"] for r in steps))
 
 
-def train(narrow: DataFrame, counts: Counts) -> Model:
-    """Every task trains on its own documents; what reaches the driver is one value per parameter."""
-    first = Model.initial(counts.frequencies)
-    noise = np.cumsum((counts.frequencies + 0.5) / (counts.frequencies + 0.5).sum())
-    chunk = 4096
+def train(narrow: DataFrame, counts: Counts, starts: np.ndarray) -> Model:
+    """Every task trains on its own documents and sends how the rows it used have changed, as halves of 32 bits.
+
+    What reaches the driver is the mean change of each row.
+    """
+    smooth = counts.frequencies + 0.5
+    within = np.cumsum(smooth / smooth.sum())
+    noise = within[starts[1:] - 1]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, squares = Model(first.values.copy()), Model(np.zeros_like(first.values))
+        model, squares = Model.initial(counts.frequencies, starts), Model(np.zeros(Model.size(starts), np.float32), starts)
+        first_values = Model(model.values.copy(), starts).groups()
         draw, seen = np.random.default_rng(SEED), 0
+        as_context, as_word = np.zeros(starts[-1], np.int64), np.zeros(len(model.word), np.int64)
         for batch in batches:
             for _, data, offsets in blocks(batch, "text"):
                 hashes, rows = tokens_of(data, offsets)
-                classes, _ = counts.look_up(hashes)
-                w1, w2 = contexts(classes, rows)
-                order = draw.permutation(len(classes))
+                words, _ = counts.look_up(hashes)
+                classes = model.classes[words]
+                w1, w2 = contexts(words, rows)
+                order = draw.permutation(len(words))
                 for at in range(0, len(order), BATCH):
                     pick = order[at : at + BATCH]
-                    model.train(w1[pick], w2[pick], classes[pick], noise, draw, squares)
-                seen += len(classes)
+                    used = model.train(w1[pick], w2[pick], classes[pick], noise, draw, squares, words[pick], within)
+                    np.add.at(as_word, used, 1)
+                np.add.at(as_context, w1, 1)
+                np.add.at(as_context, w2, 1)
+                seen += len(words)
         if seen:
-            parts = [model.values[at : at + chunk] for at in range(0, len(model.values), chunk)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.list_(pa.float32())), pa.array([float(seen)] * len(parts))],
-                ["part", "data", "weight"],
-            )
-
-    sent = narrow.where("not held_out").select("text").mapInArrow(work, "part int, data array<float>, weight double")
-    each = sent.select("part", "weight", F.posexplode("data").alias("at", "value"))
-    mean = each.groupBy("part", "at").agg((F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("value"))
-    table = mean.select((F.col("part") * chunk + F.col("at")).alias("at"), F.col("value").cast("float")).toArrow()
-    if table.num_rows:
-        first.values[np.asarray(table.column("at").combine_chunks())] = np.asarray(table.column("value").combine_chunks())
-    return first
-
-
-_tables: dict[bytes, tuple] = {}
-
-
-def _tables_of(values: np.ndarray) -> tuple:
-    """Made once in each worker process."""
-    key = values[:: len(values) // 64].tobytes()
-    if key not in _tables:
-        _tables.clear()
-        _tables[key] = Model(values).tables()
-    return _tables[key]
-
-
-def score(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text", limit: int = FREQUENT) -> DataFrame:
+            uses = [np.array([seen]), as_context, as_word, as_word]
+            for group, (matrix, before, of) in enumerate(zip(model.groups(), first_values, uses, strict=True)):
+                for first in range(0, len(of), PART):
+                    at = np.flatnonzero(of[first : first + PART])
+                    if len(at):
+                        change = np.clip(matrix[first + at] - before[first + at], -6e4, 6e4).astype(np.float16)
+                        parts = [at.astype(np.int32), of[first + at].astype(np.int32), change]
+                        arrays = [pa.array([group]), pa.array([first])] + [pa.array([x.tobytes()], pa.binary()) for x in parts]
+                        yield pa.RecordBatch.from_arrays(arrays, ["group", "first", "at", "weight", "data"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                at, weight = np.frombuffer(row["at"], np.int32), np.frombuffer(row["weight"], np.int32).astype(float)
+                data = np.frombuffer(row["data"], np.float16).reshape(len(at), -1)
+                total, weights = sums.setdefault((row["group"], row["first"]), (np.zeros((PART if row["group"] else 1, data.shape[1])), np.zeros(PART)))
+                total[at] += data * weight[:, None]
+                weights[at] += weight
+        for (group, first), (total, weights) in sums.items():
+            at = np.flatnonzero(weights)
+            parts = [at.astype(np.int32), (total[at] / weights[at, None]).astype(np.float32)]
+            arrays = [pa.array([group]), pa.array([first])] + [pa.array([x.tobytes()], pa.binary()) for x in parts]
+            yield pa.RecordBatch.from_arrays(arrays, ["group", "first", "at", "data"])
+
+    kind = "group long, first long, at binary"
+    sent = narrow.where("not held_out").select("text").mapInArrow(work, f"{kind}, weight binary, data binary")
+    table = sent.repartition("group", "first").mapInArrow(merge, f"{kind}, data binary").toArrow()
+    model = Model.initial(counts.frequencies, starts)
+    groups = model.groups()
+    for batch in table.to_batches(max_chunksize=64):
+        for row in batch.to_pylist():
+            at = row["first"] + np.frombuffer(row["at"], np.int32)
+            groups[row["group"]][at] += np.frombuffer(row["data"], np.float32).reshape(len(at), -1)
+    return model
+
+
+def score(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text", limit: int = FREQUENT, singles: int = SINGLES) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     narrow = _narrow(docs, id, text)
     every = count(narrow, scratch)
     counts = frequent(every, limit)
-    values = train(narrow, counts).values
+    starts = class_starts(counts.frequencies, singles)
+    values = train(narrow, counts, starts).values
     base_total, other_total = counts.base_total, counts.other_total
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near, far, normaliser = _tables_of(values)
+        model = Model(values, starts)
         for batch in batches:
             for part, data, offsets in blocks(batch, "text"):
                 n = len(offsets) - 1
                 hashes, rows = tokens_of(data, offsets)
-                classes, found = counts.look_up(hashes)
-                w1, w2 = contexts(classes, rows)
+                words, found = counts.look_up(hashes)
+                w1, w2 = contexts(words, rows)
                 here = found >= 0
-                logs = (near[w1, classes] + far[w2, classes] - normaliser[w1, w2]) / np.log(10)
-                other = here & (classes == VOCABULARY - 1)
+                logs = model.log_chances(w1, w2, words) / np.log(10)
+                other = here & (words == starts[-1] - 1)
                 logs[other] += np.log10((found[other] + 0.5) / other_total)
                 base = np.where(here, np.log10((np.maximum(found, 0) + 0.5) / base_total), 0)
                 bounds = np.searchsorted(rows[~here], np.arange(n + 1)).astype(np.int32)

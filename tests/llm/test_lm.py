@@ -75,3 +75,51 @@ def test_empty_and_untrained(spark):
     held_out = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 5 == 1)
     row = lm.score(documents(spark, ["some words"], [held_out]), Scratch(spark)).first()
     assert row.train_tokens == 0 and row.n_known == 0 and row.base_score == 0 and row.score < 0
+
+
+def test_words_outside_the_most_frequent_have_an_order(spark):
+    """2,500 words of equal count: each is followed by its successor, so the order of any of them tells."""
+    texts = []
+    for k in range(300):
+        start = k * 37 % 2500
+        texts.append(" ".join(f"w{(start + j) % 2500}" for j in range(400)))
+    probe = [f"w{j} w{j + 1} w{j + 2} w{j + 3}" for j in range(0, 2400, 6)]
+    turned = [" ".join(text.split()[::-1]) for text in probe]
+    held = [k for k in range(10_000, 20_000) if zlib.crc32(str(k).encode()) % 5 == 1][: 2 * len(probe)]
+    docs = documents(spark, [*texts, *probe, *turned], [*range(300), *held]).coalesce(1)
+    found = {r.id: r.score for r in lm.score(docs, Scratch(spark)).collect()}
+    pairs = [(found[a], found[b]) for a, b in zip(held, held[len(probe) :], strict=False)]
+    assert sum(a == b for a, b in pairs) == 0
+
+
+def test_vocabulary_grows_with_the_corpus():
+    keys = np.arange(1, 300_001, dtype=np.uint64)
+    sizes = [len(lm.Counts(keys[:n], np.full(n, 5), 5 * n, n).frequencies) for n in (1000, 300_000)]
+    assert sizes == [1002, 300_002]
+
+
+def test_two_levels_sum_to_one():
+    draw = np.random.default_rng(5)
+    frequencies = np.sort(draw.integers(1, 1000, 3000))[::-1].astype(float)
+    starts = lm.class_starts(frequencies)
+    assert starts[0] == 0 and starts[-1] == 3000 and (np.diff(starts) > 0).all() and len(starts) < 200
+    model = lm.Model.initial(frequencies, starts)
+    model.values[:] += draw.normal(0, 0.2, len(model.values)).astype(np.float32)
+    words = np.arange(3000)
+    for w1, w2 in draw.integers(0, 3000, (10, 2)):
+        assert abs(np.exp(model.log_chances(np.full(3000, w1), np.full(3000, w2), words)).sum() - 1) < 1e-3
+
+
+def test_word_within_its_class_is_learned():
+    draw = np.random.default_rng(6)
+    frequencies = np.ones(200)
+    starts = lm.class_starts(frequencies, 10)
+    model, squares = lm.Model.initial(frequencies, starts), lm.Model(np.zeros(lm.Model.size(starts), np.float32), starts)
+    within = np.cumsum(frequencies / frequencies.sum())
+    w1 = draw.integers(0, 200, 4000)
+    words = (w1 * 7 + 3) % 200
+    chance = lambda: np.exp(model.log_chances(w1, np.zeros_like(w1), words)).mean()
+    before = chance()
+    for _ in range(150):
+        model.train(w1, np.zeros_like(w1), model.classes[words], within[starts[1:] - 1], draw, squares, words, within)
+    assert chance() > 20 * before
