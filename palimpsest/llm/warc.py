@@ -4,7 +4,8 @@ A reader that looks for the magic line of a record also finds it inside payloads
 and emit, for each magic line, a candidate: its offset and the offset its length points to. Record chains that run
 through a split are contracted there; pointer jumping over the rest, from the start of each file, doubles the way with
 each turn and keeps the records that can be reached. Other candidates are parts of a payload, and payloads that contain a
-magic line are put together again from their parts.
+magic line are put together again from their parts. A second scan finds those by their SHA-1, so its splits may differ
+from those of the first; a part that it does not find is an error.
 
 Writing and reading are Spark's text sink and source with own line ends, so archives can be on any file system
 and are split like any text file. Only built-in functions run here.
@@ -106,6 +107,10 @@ def _parts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _text_key() -> F.Column:
+    return F.unhex(F.sha1("value")).alias("text")
+
+
 def _header(name: str, header: str = "header") -> F.Column:
     found = F.regexp_extract(F.concat(F.lit(LINE), header), f"(?i)\\r\\n{name}:[ \\t]*([^\\r\\n]*)", 1)
     return F.nullif(found, F.lit(""))
@@ -128,7 +133,10 @@ def _understood(value: str) -> dict[str, F.Column]:
 
 
 def candidates(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
-    """(file, block, place, off, next, own_end, fields): what every magic line would be if it began a record."""
+    """(file, block, place, off, next, own_end, text, fields): what every magic line would be if it began a record.
+
+    text: digest of what stands between it and the next one.
+    """
     size = F.octet_length("value") + len(MAGIC)
     header = F.substring_index("value", GAP, 1)
     length = F.try_to_number(_header("Content-Length", header), F.lit("999999999999999"))
@@ -136,7 +144,7 @@ def candidates(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
     whole = record == size  # The next magic line stands where this record ends.
     fields = F.when(whole & F.contains("value", F.lit(GAP)), F.struct(*[c.alias(n) for n, c in _understood("value").items()]))
     parts = _parts(spark, path).select(
-        "file", "block", "place", size.cast("long").alias("size"),
+        "file", "block", "place", size.cast("long").alias("size"), _text_key(),
         F.when(F.contains("value", F.lit(GAP)), record).alias("record"), fields.alias("fields"),
     )
     parts = scratch.keep(parts, "parts")
@@ -148,7 +156,7 @@ def candidates(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
     inside = parts.withColumn("ahead", ahead)
     placed = inside.join(blocks, ["file", "block"]).withColumn("off", F.col("before") + F.col("ahead") - len(MAGIC))
     return placed.select(
-        "file", "block", "place", "off", (F.col("off") + F.col("record")).alias("next"), (F.col("off") + F.col("size")).alias("own_end"), "fields"
+        "file", "block", "place", "off", (F.col("off") + F.col("record")).alias("next"), (F.col("off") + F.col("size")).alias("own_end"), "text", "fields"
     )
 
 
@@ -198,10 +206,14 @@ def read(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
     if not broken.isEmpty():
         near = F.explode(F.sequence((F.col("off") / REACH).cast("long"), (F.col("next") / REACH).cast("long")))
         spread = broken.select("file", F.col("off").alias("start"), "next", near.alias("near"))
-        parts = found.where("off >= 0").select("file", "block", "place", "off", (F.col("off") / REACH).cast("long").alias("near"))
-        wanted = parts.join(spread, ["file", "near"]).where("start <= off and off < next").select("file", "block", "place", "off", "start")
-        texts = _parts(spark, path).join(wanted, ["file", "block", "place"])  # The same splits, so the same places.
-        joined = texts.groupBy("file", "start").agg(F.sort_array(F.collect_list(F.struct("off", "value"))).alias("all"))
+        parts = found.where("off >= 0").select("file", "off", "text", (F.col("off") / REACH).cast("long").alias("near"))
+        wanted = parts.join(spread, ["file", "near"]).where("start <= off and off < next").select("file", "off", "start", "text")
+        wanted = scratch.keep(wanted, "wanted")
+        texts = _parts(spark, path).select("value", _text_key()).join(wanted.select("text").distinct(), "text", "left_semi")
+        texts = texts.groupBy("text").agg(F.first("value").alias("value"))
+        lost = F.raise_error(F.concat(F.lit("part of a record not found again: "), "file", F.lit(" at "), F.col("off").cast("string")))
+        found_again = wanted.join(texts, "text", "left").withColumn("value", F.coalesce("value", lost.cast("string")))
+        joined = found_again.groupBy("file", "start").agg(F.sort_array(F.collect_list(F.struct("off", "value"))).alias("all"))
         joined = joined.select(F.array_join(F.transform("all", lambda p: p["value"]), MAGIC).alias("value"))
         whole = whole.unionByName(joined.select(*[c.alias(n) for n, c in _understood("value").items()]))
     is_revisit = F.col("record_type") == "revisit"

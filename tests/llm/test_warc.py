@@ -72,3 +72,31 @@ def test_file_that_does_not_begin_with_a_record(spark, tmp_path):
 
 def test_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA), Scratch(spark)).count() == 0
+
+
+def test_second_scan_with_other_splits(spark, tmp_path):
+    """The text is scanned again only when the result is asked for."""
+    path = str(tmp_path / "archives")
+    pages = spark.createDataFrame(ROWS, SCHEMA).coalesce(1)
+    warc.write(warc.records(pages, Scratch(spark)), path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3k")
+    try:
+        result = warc.read(spark, path, Scratch(spark))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "701b")
+        rows = result.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    found = {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, r.intact) for r in rows}
+    assert len(rows) == len(ROWS) and found == expected(ROWS)
+
+
+def test_a_part_that_is_gone_is_an_error(spark, tmp_path):
+    path = tmp_path / "archives"
+    warc.write(warc.records(spark.createDataFrame([(5, "u", FALSE)], SCHEMA), Scratch(spark)), str(path))
+    result = warc.read(spark, str(path), Scratch(spark))
+    for file in path.glob("part-*"):
+        file.write_bytes(file.read_bytes().replace(b"hello", b"jello"))
+    for file in path.glob(".part-*.crc"):
+        file.unlink()
+    with pytest.raises(Exception, match="not found again"):
+        result.collect()
