@@ -242,6 +242,15 @@ def test_stray_files_are_counted_but_not_converted(spark, dump):
     assert ids(spark.table("enwiki_20150923")) == ids(spark.table("enwiki_20150923_fulltext")) == [11, 12, 21, 22, 23]
 
 
+def test_stray_files_are_not_converted_by_a_later_run(spark, dump):
+    stray = HEAD + page(9, "Nine", revision(991, time(1))) + "</export>\n"
+    Path(dump.xml_path, "stray.xml").write_text(stray)
+    only_check = Options(convert_xml=False, fulltext_table=False, metadata_table=False, metadata_load=False)
+    assert run(spark, dump, only_check)["unexpected_files"] == "1"
+    run(spark, dump, Options(check_files=False, revdoc_files=2, metadata_files=2))
+    assert ids(spark.table("enwiki_20150923")) == ids(spark.table("enwiki_20150923_fulltext")) == [11, 12, 21, 22, 23]
+
+
 @pytest.mark.parametrize("check", ["sha1", "size"])
 def test_other_checks(spark, dump, check):
     lines = []
