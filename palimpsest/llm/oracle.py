@@ -1,5 +1,57 @@
 """The queries that SQL can express, for DuckDB."""
 
+from palimpsest.llm import centroids
+
+
+def _clusters() -> str:
+    """Rounds of assignment written out one after another."""
+    parts = [
+        f"""kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, sha256('{centroids.SEED}:' || coalesce(vec_id::VARCHAR, '')) AS h,
+                list_transform(embedding, lambda x: floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE len(embedding) = {centroids.SIZE}
+                AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {centroids.SIZE}
+        )""",
+        f"""c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY h, vec_id NULLS LAST, v) - 1 AS c, v FROM kept
+            ORDER BY h, vec_id NULLS LAST, v LIMIT {centroids.CENTROIDS}
+        )""",
+    ]
+    for k in range(centroids.ROUNDS + 1):
+        parts.append(
+            f"""a{k} AS MATERIALIZED (
+            SELECT r, any_value(vec_id) AS vec_id, any_value(kept.v) AS v, min({{'d': d, 'c': c}}) AS best
+            FROM (
+                SELECT r, vec_id, kept.v AS v, c,
+                    list_sum(list_transform(list_zip(kept.v, c{k}.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+                FROM kept CROSS JOIN c{k}
+            ) AS kept GROUP BY r
+        )"""
+        )
+        if k < centroids.ROUNDS:
+            parts.append(
+                f"""m{k} AS (
+            SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v
+            FROM (
+                SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n
+                FROM (SELECT best.c AS c, unnest(v) AS x, unnest(range(len(v))) AS i FROM a{k}) GROUP BY c, i
+            ) GROUP BY c
+        ), c{k + 1} AS MATERIALIZED (SELECT c{k}.c AS c, coalesce(m{k}.v, c{k}.v) AS v FROM c{k} LEFT JOIN m{k} USING (c))"""
+            )
+    last = centroids.ROUNDS
+    return f"""WITH {", ".join(parts)}
+        SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance,
+            sum(best.d) OVER (PARTITION BY best.c)::BIGINT AS cluster_inertia, sum(best.d) OVER ()::BIGINT AS inertia,
+            sha256(array_to_string(c{last}.v, ',')) AS centroid_sha256
+        FROM a{last} JOIN c{last} ON best.c = c{last}.c"""
+
+
+WORDS = r"""regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'
+    )"""
+
 ORACLE = {
     "op2_exact_dedup": r"""
         WITH texts AS (
@@ -28,4 +80,27 @@ ORACLE = {
             true AS intact
         FROM groups
     """,
+    "op11_centroids": _clusters(),
+    "op12_decontaminate": f"""
+        WITH items AS (
+            SELECT coalesce(item_id::VARCHAR, '') AS item, {WORDS} AS ws FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item, least(10, len(ws)) AS n, array_to_string(ws[i : i + least(10, len(ws)) - 1], ' ') AS gram
+            FROM items, unnest(range(1, greatest(len(ws) - 10, 0) + 2)) AS t(i) WHERE len(ws) > 0
+        ), docs AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, doc_id, {WORDS} AS ws FROM documents
+        ), hits AS (
+            SELECT DISTINCT r, i, n, item FROM (
+                SELECT r, i, s.n AS n, array_to_string(ws[i : i + s.n - 1], ' ') AS gram
+                FROM docs, (SELECT DISTINCT n FROM windows) AS s, unnest(range(1, len(ws) - s.n + 2)) AS t(i)
+            ) JOIN windows USING (n, gram)
+        ), hit_words AS (
+            SELECT r, count(DISTINCT w) AS n_hit FROM hits, unnest(range(i, i + n)) AS t(w) GROUP BY r
+        ), hit_items AS (
+            SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM hits GROUP BY r
+        )
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+    """,
 }

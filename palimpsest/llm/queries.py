@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import exact, licenses, lm, neardup, packing, pii, quality, sentencepieces, urls, warc
+from palimpsest.llm import (
+    centroids, decontaminate, exact, licenses, lm, neardup, packing, pii, quality, resample, sentencepieces, urls, warc,
+)
 from palimpsest.storage import session_scratch
 
 
@@ -67,10 +69,27 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_table(spark, sf_dir, "documents"), session_scratch(spark)).withColumnRenamed("id", "doc_id")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(_table(spark, sf_dir, "embeddings"), session_scratch(spark))
+    return found.withColumnRenamed("id", "vec_id").drop("centroid")
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), session_scratch(spark))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items", decontaminate.items_sha256().alias("items_sha256"), "contaminated"
+    )
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), session_scratch(spark))
+    return found.withColumnRenamed("id", "doc_id").drop("n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii, op2_exact_dedup, op3_packing, op4_sentencepiece, op5_licenses, op6_near_dedup, op7_warc, op8_quality,
-        op9_url_filter, op10_lm_score,
+        op9_url_filter, op10_lm_score, op11_centroids, op12_decontaminate, op13_resample,
     )
 }

@@ -1,0 +1,106 @@
+import re
+
+import numpy as np
+from helpers_llm import AWKWARD, awkward, documents, prose
+
+from palimpsest.llm import decontaminate
+from palimpsest.storage import Scratch
+
+LOWER = {c: c + 32 for c in range(65, 91)}
+ITEM_SCHEMA = "item_id long, text string, id string, seq string"
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def items(spark, rows):
+    return spark.createDataFrame([(i, t, "id", "seq") for i, t in rows], ITEM_SCHEMA)
+
+
+def brute(texts, benchmark):
+    table = {}
+    for i, text in benchmark:
+        found = words(text)
+        n = min(10, len(found))
+        for k in range(len(found) - n + 1 if n else 0):
+            table.setdefault(tuple(found[k : k + n]), set()).add("" if i is None else str(i))
+    out = []
+    for text in texts:
+        found, hit, names = words(text), set(), set()
+        for n in range(1, 11):
+            for k in range(len(found) - n + 1):
+                if (window := tuple(found[k : k + n])) in table:
+                    hit |= set(range(k, k + n))
+                    names |= table[window]
+        out.append((len(found), len(hit), sorted(names)))
+    return out
+
+
+def check(spark, texts, benchmark, **options):
+    scanned = decontaminate.scan(documents(spark, texts), items(spark, benchmark), Scratch(spark), carry=True, **options)
+    rows = {r.id: r for r in scanned.collect()}
+    for k, expected in enumerate(brute(texts, benchmark)):
+        row = rows[k]
+        assert (row.n_words, row.n_hit, row["items"]) == expected, (k, texts[k][:80])
+        assert row.contaminated == (row.n_hit > 0) and row.n_items == len(row["items"])
+        assert sum(s.stop - s.first for s in row.spans) == row.n_hit
+    return scanned
+
+
+def mixed():
+    passages = [prose(n, 900 + n) for n in (3, 9, 10, 11, 40, 200)]
+    benchmark = [*enumerate(passages), (7, passages[3]), (None, passages[4]), (2, "another text of item two " + prose(20, 5)), (8, None), (9, " .,; ")]
+    benchmark += [(10, "É日本 x"), (11, "the of and to in is was for on with as by")]
+    texts = [prose(100, k) for k in range(20)]
+    for k, passage in enumerate(passages):
+        texts.append(f"{prose(30, k)} {passage.upper().replace(' ', ' -- ')} {prose(30, k + 50)}")
+        texts.append(passage)
+        texts.append(" ".join(passage.split()[1:]))
+        texts.append(f"{passage} {passage}, {passage}")
+    texts += ["é日本 X", "É日本 X", "word É日本 x word", passages[4] + passages[5], *[t for t in AWKWARD]]
+    return texts, benchmark
+
+
+def test_same_as_brute_force(spark):
+    check(spark, *mixed())
+
+
+def test_slices_and_parts_give_the_same(spark):
+    """Items spread over many slices, and long items cut."""
+    check(spark, *mixed(), slice_bytes=300)
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark)
+    rows = decontaminate.scan(docs, items(spark, [(1, "one"), (2, "two THREE")]), Scratch(spark), carry=True).collect()
+    assert len(rows) == docs.count()
+    expected = dict(zip([*AWKWARD, "one"], brute([*AWKWARD, "one"], [(1, "one"), (2, "two THREE")]), strict=True))
+    for row in rows:
+        assert (row.n_words, row.n_hit, row["items"]) == expected[row.row.text] and row.row.id == "id"
+
+
+def test_empty_tables(spark):
+    assert decontaminate.scan(documents(spark, []), items(spark, [(1, "one")]), Scratch(spark)).count() == 0
+    rows = decontaminate.scan(documents(spark, ["one", None]), items(spark, []), Scratch(spark)).collect()
+    assert [(r.n_words, r.n_hit, r["items"]) for r in rows] == [(1, 0, []), (0, 0, [])]
+
+
+def test_equal_hashes_do_not_count(monkeypatch):
+    """With hashes that say nothing, words are compared and only real hits stay."""
+    data = np.frombuffer(b"a b c dx a b y", np.uint8)
+    found = decontaminate.Words.of(data, np.array([0, 7, 14]))
+    expected = decontaminate.Windows(["1", "2"], ["a b", "c a"]).hits(found)
+    real = decontaminate.windows
+    monkeypatch.setattr(decontaminate, "windows", lambda *a: (real(*a)[0] * np.uint64(0), real(*a)[1]))
+    table = decontaminate.Windows(["1", "2"], ["a b", "c a"])
+    assert [x.tolist() for x in table.hits(found)[:2]] == [x.tolist() for x in expected[:2]] == [[0, 5], [2, 2]]
+
+
+def test_removal(spark):
+    passage = prose(15, 3)
+    texts = [f"Before, {passage}! After", "clean text", None, passage, "日本 " + passage + " é"]
+    scanned = decontaminate.scan(documents(spark, texts), items(spark, [(1, passage)]), Scratch(spark), carry=True)
+    cleaned = {r.id: r.cleaned for r in decontaminate.remove_spans(scanned).collect()}
+    assert cleaned == {0: "Before, ! After", 1: "clean text", 2: None, 3: "", 4: "日本  é"}
+    assert {r.doc_id for r in decontaminate.clean_documents(scanned).collect()} == {1, 2}

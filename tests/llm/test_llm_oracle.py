@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     database = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings", "benchmark"):
         database.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     expected = database.sql(ORACLE[name])
     actual = QUERIES[name](spark, SF_DIR)
@@ -24,4 +24,4 @@ def test_query_matches_sql(spark, name):
 
 def test_registered():
     names = entry_point.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in names} and "pipeline" in names
