@@ -3,118 +3,162 @@
 Training documents are those whose crc32(id as text) mod 5 is not 1. Tokens are words, A-Z lower-cased, and one end
 per document. Counts of all training words make the base.
 
-The model predicts a token from the two before it: its logit is the product of the token's vector with the sum of the
-context's vectors, each scaled by its position, plus a bias. Its vocabulary is the end, every word that occurs at least
-`minimum_count` times (2, or a thousandth of the root of the number of tokens), so it grows with the corpus, and one
-entry for all rarer words, within which the counts decide; so a text of any words has a probability. Each word of the
-vocabulary has a context vector of its own. It is predicted in two levels, its class and then the word within its class,
-both by the context: the most frequent words are classes of their own, the others share classes of about equal sums of
-roots of frequencies. Every task trains on all tokens of its own documents, at both levels against noise drawn from the
-unigram distribution, beginning with the same parameters. The model is the average of each row of parameters over the
-tasks that used it, weighted by uses. When scoring, the normalisers of both levels are sums over all classes and over all
-words of a class, by matrix products per block, so every log-probability is exact.
-
-The memory of a task grows with the vocabulary, the time per token with the number of classes, which is about its root.
-
-Counts of the words that make up most of the text, at most FREQUENT of them, go to all tasks; the others are joined.
+The model predicts a token from the two before it. Its leaves are the end, the most frequent words, OWN times the root of
+the number of tokens, and BUCKETS times that root of buckets, to which all other words are dealt by hash; so what is learned
+grows with the corpus, and every word has vectors that take part. Within a bucket the counts decide. Leaves hang in a
+tree: of the leaves below a node the most frequent are its children, the others are dealt to groups of about equal sums
+of roots of frequencies, which are its children too, until BRANCH leaves or fewer are left. At each node on the way to its leaf a
+token is predicted by one rule: the logit of a child is the product of its vector with the sum of the context's vectors, each
+scaled by its position, plus a bias. The normaliser of a node is the sum over its children, by matrix products, so every
+log-probability is exact, and a text of any words has one. There is one such form for corpora of all sizes.
+
+Training uses all tokens of all training documents once, in ROUNDS rounds. Texts are dealt by hash to rounds and shards; the
+number of shards follows from the number of tokens. In a round every shard trains on its part in an order that depends on
+hashes only, beginning with the same parameters. Changes are merged by blocks of rows: a row moves by the mean of
+the changes of the shards that used it, and so do its sums of squares. The next round begins with the result. Neither the number
+of tasks nor the order in which they end plays a part. Parameters are kept as halves of 32 bits between rounds.
+
+What all tasks hold is proportional to the root of the number of tokens: the table of TABLE times that root of counts, 12 bytes
+a word, and the parameters, 66 bytes a leaf and 12 more while training.
 
 * Null text counts as empty: its one token is the end. Null ids are training documents.
-* Rows are scored one by one, so repeated rows and repeated ids give repeated results. An empty table gives an empty
-  result. Without training documents every base probability is 1, and the model's is that of its first parameters.
-* Other columns of the input take no part. Words are told apart by 64-bit hashes.
+* Rows are scored one by one, so repeated rows and repeated ids give repeated results. Rows with equal ids and texts are
+  dealt to shards in turn; which is which is up to their places in the table. An empty table gives an empty result. Without
+  training documents every base probability is 1, and the model's is that of its first parameters.
+* Words of equal counts are told apart by their hashes, so ties do not depend on order.
+* Very long texts: encoding takes some 25 times the size of the longest text, training and scoring go by runs of tokens.
+* Other columns of the input, whatever their names, take no part. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.llm.blocks import LOWER, blocks, hash_spans, word_spans
+from palimpsest.llm.blocks import LOWER, blocks, hash_spans, mix, word_spans
 from palimpsest.storage import Scratch
 
 FOLDS, HELD_OUT = 5, 1
-PART = 8192  # Rows of parameters sent together.
-FREQUENT = 1 << 19  # Words whose counts all tasks hold: 8 MB.
-VOCABULARY = 2048  # Words of a model that is given no other number.
-SINGLES = 1024  # A vocabulary up to this size has classes of one word only.
-CELLS = 1 << 17  # Logits held at once when scoring.
-SIZE = 32  # Of the vectors.
-NOISE = 32  # Noise classes per batch.
-BATCH = 4096
+OWN, BUCKETS, TABLE = 16, 4, 64  # Per root of the number of tokens: words with vectors of their own, buckets, counts sent to all tasks.
+BRANCH = 256  # Children of a node.
+SIZE = 16  # Of the vectors.
+NOISE = 32  # Noise children of the root per batch; one per token further down.
+BATCH = 2048
 RATE = 0.1
+ROUNDS = 4
+SHARD_TOKENS, SHARD_ROOT = 1 << 20, 200  # Tokens of a shard in a round: at least the first, and this many times the root.
+POOL = 1 << 18  # Tokens shuffled among one another.
+CUT = 1 << 15  # Tokens of a text that go to one shard together.
+RUN = 1 << 19  # Tokens scored at once.
+PART = 2048  # Rows of parameters merged together.
+CELLS = 1 << 17  # Logits held at once when scoring.
 SEED = 20240101
 END = np.uint64(0x5F3A9D0C47E1B286)  # Stands for the hash of the end.
 
-SCORED = (
-    "seq long, id long, held_out boolean, n_tokens long, known long, base double, lm double, rare array<long>"
+ENCODED = (
+    "seq long, id long, held_out boolean, n_tokens long, known long, base double, inner double, turn int, key long, words binary, rare array<long>"
 )
+SCORED = "seq long, id long, held_out boolean, n_tokens long, known long, base double, lm double"
+
+
+class Tree:
+    """Nodes below the root, numbered so that children of one parent follow one another."""
+
+    def __init__(self, frequencies: np.ndarray, branch: int = BRANCH):
+        """frequencies: of the leaves, falling."""
+        roots, half = np.sqrt(frequencies + 0.5), branch // 2
+        levels, nodes, first, last = [], [], [], []
+        level, count = [(0, len(frequencies))], 0
+        while level:
+            below, of_leaf = [], np.full(len(frequencies), -1, np.int32)
+            for a, b in level:
+                edges = np.arange(a, (b if b - a <= branch else a + half) + 1)
+                if edges[-1] < b:
+                    mass = np.cumsum(roots[edges[-1] : b])
+                    cuts = edges[-1] + np.searchsorted(mass, mass[-1] * np.arange(1, half) / half)
+                    edges = np.unique(np.concatenate([edges, cuts, [b]]))
+                n = len(edges) - 1
+                of_leaf[a:b] = np.repeat(np.arange(count, count + n), np.diff(edges))
+                below += [(int(x), int(y)) for x, y in zip(edges, edges[1:], strict=False) if y - x > 1]
+                nodes.append(np.add.reduceat(frequencies[:b], edges[:-1]))
+                first.append(np.full(n, count))
+                last.append(np.full(n, count + n))
+                count += n
+            levels.append(of_leaf)
+            level = below
+        self.paths = np.stack(levels, axis=1)  # By leaf and depth: the node, or -1 below the leaf.
+        self.first, self.last = np.concatenate(first), np.concatenate(last)  # Of a node's siblings.
+        self.mass = np.concatenate([[0.0], np.cumsum(np.concatenate(nodes) + 0.5)])
+        self.chances = np.log(np.diff(self.mass) / (self.mass[self.last] - self.mass[self.first])).astype(np.float32)
+
+
+def leaves_for(tokens: int, per_root: float) -> int:
+    return math.ceil(per_root * math.sqrt(tokens))
 
 
 @dataclass
-class Counts:
-    """Counts of frequent words by ascending hash, and totals over all of them."""
+class Vocabulary:
+    """Counts of the most frequent words by ascending hash, their leaves, and totals over all words."""
 
     keys: np.ndarray
     counts: np.ndarray
+    leaves: np.ndarray
+    of_bucket: np.ndarray  # Leaf of each bucket.
+    bucket_totals: np.ndarray  # Smoothed sums of the counts in each bucket.
+    frequencies: np.ndarray  # Of the leaves, falling.
     tokens: int  # N
     types: int  # V
-    words: np.ndarray = field(init=False)  # Place in the model's vocabulary.
-    frequencies: np.ndarray = field(init=False)  # Of the vocabulary: the end, words by falling count, all others.
-
-    def __post_init__(self):
-        order = np.lexsort((self.keys, -self.counts))
-        order = order[(self.keys[order] != END) & (self.counts[order] >= minimum_count(self.tokens))]
-        size = len(order) + 2
-        self.words = np.full(len(self.keys), size - 1, np.int64)
-        self.words[order] = np.arange(1, size - 1)
-        self.words[self.keys == END] = 0
-        frequencies = np.bincount(self.words, self.counts, size)
-        frequencies[-1] += self.tokens - self.counts.sum()
-        self.frequencies = frequencies
-        self.known_types = len(order) + int((self.keys == END).any())
-
-    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place in the vocabulary and count of each; the count is -1 where the table does not say."""
+    end: int  # Leaf of the end.
+
+    @classmethod
+    def of(cls, keys: np.ndarray, counts: np.ndarray, tokens: int, types: int, buckets: np.ndarray, bucket_types: np.ndarray, own: int) -> Vocabulary:
+        """keys ascend and are the most frequent words; buckets: sums of counts and numbers of all words by bucket."""
+        order = np.lexsort((keys, -counts))
+        order = order[keys[order] != END][:own]
+        n = len(order)
+        frequencies = np.zeros(1 + n + len(buckets))
+        frequencies[1 : n + 1] = counts[order]
+        frequencies[0] = counts[keys == END].sum()
+        apart = np.concatenate([order, np.flatnonzero(keys == END)])  # Words that are in no bucket.
+        of_apart = bucket_of(keys[apart], len(buckets))
+        sums = buckets - np.bincount(of_apart, counts[apart], len(buckets))
+        frequencies[n + 1 :] = sums
+        rank = np.empty(len(frequencies), np.int32)
+        rank[np.lexsort((np.arange(len(frequencies)), -frequencies))] = np.arange(len(frequencies))
+        of_bucket = rank[n + 1 :]
+        leaves = of_bucket[bucket_of(keys, len(buckets))]
+        leaves[order], leaves[keys == END] = rank[1 : n + 1], rank[0]
+        totals = sums + 0.5 * (bucket_types - np.bincount(of_apart, minlength=len(buckets)) + 1)
+        return cls(keys, counts, leaves, of_bucket, totals, np.sort(frequencies)[::-1], tokens, types, int(rank[0]))
+
+    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Leaf, count (-1 where the table does not say) and log10 of the probability within the leaf, without the
+        word's own count where that is not known."""
         unique, inverse = np.unique(hashes, return_inverse=True)
-        words, counts = np.full(len(unique), len(self.frequencies) - 1), np.full(len(unique), -1)
+        buckets = bucket_of(unique, len(self.of_bucket))
+        leaves, counts = self.of_bucket[buckets], np.full(len(unique), -1, np.int64)
         if len(self.keys):
             at = np.minimum(np.searchsorted(self.keys, unique), len(self.keys) - 1)
             known = self.keys[at] == unique
-            words[known], counts[known] = self.words[at[known]], self.counts[at[known]]
-        words[unique == END] = 0
-        return words[inverse], counts[inverse]
+            leaves[known], counts[known] = self.leaves[at[known]], self.counts[at[known]]
+        leaves[unique == END] = self.end
+        inner = np.where(leaves == self.of_bucket[buckets], -np.log10(self.bucket_totals[buckets]), 0)
+        inner[(inner != 0) & (counts >= 0)] += np.log10(counts[(inner != 0) & (counts >= 0)] + 0.5)
+        return leaves[inverse], counts[inverse], inner[inverse]
 
     @property
     def base_total(self) -> float:
         return self.tokens + 0.5 * (self.types + 1)
 
-    @property
-    def other_total(self) -> float:
-        """The same for words outside the model's vocabulary."""
-        return self.frequencies[-1] + 0.5 * (self.types - self.known_types + 1)
 
-
-def minimum_count(tokens: int) -> int:
-    """Of a word of the model's vocabulary."""
-    return max(2, math.ceil(math.sqrt(tokens) / 1000))
-
-
-def class_starts(frequencies: np.ndarray, singles: int = SINGLES) -> np.ndarray:
-    """Where each class begins in the vocabulary, and its end. Some root of the size of classes have many words each."""
-    size = len(frequencies)
-    if size <= singles:
-        return np.arange(size + 1)
-    shared = math.ceil(math.sqrt(size))
-    alone = shared // 2
-    mass = np.cumsum(np.sqrt(frequencies[alone : size - 1] + 0.5))
-    cuts = alone + np.searchsorted(mass, mass[-1] * np.arange(1, shared) / shared)
-    return np.unique(np.concatenate([np.arange(alone + 1), cuts, [size - 1, size]]))
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return hashes.view(np.int64) % buckets
 
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,185 +171,133 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return hashes, np.repeat(np.arange(n), np.bincount(rows, minlength=n) + 1)
 
 
-def contexts(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The token before each and the one before that; ends stand for what is before a text."""
+def contexts(words: np.ndarray, rows: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The leaf before each and the one before that; ends stand for what is before a text."""
     result = []
     for back in (1, 2):
-        shifted = np.zeros_like(words)
+        shifted = np.full_like(words, end)
         if len(words) > back:
-            same = rows[back:] == rows[:-back]
-            shifted[back:] = np.where(same, words[:-back], 0)
+            shifted[back:] = np.where(rows[back:] == rows[:-back], words[:-back], end)
         result.append(shifted)
     return result[0], result[1]
 
 
 class Model:
-    """Parameters as one array of 32-bit floats, with views on its parts.
-
-    starts: where the classes begin in the vocabulary; without it every word is a class.
-    """
-
-    def __init__(self, values: np.ndarray, starts: np.ndarray | None = None):
-        self.values = values
-        self.starts = np.arange(VOCABULARY + 1) if starts is None else starts
-        sizes = np.diff(self.starts)
-        self.classes, self.shared = np.repeat(np.arange(len(sizes)), sizes), sizes > 1
-        n, c, w = len(self.classes), len(sizes), len(self.classes) * bool(self.shared.any())
-        ends = np.cumsum([n * SIZE, c * SIZE, c, 2 * SIZE, w * SIZE, w])
-        context, target, self.bias, scale, word, self.word_bias = np.split(values, ends)[:6]
-        self.context, self.target = context.reshape(-1, SIZE), target.reshape(-1, SIZE)
-        self.scale, self.word = scale.reshape(2, SIZE), word.reshape(-1, SIZE)
-        self.fixed = values[ends[0] : ends[3]].reshape(1, -1)  # Used by every token.
+    """Vectors of leaves as contexts, vectors and biases of nodes, scales of the two positions, and for each row of these its
+    sum of squares, by which AdaGrad shortens its steps."""
 
-    @classmethod
-    def size(cls, starts: np.ndarray) -> int:
-        n, c = int(starts[-1]), len(starts) - 1
-        return n * SIZE + c * (SIZE + 1) + 2 * SIZE + (n * (SIZE + 1) if n > c else 0)
+    def __init__(self, tree: Tree, groups: list[np.ndarray], squares: list[np.ndarray]):
+        self.tree = tree
+        self.context, self.node, self.bias, self.scale = self.groups = groups
+        self.squares = squares
 
     @classmethod
-    def initial(cls, frequencies: np.ndarray, starts: np.ndarray | None = None) -> Model:
-        starts = np.arange(len(frequencies) + 1) if starts is None else starts
-        model = cls(np.empty(cls.size(starts), np.float32), starts)
+    def initial(cls, tree: Tree) -> Model:
         draw = np.random.default_rng(SEED)
-        for vectors in (model.context, model.target, model.word):
-            vectors[:] = 0.1 * draw.standard_normal(vectors.shape, np.float32)
-        of_classes = np.add.reduceat(frequencies, starts[:-1])
-        model.bias[:] = np.log((of_classes + 0.5) / (of_classes + 0.5).sum())
-        model.scale[:] = 1
-        if len(model.word):
-            model.word_bias[:] = np.log((frequencies + 0.5) / np.add.reduceat(frequencies + 0.5, starts[:-1])[model.classes])
-        return model
-
-    def groups(self) -> list[np.ndarray]:
-        """All parameters as matrices."""
-        return [self.fixed, self.context, self.word, self.word_bias.reshape(-1, 1)]
-
-    def train(
-        self, w1: np.ndarray, w2: np.ndarray, target: np.ndarray, noise: np.ndarray, draw: np.random.Generator, squares: Model,
-        words: np.ndarray | None = None, within: np.ndarray | None = None,
-    ) -> np.ndarray:
-        """One step of noise-contrastive estimation with AdaGrad. Returns the words whose own vectors it used.
-
-        target: classes. noise: cumulated probabilities of the classes. words, within: the same for words.
-        """
-        drawn = np.minimum(np.searchsorted(noise, draw.random(NOISE)), len(noise) - 1)
-        chance = np.log(np.diff(noise, prepend=0) * NOISE + 1e-12).astype(np.float32)
+        sizes = len(tree.paths), len(tree.chances)
+        context, node = (0.1 * draw.standard_normal((n, SIZE), np.float32) for n in sizes)
+        groups = [context, node, tree.chances.reshape(-1, 1).copy(), np.ones((2, SIZE), np.float32)]
+        return cls(tree, [_rounded(g) for g in groups], [np.zeros(len(g), np.float32) for g in groups])
+
+    def copy(self) -> Model:
+        return Model(self.tree, [g.copy() for g in self.groups], [s.copy() for s in self.squares])
+
+    def train(self, w1: np.ndarray, w2: np.ndarray, words: np.ndarray, draw: np.random.Generator) -> None:
+        """One step of noise-contrastive estimation with AdaGrad on a batch of leaves and their contexts."""
+        tree, paths = self.tree, self.tree.paths[words]
         c1, c2 = self.context[w1], self.context[w2]
         predicted = c1 * self.scale[0] + c2 * self.scale[1]
-        vectors, others = self.target[target], self.target[drawn]
-        logit = np.einsum("ij,ij->i", predicted, vectors) + self.bias[target] - chance[target]
-        other = predicted @ others.T + (self.bias[drawn] - chance[drawn])
-        pull, push = _pull(logit), _push(other)
+        top = int(tree.last[0])
+        target, drawn = paths[:, 0], np.minimum(np.searchsorted(tree.mass[1 : top + 1], tree.mass[top] * draw.random(NOISE), "right"), top - 1)
+        chance = tree.chances + np.float32(math.log(NOISE))
+        vectors, others = self.node[target], self.node[drawn]
+        pull = _pull(np.einsum("ij,ij->i", predicted, vectors) + self.bias[target, 0] - chance[target])
+        push = _push(predicted @ others.T + (self.bias[drawn, 0] - chance[drawn]))
         of_predicted = pull[:, None] * vectors + push @ others
-        n, used = len(target), np.zeros(0, np.int64)
-        steps = []
-        if words is not None and len(self.word):
-            deep = np.flatnonzero(self.shared[target])
-            used, *gradients = self._within(words[deep], predicted[deep], within, draw, of_predicted, deep)
-            steps.append((used, (self.word, squares.word, gradients[0]), (self.word_bias, squares.word_bias, gradients[1])))
-        both = np.concatenate([target, drawn])
-        of_target = np.concatenate([pull[:, None] * predicted, push.T @ predicted])
-        of_bias = np.concatenate([pull, push.sum(axis=0)])
-        steps.append((both, (self.target, squares.target, of_target), (self.bias, squares.bias, of_bias)))
+        places, of_nodes, of_bias = [target, drawn], [pull[:, None] * predicted, push.T @ predicted], [pull, push.sum(axis=0)]
+        for depth in range(1, paths.shape[1]):
+            deep = np.flatnonzero(paths[:, depth] >= 0)
+            target = paths[deep, depth]
+            low, high = tree.mass[tree.first[target]], tree.mass[tree.last[target]]
+            drawn = np.searchsorted(tree.mass, low + (high - low) * draw.random(len(deep)), "right") - 1
+            drawn = np.clip(drawn, tree.first[target], tree.last[target] - 1)
+            here, vectors, others = predicted[deep], self.node[target], self.node[drawn]
+            pull = _pull(np.einsum("ij,ij->i", here, vectors) + self.bias[target, 0] - tree.chances[target])
+            push = _push(np.einsum("ij,ij->i", here, others) + self.bias[drawn, 0] - tree.chances[drawn])
+            of_predicted[deep] += pull[:, None] * vectors + push[:, None] * others
+            places += [target, drawn]
+            of_nodes += [pull[:, None] * here, push[:, None] * here]
+            of_bias += [pull, push]
         of_context = np.concatenate([of_predicted * self.scale[0], of_predicted * self.scale[1]])
-        steps.append((np.concatenate([w1, w2]), (self.context, squares.context, of_context)))
         of_scale = np.stack([np.einsum("ij,ij->j", of_predicted, c1), np.einsum("ij,ij->j", of_predicted, c2)])
-        steps.append((np.arange(2), (self.scale, squares.scale, of_scale)))
-        for places, *changes in steps:
-            _step(places, changes, n)
-        return used
-
-    def _within(self, words: np.ndarray, predicted: np.ndarray, within: np.ndarray, draw: np.random.Generator, of_predicted: np.ndarray, deep: np.ndarray):
-        """Gradients of the words within their classes: words, of their vectors, of their biases. Adds to `of_predicted`.
-
-        Each word has one noise word of its class.
-        """
-        classes = self.classes[words]
-        first, last = self.starts[classes], self.starts[classes + 1] - 1
-        low = np.where(first > 0, within[first - 1], 0)
-        mass = within[last] - low
-        drawn = np.clip(np.searchsorted(within, low + mass * draw.random(len(words))), first, last)
-        chance = lambda w: np.log((within[w] - np.where(w > 0, within[w - 1], 0)) / mass + 1e-12).astype(np.float32)
-        vectors, others = self.word[words], self.word[drawn]
-        pull = _pull(np.einsum("ij,ij->i", predicted, vectors) + self.word_bias[words] - chance(words))
-        push = _push(np.einsum("ij,ij->i", predicted, others) + self.word_bias[drawn] - chance(drawn))
-        of_predicted[deep] += pull[:, None] * vectors + push[:, None] * others
-        of_others = push[:, None] * predicted
-        gradients = np.concatenate([pull[:, None] * predicted, of_others]), np.concatenate([pull, push])
-        return np.concatenate([words, drawn]), *gradients
+        self._step(np.concatenate(places), (1, np.concatenate(of_nodes)), (2, np.concatenate(of_bias).reshape(-1, 1)))
+        self._step(np.concatenate([w1, w2]), (0, of_context))
+        self._step(np.arange(2), (3, of_scale))
+
+    def _step(self, places: np.ndarray, *changes: tuple[int, np.ndarray]) -> None:
+        """Moves the rows at `places`, which may repeat, by the sums of their gradients."""
+        places = places.astype(np.int32)
+        order = np.argsort(places)
+        ranked = places[order]
+        begin = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        rows = ranked[begin]
+        for group, gradients in changes:
+            step = np.add.reduceat(gradients[order], begin, axis=0) / np.float32(BATCH)
+            squares = self.squares[group][rows] + np.einsum("ij,ij->i", step, step) / np.float32(step.shape[1])
+            self.squares[group][rows] = squares
+            self.groups[group][rows] += step * (np.float32(RATE) / np.sqrt(squares + np.float32(1e-10)))[:, None]
 
     def log_chances(self, w1: np.ndarray, w2: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Natural logs of the probabilities of words after their contexts."""
-        pairs, inverse = np.unique(w1 * len(self.classes) + w2, return_inverse=True)
-        near, far = np.divmod(pairs, len(self.classes))
-        predicted = self.context[near] * self.scale[0] + self.context[far] * self.scale[1]
-        normaliser = _log_sums(predicted, self.target, self.bias)
-        classes = self.classes[words]
-        of_words = predicted[inverse]
-        logs = np.einsum("ij,ij->i", of_words, self.target[classes]) + self.bias[classes] - normaliser[inverse]
-        deep = np.flatnonzero(self.shared[classes])
-        if len(deep):
-            deep = deep[np.argsort(classes[deep], kind="stable")]
-            logs[deep] += np.einsum("ij,ij->i", of_words[deep], self.word[words[deep]]) + self.word_bias[words[deep]]
-            bounds = np.flatnonzero(np.diff(classes[deep], prepend=-1, append=-1))
-            for first, stop in zip(bounds[:-1], bounds[1:], strict=True):
-                some, of = deep[first:stop], classes[deep[first]]
-                inside = slice(self.starts[of], self.starts[of + 1])
-                logs[some] -= _log_sums(of_words[some], self.word[inside], self.word_bias[inside])
-        return logs.astype(float)
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Terms of the nearer and the farther context word for each class, and log normalisers of all context pairs.
-
-        Quadratic in the vocabulary, so only for small ones.
-        """
-        near = (self.context * self.scale[0]) @ self.target.T + self.bias
-        far = (self.context * self.scale[1]) @ self.target.T
-        top_near, top_far = near.max(axis=1, keepdims=True), far.max(axis=1, keepdims=True)
-        mass = np.exp(near - top_near) @ np.exp(far - top_far).T
-        return near, far, np.log(np.maximum(mass, 1e-37)) + top_near + top_far.T
+        """Natural logs of the probabilities of leaves after their contexts."""
+        paths = self.tree.paths[words]
+        predicted = self.context[w1] * self.scale[0] + self.context[w2] * self.scale[1]
+        logs = np.zeros(len(words))
+        for depth in range(paths.shape[1]):
+            some = np.flatnonzero(paths[:, depth] >= 0)
+            parents = self.tree.first[paths[some, depth]].astype(np.int32)
+            order = np.argsort(parents, kind="stable") if depth else slice(None)
+            some, parents = some[order], parents[order]
+            nodes = paths[some, depth]
+            of_some = predicted[some]
+            logs[some] += np.einsum("ij,ij->i", of_some, self.node[nodes]) + self.bias[nodes, 0]
+            bounds = np.flatnonzero(np.diff(parents, prepend=-1, append=-1))
+            for first, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                children = slice(int(parents[first]), int(self.tree.last[nodes[first]]))
+                logs[some[first:stop]] -= _log_sums(of_some[first:stop], self.node[children], self.bias[children])
+        return logs
 
 
 def _pull(logit: np.ndarray) -> np.ndarray:
-    return (1 / (1 + np.exp(np.clip(logit, -30, 30)))).astype(np.float32)
+    with np.errstate(over="ignore"):
+        return 1 / (1 + np.exp(logit))
 
 
 def _push(logit: np.ndarray) -> np.ndarray:
-    return (-1 / (1 + np.exp(-np.clip(logit, -30, 30)))).astype(np.float32)
+    with np.errstate(over="ignore"):
+        return -1 / (1 + np.exp(-logit))
 
 
 def _log_sums(predicted: np.ndarray, vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """For each row the log of the sum of exp(predicted . vector + bias) over all vectors."""
     result = np.empty(len(predicted), np.float32)
     rows = max(16, CELLS // len(vectors))
-    predicted = np.column_stack([predicted, np.ones(len(predicted), np.float32)])
-    terms = np.ascontiguousarray(np.column_stack([vectors, bias]).T)
+    terms, bias = np.ascontiguousarray(vectors.T), bias[:, 0]
     for at in range(0, len(predicted), rows):
         logits = predicted[at : at + rows] @ terms
+        logits += bias
         with np.errstate(over="ignore"):
             sums = np.exp(logits, out=logits).sum(axis=1)
-        far = np.flatnonzero(~((sums > 1e-20) & (sums < 1e30)))
         some = result[at : at + rows]
         some[:] = np.log(np.clip(sums, 1e-20, 1e30))
-        for row in far:
-            exact = predicted[at + row] @ terms
+        for row in np.flatnonzero(~((sums > 1e-20) & (sums < 1e30))):
+            exact = predicted[at + row] @ terms + bias
             some[row] = np.log(np.exp(exact - exact.max()).sum()) + exact.max()
     return result
 
 
-def _step(places: np.ndarray, changes: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> None:
-    """AdaGrad on the rows at `places`, which may repeat. changes: (values, squares, sums of gradients over n tokens)."""
-    if not len(places):
-        return
-    order = np.argsort(places.astype(np.int32))
-    ranked = places[order]
-    begin = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    rows = ranked[begin]
-    for values, squares, gradients in changes:
-        step = np.add.reduceat(gradients[order], begin, axis=0) / np.float32(n)
-        sums = squares[rows] + step * step
-        squares[rows] = sums
-        values[rows] += RATE * step / np.sqrt(sums + 1e-8)
+def _rounded(values: np.ndarray) -> np.ndarray:
+    """The nearest halves, as 32-bit floats."""
+    return np.clip(values, -6e4, 6e4).astype(np.float16).astype(np.float32)
 
 
 def _narrow(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -343,133 +335,262 @@ def count(narrow: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(rows.groupBy("h").agg(F.sum("c").alias("c")), "counts")
 
 
-def frequent(counts: DataFrame, limit: int = FREQUENT) -> Counts:
-    """The table for all tasks: the vocabulary, and down to the lowest count that keeps it within `limit` words."""
+def vocabulary(counts: DataFrame, limit: int | None = None) -> Vocabulary:
+    """The table for all tasks has the words down to the lowest count that keeps it within `limit` words or, without one,
+    TABLE times the root of the number of tokens."""
     step = F.floor(F.log2("c") * 16).cast("int")  # Under 1,024 steps.
     steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("types"), F.sum("c").alias("tokens")).collect()
+    tokens, types = sum(r["tokens"] for r in steps), sum(r["types"] for r in steps)
+    limit = leaves_for(tokens, TABLE) if limit is None else limit
     lowest, taken = 1 << 20, 0
     for row in sorted(steps, reverse=True):
         if taken + row["types"] > limit:
             break
         lowest, taken = row["step"], taken + row["types"]
-    table = counts.where((step >= lowest) | (F.col("c") >= minimum_count(sum(r["tokens"] for r in steps)))).toArrow()
+    table = counts.where((step >= lowest) | (F.col("h") == int(END.view(np.int64)))).toArrow()
     keys, found = (np.asarray(table.column(name).combine_chunks()) for name in ("h", "c"))
     keys = keys.view(np.uint64) if len(keys) else np.zeros(0, np.uint64)
     order = np.argsort(keys)
-    return Counts(keys[order], found[order].astype(np.int64), sum(r["tokens"] for r in steps), sum(r["types"] for r in steps))
+    n = max(1, leaves_for(tokens, BUCKETS))
+    of_bucket = counts.groupBy(F.pmod("h", F.lit(n)).alias("bucket")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).toArrow()
+    at, sums, numbers = (np.asarray(of_bucket.column(name).combine_chunks()) for name in ("bucket", "c", "n"))
+    buckets, bucket_types = np.zeros(n), np.zeros(n, np.int64)
+    if len(at):
+        buckets[at], bucket_types[at] = sums, numbers
+    return Vocabulary.of(keys[order], found[order].astype(np.int64), tokens, types, buckets, bucket_types, leaves_for(tokens, OWN))
 
 
-def train(narrow: DataFrame, counts: Counts, starts: np.ndarray) -> Model:
-    """Every task trains on its own documents and sends how the rows it used have changed, as halves of 32 bits.
-
-    What reaches the driver is the mean change of each row.
-    """
-    smooth = counts.frequencies + 0.5
-    within = np.cumsum(smooth / smooth.sum())
-    noise = within[starts[1:] - 1]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, squares = Model.initial(counts.frequencies, starts), Model(np.zeros(Model.size(starts), np.float32), starts)
-        first_values = Model(model.values.copy(), starts).groups()
-        draw, seen = np.random.default_rng(SEED), 0
-        as_context, as_word = np.zeros(starts[-1], np.int64), np.zeros(len(model.word), np.int64)
-        for batch in batches:
-            for _, data, offsets in blocks(batch, "text"):
-                hashes, rows = tokens_of(data, offsets)
-                words, _ = counts.look_up(hashes)
-                classes = model.classes[words]
-                w1, w2 = contexts(words, rows)
-                order = draw.permutation(len(words))
-                for at in range(0, len(order), BATCH):
-                    pick = order[at : at + BATCH]
-                    used = model.train(w1[pick], w2[pick], classes[pick], noise, draw, squares, words[pick], within)
-                    np.add.at(as_word, used, 1)
-                np.add.at(as_context, w1, 1)
-                np.add.at(as_context, w2, 1)
-                seen += len(words)
-        if seen:
-            uses = [np.array([seen]), as_context, as_word, as_word]
-            for group, (matrix, before, of) in enumerate(zip(model.groups(), first_values, uses, strict=True)):
-                for first in range(0, len(of), PART):
-                    at = np.flatnonzero(of[first : first + PART])
-                    if len(at):
-                        change = np.clip(matrix[first + at] - before[first + at], -6e4, 6e4).astype(np.float16)
-                        parts = [at.astype(np.int32), of[first + at].astype(np.int32), change]
-                        arrays = [pa.array([group]), pa.array([first])] + [pa.array([x.tobytes()], pa.binary()) for x in parts]
-                        yield pa.RecordBatch.from_arrays(arrays, ["group", "first", "at", "weight", "data"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                at, weight = np.frombuffer(row["at"], np.int32), np.frombuffer(row["weight"], np.int32).astype(float)
-                data = np.frombuffer(row["data"], np.float16).reshape(len(at), -1)
-                total, weights = sums.setdefault((row["group"], row["first"]), (np.zeros((PART if row["group"] else 1, data.shape[1])), np.zeros(PART)))
-                total[at] += data * weight[:, None]
-                weights[at] += weight
-        for (group, first), (total, weights) in sums.items():
-            at = np.flatnonzero(weights)
-            parts = [at.astype(np.int32), (total[at] / weights[at, None]).astype(np.float32)]
-            arrays = [pa.array([group]), pa.array([first])] + [pa.array([x.tobytes()], pa.binary()) for x in parts]
-            yield pa.RecordBatch.from_arrays(arrays, ["group", "first", "at", "data"])
-
-    kind = "group long, first long, at binary"
-    sent = narrow.where("not held_out").select("text").mapInArrow(work, f"{kind}, weight binary, data binary")
-    table = sent.repartition("group", "first").mapInArrow(merge, f"{kind}, data binary").toArrow()
-    model = Model.initial(counts.frequencies, starts)
-    groups = model.groups()
-    for batch in table.to_batches(max_chunksize=64):
-        for row in batch.to_pylist():
-            at = row["first"] + np.frombuffer(row["at"], np.int32)
-            groups[row["group"]][at] += np.frombuffer(row["data"], np.float32).reshape(len(at), -1)
-    return model
-
-
-def score(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text", limit: int = FREQUENT, singles: int = SINGLES) -> DataFrame:
-    """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
-    narrow = _narrow(docs, id, text)
-    every = count(narrow, scratch)
-    counts = frequent(every, limit)
-    starts = class_starts(counts.frequencies, singles)
-    values = train(narrow, counts, starts).values
-    base_total, other_total = counts.base_total, counts.other_total
+def encode(narrow: DataFrame, words: Vocabulary) -> DataFrame:
+    """Leaves of every text, what the table says of its words, and hashes of the words that it does not know."""
+    held = narrow.sparkSession.sparkContext.broadcast(words)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(values, starts)
+        table = held.value
         for batch in batches:
             for part, data, offsets in blocks(batch, "text"):
                 n = len(offsets) - 1
                 hashes, rows = tokens_of(data, offsets)
-                words, found = counts.look_up(hashes)
-                w1, w2 = contexts(words, rows)
+                leaves, found, inner = table.look_up(hashes)
                 here = found >= 0
-                logs = model.log_chances(w1, w2, words) / np.log(10)
-                other = here & (words == starts[-1] - 1)
-                logs[other] += np.log10((found[other] + 0.5) / other_total)
-                base = np.where(here, np.log10((np.maximum(found, 0) + 0.5) / base_total), 0)
-                bounds = np.searchsorted(rows[~here], np.arange(n + 1)).astype(np.int32)
-                rare = pa.ListArray.from_arrays(pa.array(bounds), pa.array(hashes[~here].view(np.int64)))
+                base = np.where(here, np.log10((np.maximum(found, 0) + 0.5) / table.base_total), 0)
+                bounds = np.searchsorted(rows, np.arange(n + 1))
+                key = _keys(hashes, bounds, part.column("id"))
+                cuts = np.searchsorted(rows[~here], np.arange(n + 1)).astype(np.int32)
+                rare = pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashes[~here].view(np.int64)))
+                packed = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(bounds * 4), pa.py_buffer(leaves.astype(np.int32))])
                 arrays = [
                     part.column("seq"), part.column("id"), part.column("held_out"), pa.array(np.bincount(rows, minlength=n)),
                     pa.array(np.bincount(rows, found > 0, n).astype(np.int64)), pa.array(np.bincount(rows, base, n)),
-                    pa.array(np.bincount(rows, logs, n)), rare,
+                    pa.array(np.bincount(rows, inner, n)), pa.array((key % np.uint64(ROUNDS)).astype(np.int32)), pa.array(key.view(np.int64)),
+                    packed.cast(pa.binary()), rare,
                 ]
-                yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in SCORED.split(", ")])
+                yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in ENCODED.split(", ")])
+
+    return narrow.withColumn("seq", F.monotonically_increasing_id()).mapInArrow(work, ENCODED)
+
+
+def _keys(hashes: np.ndarray, bounds: np.ndarray, ids: pa.Array) -> np.ndarray:
+    """A hash of id and words for each row; rows that agree in both are numbered."""
+    place = (np.arange(len(hashes)) - np.repeat(bounds[:-1], np.diff(bounds))).astype(np.uint64)
+    sums = np.add.reduceat(mix(hashes) * (2 * place + np.uint64(1)), bounds[:-1])
+    numbers = np.array([0 if i is None else i + 1 for i in ids.to_pylist()], np.int64).view(np.uint64)
+    key = mix(mix(sums) + mix(numbers * np.uint64(0x9E6C63D0876A9A47)))
+    order = np.argsort(key, kind="stable")
+    same = np.concatenate([[False], key[order][1:] == key[order][:-1]])
+    if same.any():
+        at = np.arange(len(key))
+        times = np.empty(len(key), np.uint64)
+        times[order] = (at - np.maximum.accumulate(np.where(same, 0, at))).astype(np.uint64)
+        key = np.where(times > 0, mix(key + times), key)
+    return key
+
+
+def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Leaves of all rows, and where each row begins and ends."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if len(column) else np.zeros(0, np.uint8)
+    return data.view(np.int32), (offsets - offsets[0]) // 4
+
 
-    numbered = narrow.withColumn("seq", F.monotonically_increasing_id())
-    scored = scratch.keep(numbered.mapInArrow(work, SCORED), "scored")
-    rare = scored.select("seq", F.explode("rare").alias("h")).groupBy("h", "seq").agg(F.count("*").alias("n"))
+def _cut(shards: int, end: int):
+    """Texts in parts of CUT leaves with the two leaves before them: (shard, place, words)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, bounds = _words(batch.column("words"))
+            keys, parts = [], []
+            for key, a, b in zip(batch.column("key").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                for k, at in enumerate(range(a, b, CUT)):
+                    before = data[at - 2 : at] if at > a else np.array([end, end], np.int32)
+                    keys.append((key + k) & ((1 << 64) - 1))
+                    parts.append(before.tobytes() + data[at : min(b, at + CUT)].tobytes())
+            place = mix(np.array(keys, np.uint64))
+            arrays = [pa.array((place % np.uint64(shards)).astype(np.int32)), pa.array(place.view(np.int64)), pa.array(parts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["shard", "place", "words"])
+
+    return work
+
+
+def shards_for(tokens: int) -> int:
+    return max(1, int(tokens // (ROUNDS * max(SHARD_TOKENS, SHARD_ROOT * math.sqrt(tokens)))))
+
+
+def _changes(model: Model, before: Model, shard: int) -> Iterator[pa.RecordBatch]:
+    """Rows that have changed, in blocks of PART: (kind, first, shard, at, data, squares)."""
+    for kind, (now, then, squares, old) in enumerate(zip(model.groups, before.groups, model.squares, before.squares, strict=True)):
+        used = np.flatnonzero(squares != old)
+        bounds = np.searchsorted(used, np.arange(0, len(now) + PART, PART))
+        for block, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+            if a < b:
+                at = used[a:b]
+                change = np.clip(now[at] - then[at], -6e4, 6e4).astype(np.float16)
+                parts = [(at - block * PART).astype(np.int16), change, squares[at] - old[at]]
+                arrays = [pa.array([kind]), pa.array([block * PART]), pa.array([shard])] + [pa.array([x.tobytes()], pa.binary()) for x in parts]
+                yield pa.RecordBatch.from_arrays(arrays, ["kind", "first", "shard", "at", "data", "squares"])
+
+
+def _merge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Mean changes of blocks, whose parts come one after another in the order of shards."""
+    current, sums = None, []
+
+    def out() -> pa.RecordBatch:
+        total, squares, times = sums
+        at = np.flatnonzero(times)
+        parts = [at.astype(np.int16), (total[at] / times[at, None]).astype(np.float16), (squares[at] / times[at]).astype(np.float32)]
+        arrays = [pa.array([current[0]]), pa.array([current[1]])] + [pa.array([x.tobytes()], pa.binary()) for x in parts]
+        return pa.RecordBatch.from_arrays(arrays, ["kind", "first", "at", "data", "squares"])
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            at = np.frombuffer(row["at"], np.int16)
+            change = np.frombuffer(row["data"], np.float16).reshape(len(at), -1)
+            if current != (row["kind"], row["first"]):
+                if current:
+                    yield out()
+                current, sums = (row["kind"], row["first"]), [np.zeros((PART, change.shape[1])), np.zeros(PART), np.zeros(PART)]
+            sums[0][at] += change
+            sums[1][at] += np.frombuffer(row["squares"], np.float32)
+            sums[2][at] += 1
+    if current:
+        yield out()
+
+
+def _train_shards(held, seed: int):
+    """Trains a copy of the model on each shard, whose rows come one after another in the order of their places."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = _unpacked(*held.value)
+        shard = model = draw = None
+        pool: list[tuple[np.ndarray, ...]] = []
+
+        def use(columns: tuple[np.ndarray, ...]) -> None:
+            order = draw.permutation(len(columns[0]))
+            for at in range(0, len(order), BATCH):
+                pick = order[at : at + BATCH]
+                model.train(*(column[pick] for column in columns), draw)
+
+        def fill(parts: list[tuple[np.ndarray, ...]], least: int) -> list[tuple[np.ndarray, ...]]:
+            """Uses whole pools while there are as many as `least` tokens; the rest is kept."""
+            columns = tuple(np.concatenate(column) for column in zip(*parts, strict=True))
+            while len(columns[0]) >= least and len(columns[0]):
+                use(tuple(column[:POOL] for column in columns))
+                columns = tuple(column[POOL:] for column in columns)
+            return [columns]
+
+        for batch in batches:
+            data, bounds = _words(batch.column("words"))
+            for now, a, b in zip(batch.column("shard").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                if now != shard:
+                    if pool:
+                        fill(pool, 1)
+                        yield from _changes(model, start, shard)
+                    shard, model, draw, pool = now, start.copy(), np.random.default_rng([SEED, seed, now]), []
+                words = data[a:b]
+                pool.append((words[1:-1], words[:-2], words[2:]))
+                if sum(len(p[0]) for p in pool) >= POOL:
+                    pool = fill(pool, POOL)
+        if pool:
+            fill(pool, 1)
+            yield from _changes(model, start, shard)
+
+    return work
+
+
+def _packed(model: Model, squares: bool = True) -> tuple:
+    halves = [g.astype(np.float16) for g in model.groups]
+    return model.tree, halves, model.squares if squares else [np.zeros(0, np.float32)] * len(halves)
+
+
+def _unpacked(tree: Tree, halves: list[np.ndarray], squares: list[np.ndarray]) -> Model:
+    return Model(tree, [h.astype(np.float32) for h in halves], squares)
+
+
+def train(encoded: DataFrame, words: Vocabulary, shards: int | None = None) -> Model:
+    """ROUNDS rounds over a written table of encoded texts. What reaches the driver is the mean change of each row."""
+    shards = shards_for(words.tokens) if shards is None else shards
+    model = Model.initial(Tree(words.frequencies))
+    context = encoded.sparkSession.sparkContext
+    for turn in range(ROUNDS):
+        held = context.broadcast(_packed(model))
+        rows = encoded.where(~F.col("held_out") & (F.col("turn") == turn)).select("key", "words")
+        dealt = rows.mapInArrow(_cut(shards, words.end), "shard int, place long, words binary")
+        dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "place", "words")
+        kind = "kind long, first long"
+        sent = dealt.mapInArrow(_train_shards(held, turn), f"{kind}, shard long, at binary, data binary, squares binary")
+        merged = sent.repartition("kind", "first").sortWithinPartitions("kind", "first", "shard")
+        table = merged.mapInArrow(_merge_batches, f"{kind}, at binary, data binary, squares binary").toArrow()
+        for row in (row for batch in table.to_batches(max_chunksize=64) for row in batch.to_pylist()):
+            at = row["first"] + np.frombuffer(row["at"], np.int16).astype(np.int64)
+            group = model.groups[row["kind"]]
+            group[at] = _rounded(group[at] + np.frombuffer(row["data"], np.float16).reshape(len(at), -1))
+            model.squares[row["kind"]][at] += np.frombuffer(row["squares"], np.float32)
+        held.destroy()
+    return model
+
+
+def _score_batches(held, end: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _unpacked(*held.value)
+        for batch in batches:
+            n = len(batch)
+            words, bounds = _words(batch.column("words"))
+            rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(bounds))
+            w1, w2 = contexts(words, rows, end)
+            logs = np.zeros(n)
+            for at in range(0, len(words), RUN):
+                run = slice(at, at + RUN)
+                logs += np.bincount(rows[run], model.log_chances(w1[run], w2[run], words[run]), n)
+            columns = [batch.column(f.split()[0]) for f in SCORED.split(", ")[:-1]]
+            lm = pa.array(logs / math.log(10) + np.asarray(batch.column("inner")))
+            yield pa.RecordBatch.from_arrays([*columns, lm], [f.split()[0] for f in SCORED.split(", ")])
+
+    return work
+
+
+def score(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text", limit: int | None = None, shards: int | None = None) -> DataFrame:
+    """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
+    narrow = _narrow(docs, id, text)
+    every = count(narrow, scratch)
+    words = vocabulary(every, limit)
+    encoded = scratch.keep(encode(narrow, words), "encoded")
+    model = train(encoded, words, shards)
+    held = docs.sparkSession.sparkContext.broadcast(_packed(model, squares=False))
+    scored = scratch.keep(encoded.drop("turn", "key", "rare").mapInArrow(_score_batches(held, words.end), SCORED), "scored")
+    held.destroy()
+
+    rare = encoded.select("seq", F.explode("rare").alias("h")).groupBy("h", "seq").agg(F.count("*").alias("n"))
     joined = rare.join(every, "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     sums = joined.groupBy("seq").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known_rare"),
-        F.sum(F.col("n") * F.log10((F.col("c") + 0.5) / F.lit(base_total))).alias("base_rare"),
-        F.sum(F.col("n") * F.log10((F.col("c") + 0.5) / F.lit(other_total))).alias("lm_rare"),
+        F.sum(F.col("n") * F.log10((F.col("c") + 0.5) / F.lit(words.base_total))).alias("base_rare"),
+        F.sum(F.col("n") * F.log10(F.col("c") + 0.5)).alias("lm_rare"),
     )
     nil = F.lit(0)
-    return scored.drop("rare").join(sums, "seq", "left").select(
+    return scored.join(sums, "seq", "left").select(
         "id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("known_rare", nil)).alias("n_known"),
-        F.lit(counts.tokens).cast("long").alias("train_tokens"),
+        F.lit(words.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("base_rare", nil)).alias("base_score"),
         (F.col("lm") + F.coalesce("lm_rare", nil)).alias("score"),
     )
