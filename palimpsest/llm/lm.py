@@ -7,7 +7,7 @@ The model predicts a token from the two before it. Its leaves are the end, the m
 the number of tokens, and BUCKETS times that root of buckets, to which all other words are dealt by hash; so what is learned
 grows with the corpus, and every word has vectors that take part. Within a bucket the counts decide. Leaves hang in a
 tree: of the leaves below a node the most frequent are its children, the others are dealt to groups of about equal sums
-of roots of frequencies, which are its children too, until BRANCH leaves or fewer are left. At each node on the way to its leaf a
+of roots of frequencies, half of BRANCH at most, which are its children too, until BRANCH leaves or fewer are left. At each node on the way to its leaf a
 token is predicted by one rule: the logit of a child is the product of its vector with the sum of the context's vectors, each
 scaled by its position, plus a bias. The normaliser of a node is the sum over its children, by matrix products, so every
 log-probability is exact, and a text of any words has one. There is one such form for corpora of all sizes.
@@ -47,7 +47,8 @@ from palimpsest.storage import Scratch
 FOLDS, HELD_OUT = 5, 1
 OWN, BUCKETS, TABLE = 16, 4, 64  # Per root of the number of tokens: words with vectors of their own, buckets, counts sent to all tasks.
 BRANCH = 256  # Children of a node.
-SIZE = 16  # Of the vectors.
+SIZE = 16  # Of the vectors; the last component belongs to the bias.
+CONSTANT = 0.125  # Last component of predicted vectors.
 NOISE = 32  # Noise children of the root per batch; one per token further down.
 BATCH = 2048
 RATE = 0.1
@@ -72,16 +73,17 @@ class Tree:
 
     def __init__(self, frequencies: np.ndarray, branch: int = BRANCH):
         """frequencies: of the leaves, falling."""
-        roots, half = np.sqrt(frequencies + 0.5), branch // 2
+        roots = np.sqrt(frequencies + 0.5)
         levels, nodes, first, last = [], [], [], []
         level, count = [(0, len(frequencies))], 0
         while level:
             below, of_leaf = [], np.full(len(frequencies), -1, np.int32)
             for a, b in level:
-                edges = np.arange(a, (b if b - a <= branch else a + half) + 1)
-                if edges[-1] < b:
+                groups = 0 if b - a <= branch else min(branch // 2, 1 + (b - a) // branch)
+                edges = np.arange(a, min(b, a + branch - groups) + 1)
+                if groups:
                     mass = np.cumsum(roots[edges[-1] : b])
-                    cuts = edges[-1] + np.searchsorted(mass, mass[-1] * np.arange(1, half) / half)
+                    cuts = edges[-1] + np.searchsorted(mass, mass[-1] * np.arange(1, groups) / groups)
                     edges = np.unique(np.concatenate([edges, cuts, [b]]))
                 n = len(edges) - 1
                 of_leaf[a:b] = np.repeat(np.arange(count, count + n), np.diff(edges))
@@ -93,9 +95,10 @@ class Tree:
             levels.append(of_leaf)
             level = below
         self.paths = np.stack(levels, axis=1)  # By leaf and depth: the node, or -1 below the leaf.
-        self.first, self.last = np.concatenate(first), np.concatenate(last)  # Of a node's siblings.
+        self.first, self.last = np.concatenate(first).astype(np.int32), np.concatenate(last).astype(np.int32)  # Of a node's siblings.
         self.mass = np.concatenate([[0.0], np.cumsum(np.concatenate(nodes) + 0.5)])
-        self.chances = np.log(np.diff(self.mass) / (self.mass[self.last] - self.mass[self.first])).astype(np.float32)
+        self.low, self.width = self.mass[self.first], self.mass[self.last] - self.mass[self.first]
+        self.chances = np.log(np.diff(self.mass) / self.width).astype(np.float32)  # Logs of the shares among siblings.
 
 
 def leaves_for(tokens: int, per_root: float) -> int:
@@ -183,20 +186,24 @@ def contexts(words: np.ndarray, rows: np.ndarray, end: int) -> tuple[np.ndarray,
 
 
 class Model:
-    """Vectors of leaves as contexts, vectors and biases of nodes, scales of the two positions, and for each row of these its
-    sum of squares, by which AdaGrad shortens its steps."""
+    """Vectors of leaves as contexts, vectors of nodes, scales of the two positions, and for each row of these its
+    sum of squares, by which AdaGrad shortens its steps.
+
+    The last component of every predicted vector is CONSTANT, about the size of the others, so that of a node's vector acts as its
+    bias: by how much the node's logit lies above the log of its share among its siblings.
+    """
 
     def __init__(self, tree: Tree, groups: list[np.ndarray], squares: list[np.ndarray]):
         self.tree = tree
-        self.context, self.node, self.bias, self.scale = self.groups = groups
+        self.context, self.node, self.scale = self.groups = groups
         self.squares = squares
 
     @classmethod
     def initial(cls, tree: Tree) -> Model:
         draw = np.random.default_rng(SEED)
-        sizes = len(tree.paths), len(tree.chances)
-        context, node = (0.1 * draw.standard_normal((n, SIZE), np.float32) for n in sizes)
-        groups = [context, node, tree.chances.reshape(-1, 1).copy(), np.ones((2, SIZE), np.float32)]
+        context, node = (0.1 * draw.standard_normal((n, SIZE), np.float32) for n in (len(tree.paths), len(tree.chances)))
+        context[:, -1], node[:, -1] = CONSTANT / 2, 0
+        groups = [context, node, np.ones((2, SIZE), np.float32)]
         return cls(tree, [_rounded(g) for g in groups], [np.zeros(len(g), np.float32) for g in groups])
 
     def copy(self) -> Model:
@@ -204,68 +211,73 @@ class Model:
 
     def train(self, w1: np.ndarray, w2: np.ndarray, words: np.ndarray, draw: np.random.Generator) -> None:
         """One step of noise-contrastive estimation with AdaGrad on a batch of leaves and their contexts."""
-        tree, paths = self.tree, self.tree.paths[words]
-        c1, c2 = self.context[w1], self.context[w2]
+        tree, paths = self.tree, self.tree.paths.take(words, axis=0)
+        c1, c2 = self.context.take(w1, axis=0), self.context.take(w2, axis=0)
         predicted = c1 * self.scale[0] + c2 * self.scale[1]
         top = int(tree.last[0])
         target, drawn = paths[:, 0], np.minimum(np.searchsorted(tree.mass[1 : top + 1], tree.mass[top] * draw.random(NOISE), "right"), top - 1)
-        chance = tree.chances + np.float32(math.log(NOISE))
-        vectors, others = self.node[target], self.node[drawn]
-        pull = _pull(np.einsum("ij,ij->i", predicted, vectors) + self.bias[target, 0] - chance[target])
-        push = _push(predicted @ others.T + (self.bias[drawn, 0] - chance[drawn]))
+        vectors, others = self.node.take(target, axis=0), self.node.take(drawn, axis=0)
+        pull = _pull(np.einsum("ij,ij->i", predicted, vectors) - np.float32(math.log(NOISE)))
+        push = _push(predicted @ others.T - np.float32(math.log(NOISE)))
         of_predicted = pull[:, None] * vectors + push @ others
-        places, of_nodes, of_bias = [target, drawn], [pull[:, None] * predicted, push.T @ predicted], [pull, push.sum(axis=0)]
+        places, of_nodes = [target, drawn], [pull[:, None] * predicted, push.T @ predicted]
         for depth in range(1, paths.shape[1]):
             deep = np.flatnonzero(paths[:, depth] >= 0)
             target = paths[deep, depth]
-            low, high = tree.mass[tree.first[target]], tree.mass[tree.last[target]]
-            drawn = np.searchsorted(tree.mass, low + (high - low) * draw.random(len(deep)), "right") - 1
-            drawn = np.clip(drawn, tree.first[target], tree.last[target] - 1)
-            here, vectors, others = predicted[deep], self.node[target], self.node[drawn]
-            pull = _pull(np.einsum("ij,ij->i", here, vectors) + self.bias[target, 0] - tree.chances[target])
-            push = _push(np.einsum("ij,ij->i", here, others) + self.bias[drawn, 0] - tree.chances[drawn])
-            of_predicted[deep] += pull[:, None] * vectors + push[:, None] * others
+            drawn = np.searchsorted(tree.mass, tree.low.take(target) + tree.width.take(target) * draw.random(len(deep)), "right") - 1
+            drawn = np.minimum(drawn, tree.last.take(target) - 1)
+            here, vectors, others = predicted.take(deep, axis=0), self.node.take(target, axis=0), self.node.take(drawn, axis=0)
+            pull = _pull(np.einsum("ij,ij->i", here, vectors))[:, None]
+            push = _push(np.einsum("ij,ij->i", here, others))[:, None]
+            of_predicted[deep] += pull * vectors + push * others
             places += [target, drawn]
-            of_nodes += [pull[:, None] * here, push[:, None] * here]
-            of_bias += [pull, push]
-        of_context = np.concatenate([of_predicted * self.scale[0], of_predicted * self.scale[1]])
+            of_nodes += [pull * here, push * here]
+        of_predicted[:, -1] = 0  # That component stays as it is.
         of_scale = np.stack([np.einsum("ij,ij->j", of_predicted, c1), np.einsum("ij,ij->j", of_predicted, c2)])
-        self._step(np.concatenate(places), (1, np.concatenate(of_nodes)), (2, np.concatenate(of_bias).reshape(-1, 1)))
-        self._step(np.concatenate([w1, w2]), (0, of_context))
-        self._step(np.arange(2), (3, of_scale))
+        self._step(1, np.concatenate(places), np.concatenate(of_nodes))
+        self._step(0, np.concatenate([w1, w2]), np.concatenate([of_predicted * self.scale[0], of_predicted * self.scale[1]]))
+        self._step(2, np.arange(2), of_scale)
 
-    def _step(self, places: np.ndarray, *changes: tuple[int, np.ndarray]) -> None:
+    def _step(self, group: int, places: np.ndarray, gradients: np.ndarray) -> None:
         """Moves the rows at `places`, which may repeat, by the sums of their gradients."""
         places = places.astype(np.int32)
         order = np.argsort(places)
         ranked = places[order]
         begin = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
         rows = ranked[begin]
-        for group, gradients in changes:
-            step = np.add.reduceat(gradients[order], begin, axis=0) / np.float32(BATCH)
-            squares = self.squares[group][rows] + np.einsum("ij,ij->i", step, step) / np.float32(step.shape[1])
-            self.squares[group][rows] = squares
-            self.groups[group][rows] += step * (np.float32(RATE) / np.sqrt(squares + np.float32(1e-10)))[:, None]
+        step = np.add.reduceat(gradients.take(order, axis=0), begin, axis=0)
+        step /= np.float32(BATCH)
+        squares = self.squares[group].take(rows) + np.einsum("ij,ij->i", step, step) / np.float32(SIZE)
+        self.squares[group][rows] = squares
+        step *= (np.float32(RATE) / np.sqrt(squares + np.float32(1e-10)))[:, None]
+        self.groups[group][rows] = self.groups[group].take(rows, axis=0) + step
 
     def log_chances(self, w1: np.ndarray, w2: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Natural logs of the probabilities of leaves after their contexts."""
-        paths = self.tree.paths[words]
-        predicted = self.context[w1] * self.scale[0] + self.context[w2] * self.scale[1]
+        paths, vectors = self.tree.paths.take(words, axis=0), self.logit_vectors
+        predicted = self.context.take(w1, axis=0) * self.scale[0] + self.context.take(w2, axis=0) * self.scale[1]
         logs = np.zeros(len(words))
         for depth in range(paths.shape[1]):
             some = np.flatnonzero(paths[:, depth] >= 0)
-            parents = self.tree.first[paths[some, depth]].astype(np.int32)
-            order = np.argsort(parents, kind="stable") if depth else slice(None)
+            parents = self.tree.first.take(paths[some, depth])
+            order = np.argsort(parents) if depth else slice(None)
             some, parents = some[order], parents[order]
             nodes = paths[some, depth]
-            of_some = predicted[some]
-            logs[some] += np.einsum("ij,ij->i", of_some, self.node[nodes]) + self.bias[nodes, 0]
+            of_some = predicted.take(some, axis=0)
+            here = np.einsum("ij,ij->i", of_some, vectors.take(nodes, axis=0))
             bounds = np.flatnonzero(np.diff(parents, prepend=-1, append=-1))
             for first, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                children = slice(int(parents[first]), int(self.tree.last[nodes[first]]))
-                logs[some[first:stop]] -= _log_sums(of_some[first:stop], self.node[children], self.bias[children])
+                here[first:stop] -= _log_sums(of_some[first:stop], vectors[parents[first] : self.tree.last[nodes[first]]])
+            logs[some] += here
         return logs
 
+    @property
+    def logit_vectors(self) -> np.ndarray:
+        """Vectors of nodes with whole biases."""
+        vectors = self.node.copy()
+        vectors[:, -1] += self.tree.chances / np.float32(CONSTANT)
+        return vectors
+
 
 def _pull(logit: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
@@ -277,21 +289,18 @@ def _push(logit: np.ndarray) -> np.ndarray:
         return -1 / (1 + np.exp(-logit))
 
 
-def _log_sums(predicted: np.ndarray, vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """For each row the log of the sum of exp(predicted . vector + bias) over all vectors."""
-    result = np.empty(len(predicted), np.float32)
+def _log_sums(predicted: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """For each row the log of the sum of exp(predicted . vector) over all vectors."""
     rows = max(16, CELLS // len(vectors))
-    terms, bias = np.ascontiguousarray(vectors.T), bias[:, 0]
-    for at in range(0, len(predicted), rows):
-        logits = predicted[at : at + rows] @ terms
-        logits += bias
-        with np.errstate(over="ignore"):
-            sums = np.exp(logits, out=logits).sum(axis=1)
-        some = result[at : at + rows]
-        some[:] = np.log(np.clip(sums, 1e-20, 1e30))
-        for row in np.flatnonzero(~((sums > 1e-20) & (sums < 1e30))):
-            exact = predicted[at + row] @ terms + bias
-            some[row] = np.log(np.exp(exact - exact.max()).sum()) + exact.max()
+    if len(predicted) > rows:
+        return np.concatenate([_log_sums(predicted[at : at + rows], vectors) for at in range(0, len(predicted), rows)])
+    logits = predicted @ vectors.T
+    with np.errstate(over="ignore", divide="ignore"):
+        sums = np.exp(logits) @ np.ones(len(vectors), np.float32)  # Much faster than sum().
+        result = np.log(sums)
+    if not (sums.min() > 1e-20 and sums.max() < 1e30):
+        top = logits.max(axis=1, keepdims=True)
+        result = np.log(np.exp(logits - top).sum(axis=1)) + top[:, 0]
     return result
 
 

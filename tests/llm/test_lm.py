@@ -131,7 +131,7 @@ def test_scores_of_a_plain_version(spark):
 
     def log10(w1, w2, leaf):
         predicted = [model.context[w1][i] * model.scale[0][i] + model.context[w2][i] * model.scale[1][i] for i in range(lm.SIZE)]
-        logit = lambda node: float(sum(p * v for p, v in zip(predicted, model.node[node], strict=True)) + model.bias[node][0])
+        logit = lambda node: float(sum(p * v for p, v in zip(predicted, model.node[node], strict=True)) + model.tree.chances[node])
         result = 0.0
         for node in model.tree.paths[leaf]:
             if node >= 0:
