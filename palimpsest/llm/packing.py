@@ -13,10 +13,14 @@ a sort of a length, so a length that a third of all pieces share is no hot group
 * Rows are packed one by one, so repeated rows and repeated ids give repeated pieces at places of their own.
 * An empty table gives an empty result. Other columns of the input take no part.
 * Only a document longer than a sequence is cut; all its pieces but the first are full sequences.
+* A text is encoded in one piece: very long ones need some 60 times their size in memory.
+* The table of ranks has a row per length and task. Beyond Spark's broadcast threshold its join shuffles the pieces, which
+  are narrow rows.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -50,7 +54,8 @@ class Encoder:
 
     The tokenizer cuts a text before every single space or line break that follows a word and is followed by one.
     So a text whose white space is single spaces and line breaks is the sum of its words, each with the mark
-    before it. Other texts are encoded as they are.
+    before it. Other texts are encoded as they are, and so are texts with blanks beyond ASCII, which the tokenizer takes
+    for white space too, and all texts by tokenizers that cut in another way.
     """
 
     def __init__(self, path: str, capacity: int = KNOWN_WORDS):
@@ -58,6 +63,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_words = _cuts_at_words(json.loads(self.tokenizer.to_str()))
         self.capacity = capacity
         self.letters = _byte_letters()
         self.forget()
@@ -121,7 +127,7 @@ class Encoder:
         edge = np.zeros(n, bool)
         full = size > 0
         edge[full] = white[offsets[:-1][full]] | white[offsets[1:][full] - 1]
-        plain &= ~edge
+        plain &= ~edge & (np.diff(np.searchsorted(_blanks(data), offsets)) == 0) & self.by_words
 
         use = plain[rows]
         starts, ends, rows = starts[use], ends[use], rows[use]
@@ -164,6 +170,30 @@ _MARKS = np.zeros(256, np.uint64)
 _MARKS[[0x20, 0x0A]] = 0x94D049BB133111EB, 0xBF58476D1CE4E5B9
 
 
+def _cuts_at_words(parts: dict) -> bool:
+    """Whether a tokenizer, as its own description says, cuts texts by the usual expression of byte-level vocabularies."""
+    model, cutter = parts["model"], parts["pre_tokenizer"] or {}
+    return (
+        (cutter.get("type"), cutter.get("add_prefix_space"), cutter.get("use_regex", True)) == ("ByteLevel", False, True)
+        and model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix"))
+        and parts["normalizer"] is None
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or re.search(r"\s", t["content"]) for t in parts["added_tokens"])
+    )
+
+
+def _blanks(data: np.ndarray) -> np.ndarray:
+    """Where blanks begin that are white space but not one of [\\x20\\x09-\\x0D], in UTF-8; U+001C to U+001F included."""
+    after = np.concatenate([data[1:], np.zeros(2, np.uint8)])
+    second, third = after[: len(data)], np.concatenate([after[1:], np.zeros(1, np.uint8)])[: len(data)]
+    general = (second == 0x80) & ((third >= 0x80) & (third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF))
+    found = (data >= 0x1C) & (data <= 0x1F)
+    found |= (data == 0xC2) & ((second == 0x85) | (second == 0xA0))  # U+0085, U+00A0
+    found |= (data == 0xE1) & (second == 0x9A) & (third == 0x80)  # U+1680
+    found |= (data == 0xE2) & (general | (second == 0x81) & (third == 0x9F))  # U+2000-200A, 2028, 2029, 202F, 205F
+    found |= (data == 0xE3) & (second == 0x80) & (third == 0x80)  # U+3000
+    return np.flatnonzero(found)
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable letter by which a byte-level vocabulary writes each byte."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]

@@ -91,3 +91,37 @@ def test_encoder_agrees_with_tokenizer():
 
 def test_empty_table(spark):
     assert packing.pack(documents(spark, []), Scratch(spark)).count() == 0
+
+
+BLANKS = "\x09\x0a\x0b\x0c\x0d\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
+
+
+def test_ids_of_texts_with_every_blank():
+    """10,000 random texts in which blanks of all kinds stand alone, in runs, and joined by single spaces."""
+    draw, encoder = random.Random(11), packing.Encoder(packing.tokenizer_path())
+    words = ["foo", "bar", "The", "x", "été", "日本", "7", "a.", "\xc2", "<|endoftext|>", "I'm", "\u2003b", "end!!"]
+    texts = ["foo \xa0 \xa0 bar", "\xa0", " \xa0", "a \x85 b", "a \u3000\u3000 b"]
+    for _ in range(10_000):
+        parts = [draw.choice(words) if draw.random() < 0.6 else draw.choice(BLANKS) for _ in range(draw.randint(1, 9))]
+        texts.append(draw.choice([" ", " ", " ", "\n", ""]).join(parts))
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    found = encoder.encode_rows(data, offsets)
+    wrong = [t for t, ids in zip(texts, found, strict=True) if ids.tolist() != encoder.encode(t).tolist()]
+    assert wrong == []
+
+
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    """A tokenizer that writes a space before the first word, or cuts at digits, is not taken word by word."""
+    from tokenizers import pre_tokenizers
+
+    for cutter in (pre_tokenizers.ByteLevel(add_prefix_space=True), pre_tokenizers.Sequence([pre_tokenizers.Digits(True), pre_tokenizers.ByteLevel(False)])):
+        tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+        tokenizer.pre_tokenizer = cutter
+        tokenizer.save(str(tmp_path / "other.json"))
+        encoder = packing.Encoder(str(tmp_path / "other.json"))
+        assert not encoder.by_words
+        text = "some words 1234 and more"
+        data = np.frombuffer(text.encode(), np.uint8)
+        assert encoder.encode_rows(data, np.array([0, len(data)]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert packing.Encoder(packing.tokenizer_path()).by_words
