@@ -211,6 +211,12 @@ ORACLE = {
     """,
     "full_run": METADATA,
     "full_run_with_strays": f"SELECT id, page_id, bytes, text, true AS strays_counted FROM ({REVDOCS})",
+    "full_run_both_types": """
+        SELECT 'history' AS dump_type, conv_id * 1000 + turn AS id, conv_id AS page_id, CAST(strlen(text) AS BIGINT) AS bytes
+        FROM conversations
+        UNION ALL
+        SELECT 'current', conv_id * 1000 + turn, conv_id + 1000000, CAST(strlen(text) + 1 AS BIGINT) FROM conversations
+    """,
     "missing_report": """
         SELECT 'samplewiki-20240115-pages-meta-history' || doc_id || '.xml-doc.bz2' AS filename, md5(text) AS md5,
                'ABSENT' AS status

@@ -29,10 +29,16 @@ from palimpsest.sources import (
 )
 from palimpsest.storage import session_scratch, touch
 
-CHECK_FILES = 8
+ROWS_PER_FILE = 5_000  # Of the files that checks write, so that no file and no page of one grows with the tables.
+
 FULLTEXT_TABLE, METADATA_TABLE = "check_fulltext", "check_metadata"
 
 
+def check_files(spark: SparkSession, sf_dir: str) -> int:
+    """How many files a check writes: by the size of the table."""
+    return 8 + samples.table(spark, sf_dir, "conversations").count() // ROWS_PER_FILE
+
+
 def metadata_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     revdocs = samples.revdocs(spark, sf_dir)
     retold = revdocs.withColumn("text", F.concat("text", F.lit(" again")))
@@ -58,8 +64,8 @@ def metadata_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written twice, with each compression; the second write replaces the first."""
     path = session_scratch(spark).path("meta_parquet")
     revdocs = samples.revdocs(spark, sf_dir)
-    sinks.write_metadata(revdocs.where("false"), path, files=CHECK_FILES, compression="gzip")
-    sinks.write_metadata(revdocs.unionByName(revdocs), path, files=CHECK_FILES, compression="snappy")
+    sinks.write_metadata(revdocs.where("false"), path, files=check_files(spark, sf_dir), compression="gzip")
+    sinks.write_metadata(revdocs.unionByName(revdocs), path, files=check_files(spark, sf_dir), compression="snappy")
     return samples.printable(read_metadata(spark, path))
 
 
@@ -67,22 +73,22 @@ def metadata_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the registered full-text table into the registered metadata table."""
     scratch = session_scratch(spark)
     revdocs = samples.revdocs(spark, sf_dir)
-    sinks.write_revdocs(revdocs.unionByName(revdocs), scratch.path("jsonbz2"), CHECK_FILES)
+    sinks.write_revdocs(revdocs.unionByName(revdocs), scratch.path("jsonbz2"), check_files(spark, sf_dir))
     register_fulltext(spark, FULLTEXT_TABLE, scratch.path("jsonbz2"))
     register_metadata(spark, METADATA_TABLE, scratch.path("meta_parquet"))
-    sinks.load_metadata(spark, FULLTEXT_TABLE, METADATA_TABLE, files=CHECK_FILES, compression="GZIP")
+    sinks.load_metadata(spark, FULLTEXT_TABLE, METADATA_TABLE, files=check_files(spark, sf_dir), compression="GZIP")
     return samples.printable(spark.table(METADATA_TABLE))
 
 
 def revdocs_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = session_scratch(spark).path("jsonbz2")
-    sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, CHECK_FILES, row_id="id")
+    sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, check_files(spark, sf_dir), row_id="id")
     return samples.printable(read_revdocs(spark, path))
 
 
 def revdocs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = session_scratch(spark).path("jsonbz2")
-    sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, CHECK_FILES, row_id="id")
+    sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, check_files(spark, sf_dir), row_id="id")
     register_fulltext(spark, "check_revdocs", path)
     return samples.printable(spark.table("check_revdocs"))
 
@@ -105,7 +111,7 @@ def page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.when(F.col("page_id") % 3 == 0, F.lit(0)).otherwise(F.col("page_id"))
     minute = F.format_string("2015-01-%02dT%02d:00:00Z", 1 + F.col("page_id") % 28, F.col("id") % 24)
     revdocs = samples.revdocs(spark, sf_dir).withColumns({"timestamp": minute, "page_id": page})
-    sinks.write_revdocs(revdocs, path, CHECK_FILES, row_id="id", slice_bytes=0)
+    sinks.write_revdocs(revdocs, path, check_files(spark, sf_dir), row_id="id", slice_bytes=0)
     return files_per_page(read_revdocs(spark, path))
 
 
@@ -168,17 +174,17 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _file_digests(spark, sf_dir, 64 * 1024 * 1024)
+    return _file_digests(spark, sf_dir)
 
 
 def file_digest_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with every file of more than 100 kB read in chunks."""
-    return _file_digests(spark, sf_dir, 100_000)
+    """The same in chunks of 10 kB, so that every file has many."""
+    return _file_digests(spark, sf_dir, chunk_bytes=10_000)
 
 
-def _file_digests(spark: SparkSession, sf_dir: str, whole_file_limit: int) -> DataFrame:
+def _file_digests(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
     md5, sha1 = (
-        digests(spark, sf_dir, algorithm, whole_file_limit).select(
+        digests(spark, sf_dir, algorithm, **options).select(
             "filename", "length", F.lit(algorithm).alias("algorithm"), "digest"
         )
         for algorithm in (audit.MD5, audit.SHA1)
@@ -272,7 +278,7 @@ def dump_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = session_scratch(spark).path("jsonbz2")
-    sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, CHECK_FILES, row_id="id")
+    sinks.write_revdocs(samples.revdocs(spark, sf_dir), path, check_files(spark, sf_dir), row_id="id")
     register_fulltext(spark, "check_steps", path)
     statements = [
         "REFRESH TABLE IDENTIFIER(:revdocs)",
@@ -291,7 +297,7 @@ def guarded_write(spark: SparkSession, sf_dir: str) -> DataFrame:
         output = scratch.path("jsonbz2")
         rows = revdocs.withColumn("comment", F.concat(F.lit(f"attempt {attempt} of "), F.col("id").cast("string")))
         outcome = sinks.write_guarded(
-            spark, lambda: sinks.write_revdocs(rows, output, CHECK_FILES, row_id="id"), output, force=force
+            spark, lambda: sinks.write_revdocs(rows, output, check_files(spark, sf_dir), row_id="id"), output, force=force
         )
         seen = scratch.keep(read_revdocs(spark, output).select("id", "comment"), f"seen{attempt}")
         results.append(seen.select(F.lit(attempt).alias("attempt"), F.lit(outcome).alias("outcome"), "id", "comment"))
@@ -304,7 +310,7 @@ def custom_converter(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples.write_xml(spark, sf_dir, xml)
     touch(spark, f"{xml}/_SUCCESS")
     convert(
-        spark, xml, json, files=CHECK_FILES, converter=lambda df: df.withColumn("comment", F.upper(F.trim("comment")))
+        spark, xml, json, files=check_files(spark, sf_dir), converter=lambda df: df.withColumn("comment", F.upper(F.trim("comment")))
     )
     return read_revdocs(spark, json).select("id", "page_id", "comment", "text")
 
@@ -312,7 +318,7 @@ def custom_converter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A staged dump through all five stages; the metadata table that comes out."""
     dump = samples.stage_dump(spark, sf_dir, session_scratch(spark))
-    run(spark, dump, Options(revdoc_files=CHECK_FILES, metadata_files=CHECK_FILES))
+    run(spark, dump, Options(revdoc_files=check_files(spark, sf_dir), metadata_files=check_files(spark, sf_dir)))
     return samples.printable(spark.table(dump.metadata_table))
 
 
@@ -323,13 +329,29 @@ def full_run_with_strays(spark: SparkSession, sf_dir: str) -> DataFrame:
     strays = samples.revdocs(spark, sf_dir).withColumn("page_id", F.col("page_id") + 1_000_000)
     samples.page_xml(strays).coalesce(2).write.option("compression", "bzip2").text(scratch.path("strays"))
     samples.place(spark, scratch.path("strays"), dump.xml_path, lambda n: f"{samples.WIKI}-{samples.DAY}-pages-articles{n}.xml.bz2")
-    outcome = run(spark, dump, Options(revdoc_files=CHECK_FILES, metadata_files=None))
+    outcome = run(spark, dump, Options(revdoc_files=check_files(spark, sf_dir), metadata_files=None))
     rows = spark.table(dump.metadata_table).select("id", "page_id", "bytes").join(
         spark.table(dump.fulltext_table).select("id", "text"), "id", "full"
     )
     return rows.select("*", (F.lit(outcome["unexpected_files"]) != "0").alias("strays_counted"))
 
 
+def full_run_both_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of both dump types in one folder and one manifest, both checked, then each converted by a run of its own."""
+    scratch = session_scratch(spark)
+    dump = samples.stage_dump(spark, sf_dir, scratch)
+    samples.place_current(spark, sf_dir, dump, scratch)
+    for kind in ("history", "current"):
+        check_staged_files(spark, dump, manifest_path=scratch.path("md5-both"), kind=kind)
+    seen = []
+    for kind in ("current", "history"):
+        options = Options(check_files=False, kind=kind, force=True, revdoc_files=check_files(spark, sf_dir), metadata_files=None)
+        run(spark, dump, options)
+        rows = spark.table(dump.metadata_table).select(F.lit(kind).alias("dump_type"), "id", "page_id", "bytes")
+        seen.append(scratch.keep(rows, f"rows-{kind}"))
+    return seen[0].unionByName(seen[1])
+
+
 def missing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list that stays when files of a manifest are missing: one line per document, none of them staged."""
     scratch = session_scratch(spark)
@@ -377,6 +399,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         custom_converter,
         full_run,
         full_run_with_strays,
+        full_run_both_types,
         missing_report,
     )
 }

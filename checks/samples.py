@@ -119,9 +119,13 @@ def page_xml(revdocs: DataFrame) -> DataFrame:
     )
 
 
-def write_xml(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> None:
-    """A bzip2 XML dump of all conversations, without a marker."""
-    pages = page_xml(revdocs(spark, sf_dir)).repartition(files)
+ROWS_PER_XML_FILE = 10_000
+
+
+def write_xml(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A bzip2 XML dump of all conversations, in as many files as their number asks for, without a marker."""
+    rows = revdocs(spark, sf_dir)
+    pages = page_xml(rows).repartition(4 + rows.count() // ROWS_PER_XML_FILE)
     pages.write.mode("overwrite").option("compression", "bzip2").text(path)
 
 
@@ -139,6 +143,17 @@ def stage_dump(spark: SparkSession, sf_dir: str, scratch: Scratch) -> Dump:
     return dump
 
 
+def place_current(spark: SparkSession, sf_dir: str, dump: Dump, scratch: Scratch) -> None:
+    """Files of the other dump type beside those of `stage_dump`: each page under another number, its revisions with a text
+    that is one character longer. The manifest of both is at `md5-both`."""
+    rows = revdocs(spark, sf_dir).withColumns(
+        {"page_id": F.col("page_id") + 1_000_000, "text": F.concat("text", F.lit("+")), "bytes": F.col("bytes") + 1}
+    )
+    page_xml(rows).write.option("compression", "bzip2").text(scratch.path("current"))
+    place(spark, scratch.path("current"), dump.xml_path, lambda n: f"{WIKI}-{DAY}-pages-articles{n}.xml-p{n}.bz2")
+    digests(spark, dump.xml_path, MD5).select(F.concat_ws("  ", "digest", "filename")).write.text(scratch.path("md5-both"))
+
+
 def place(spark: SparkSession, source: str, target: str, name: Callable[[int], str]) -> None:
     """Give the part files of `source` names of our own in `target`."""
     path = spark._jvm.org.apache.hadoop.fs.Path

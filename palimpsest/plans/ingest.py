@@ -10,6 +10,7 @@ from palimpsest.functions import valid_dump_day
 from palimpsest.naming import Dump
 from palimpsest.operators import audit
 from palimpsest.sources import digests, inventory, read_manifest, ready_dumps
+from palimpsest.sources.manifest import FILE_FAMILIES, require_kind
 
 
 
@@ -34,7 +35,8 @@ def check_staged_files(
     `delete_corrupt` is. The marker of an earlier run is taken away first.
 
     `check` is what the manifest holds before each name: md5 or sha1, size, or None if being there is enough.
-    Only files of the manifest are read. Those that were right are listed in `verified_path(dump)`.
+    Only files of the manifest are read. Those that were right are listed in `verified_path(dump, kind)`, with their
+    lengths, times and digests, a list for each dump type.
     """
     manifest_path = manifest_path or f"{dump.path}/{dump.wiki}-{dump.day}-md5sums.txt"
     status_path = status_path or f"{dump.path}/status.html"
@@ -44,7 +46,7 @@ def check_staged_files(
         raise ValueError(f"unknown check {check!r}, expected one of {audit.CHECKS} or None")
     storage.make_folder(spark, dump.xml_path)
     storage.delete(spark, f"{dump.xml_path}/{marker}")
-    storage.delete(spark, verified_path(dump))
+    storage.delete(spark, verified_path(dump, kind))
 
     with storage.Scratch(spark) as scratch:
         manifest = scratch.keep(
@@ -53,9 +55,10 @@ def check_staged_files(
         if manifest.isEmpty():
             raise RuntimeError(f"{manifest_path} lists no {kind} file of {dump.wiki} {dump.day}")
         if check in (audit.MD5, audit.SHA1):
-            files = digests(spark, dump.xml_path, check, only=manifest)
+            files = scratch.keep(digests(spark, dump.xml_path, check, only=manifest), "files")
         else:
             files = inventory(spark, dump.xml_path).withColumn("digest", F.col("length").cast("string"))
+            files = scratch.keep(files, "files")
         statuses = scratch.keep(audit.file_status(manifest, files, check is not None), "statuses")
 
         # Four rows at most.
@@ -73,7 +76,10 @@ def check_staged_files(
         missing = audit.unverified_files(manifest, present)
         if not missing.isEmpty():
             _fail(dump, "files missing or corrupt", missing.join(statuses.select("filename", "status"), "filename"))
-        present.select("filename").write.mode("overwrite").parquet(verified_path(dump))
+        verified = files.join(present.select("filename"), "filename", "left_semi")
+        digest = F.col("digest") if check in (audit.MD5, audit.SHA1) else F.lit(None).cast("string")
+        listed = verified.select(F.lit(kind).alias("kind"), "filename", "length", "modified", digest.alias("digest"))
+        listed.write.mode("overwrite").parquet(verified_path(dump, kind))
         storage.touch(spark, f"{dump.xml_path}/{marker}")
         return {"present": tally[audit.PRESENT], "unexpected": unexpected.count()}
 
@@ -93,16 +99,36 @@ def require_ready(spark: SparkSession, dump: Dump, status_path: str) -> None:
         raise RuntimeError(f"{status_path} does not say that the dump of {dump.wiki} {dump.day} is complete")
 
 
-def verified_path(dump: Dump) -> str:
-    """Where the names of the files are listed that the last check found right."""
-    return f"{dump.path}/verified"
+def verified_path(dump: Dump, kind: str = "history") -> str:
+    """Where the files of a dump type are listed that the last check of that type found right."""
+    require_kind(kind)
+    return f"{dump.path}/verified/{kind}"
 
 
-def verified_files(spark: SparkSession, dump: Dump) -> list[str] | None:
-    """Paths of those files, as many as the dump has; None if no check was made."""
-    if not storage.exists(spark, verified_path(dump)):
-        return None
-    return [f"{dump.xml_path}/{row['filename']}" for row in spark.read.parquet(verified_path(dump)).orderBy("filename").collect()]
+def inputs(spark: SparkSession, dump: Dump, kind: str) -> DataFrame:
+    """`(kind, filename, length, modified, digest)`: the files that stage 2 has to read.
+
+    Those are the verified ones of the dump type, and an error if one of them has changed since, or is gone. If only the
+    other type was verified, the marker speaks for that one, which is an error too. Without any check, all files of
+    the folder count but those named like another dump type's; their digests are NULL.
+    """
+    there = inventory(spark, dump.xml_path)
+    if storage.exists(spark, verified_path(dump, kind)):
+        listed = spark.read.parquet(verified_path(dump, kind))
+        now = there.select("filename", F.col("length").alias("length_now"), F.col("modified").alias("modified_now"))
+        same = F.coalesce((F.col("length") == F.col("length_now")) & (F.col("modified") == F.col("modified_now")), F.lit(False))
+        changed = listed.join(now, "filename", "left").where(~same)
+        if not changed.isEmpty():
+            _fail(dump, "files changed since they were checked", changed)
+        return listed
+    for other in sorted(set(FILE_FAMILIES) - {kind}):
+        if storage.exists(spark, verified_path(dump, other)):
+            raise RuntimeError(f"{dump.xml_path} was checked for {other} files, not for {kind} files")
+    stray = F.lit(False)
+    for other, family in FILE_FAMILIES.items():
+        if other != kind:
+            stray = stray | F.col("filename").contains(f"-{family}")
+    return there.where(~stray).select(F.lit(kind).alias("kind"), "filename", "length", "modified", F.lit(None).cast("string").alias("digest"))
 
 
 def _fail(dump: Dump, what: str, files: DataFrame) -> None:

@@ -12,7 +12,7 @@ from palimpsest.operators import sinks
 from palimpsest.operators.audit import CHECKS, MD5
 from palimpsest.operators.ordering import SLICE_BYTES
 from palimpsest.plans.convert import Converter, convert
-from palimpsest.plans.ingest import check_staged_files, verified_files
+from palimpsest.plans.ingest import check_staged_files, inputs
 from palimpsest.sources import register_fulltext, register_metadata
 from palimpsest.sources.manifest import require_kind
 
@@ -57,8 +57,8 @@ def run(spark: SparkSession, dump: Dump, options: Options = Options()) -> dict[s
 
     Stages hand over through files and markers, so each can be run again on its own. If XML is converted in
     the same run, the metadata is taken from the parsed columns on the way, which spares decompressing and
-    parsing all of the full text again; the rows are the same. If files were checked, in this run or an earlier
-    one, only those listed and right are converted, whatever else lies in the folder.
+    parsing all of the full text again; the rows are the same. If files of the dump type were checked, in this run or an
+    earlier one, only those listed and right are converted, whatever else lies in the folder, and none that has changed since.
     """
     outcome = {}
     metadata_settings = (options.metadata_files, options.metadata_compression)
@@ -94,7 +94,7 @@ def run(spark: SparkSession, dump: Dump, options: Options = Options()) -> dict[s
             force=options.force,
             marker=options.marker,
             also=write_metadata if load_early else None,
-            only=verified_files(spark, dump),
+            only=inputs(spark, dump, options.kind) if storage.has_marker(spark, dump.xml_path, options.marker) else None,
             slice_bytes=options.slice_bytes,
         )
     if options.fulltext_table:

@@ -2,38 +2,46 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.functions import hex_digest
-
-WHOLE_FILE_LIMIT = 64 * 1024 * 1024
 CHUNK_BYTES = 4 * 1024 * 1024
-ARROW_SCHEMES = ("file", "hdfs", "viewfs", "s3", "s3a", "gs", "gcs", "abfs", "abfss")
+READABLE_SCHEMES = ("file", "hdfs", "viewfs", "s3", "s3a", "gs", "gcs", "abfs", "abfss")
+
+_FILE = "path string, length bigint, modified bigint"
 
 
-def empty_files(spark: SparkSession, path: str) -> list[str]:
-    """Paths of the files of no bytes in a directory, hidden ones left out."""
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    listed = fs.listStatus(target)
-    names = [(s.getPath().getName(), s.getPath().toString()) for s in listed if s.getLen() == 0 and s.isFile()]
-    return [path for name, path in names if not name.startswith(("_", "."))]
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
+def empty_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Paths and times (in ms) of the files of no bytes in a directory, hidden ones left out."""
+    fs, target = _file_system(spark, path)
+    empty = [s for s in fs.listStatus(target) if s.getLen() == 0 and s.isFile()]
+    found = [(s.getPath().getName(), s.getPath().toString(), s.getModificationTime()) for s in empty]
+    return [(path, time) for name, path, time in found if not name.startswith(("_", "."))]
 
 
 def inventory(spark: SparkSession, path: str) -> DataFrame:
-    """`(path, filename, length)` of the files in a directory. File contents are not read.
+    """`(path, filename, length, modified)` of the files in a directory. File contents are not read.
 
     Names that start with `_` or `.`, success markers among them, are hidden as in every Spark file source.
     """
-    listing = _listing(spark, path)
-    filled = listing.select("path", _filename().alias("filename"), "length")
+    listing = spark.read.format("binaryFile").load(path)
+    files = listing.select("path", _filename().alias("filename"), "length", F.col("modificationTime").alias("modified"))
     # Scans leave out files of no bytes, so those, and only those, are taken from the file system's own listing.
-    empty = [(name, 0) for name in empty_files(spark, path)]
-    return filled.unionByName(
-        spark.createDataFrame(empty, "path string, length bigint").select("path", _filename().alias("filename"), "length")
+    empty = empty_files(spark, path)
+    if not empty:
+        return files
+    listed = json.dumps([{"path": path, "length": 0, "modified": time} for path, time in empty])
+    rows = spark.range(1).select(F.inline(F.from_json(F.lit(listed), f"array<struct<{_FILE}>>")))
+    return files.unionByName(
+        rows.select("path", _filename().alias("filename"), "length", F.timestamp_millis("modified").alias("modified"))
     )
 
 
@@ -41,59 +49,37 @@ def digests(
     spark: SparkSession,
     path: str,
     algorithm: str = "md5",
-    whole_file_limit: int = WHOLE_FILE_LIMIT,
     only: DataFrame | None = None,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """`(path, filename, length, digest)` of the files in a directory; `digest` is NULL where reading failed.
+    """The inventory of a directory with `digest`, which is NULL where reading failed.
 
-    Files up to `whole_file_limit` bytes are hashed by the JVM as one value. A digest is sequential, so a
-    longer file is one task that reads it in chunks, in constant memory whatever its size. Chunks are read by
-    Arrow's file systems, which have credentials of their own; a scheme they do not know is an error at once.
-    With `only`, a table of `filename`, no other file is read.
+    Every file, whatever its size, is read by one client in chunks, in constant memory. A digest is sequential, so a
+    file is read by one task; files come to tasks as the scan of the listing deals them out, by their sizes, large ones
+    alone, without a shuffle. Chunks are read by Arrow's file systems, which have credentials of their own; a scheme they
+    do not know is an error at once. With `only`, a table of `filename`, no other file is read.
     """
+    scheme = _file_system(spark, path)[0].getUri().getScheme()
+    if scheme not in READABLE_SCHEMES:
+        raise ValueError(f"files can't be read in chunks from {scheme}:, only from {READABLE_SCHEMES}")
     files = inventory(spark, path)
     if only is not None:
         files = files.join(only.select("filename").distinct(), "filename", "left_semi").select(*files.columns)
-    fits = F.col("length") <= whole_file_limit
-    # Reading leaves out a file that fails; the join with the inventory brings it back without a digest.
-    read = _listing(spark, path).where(fits)
-    if only is not None:
-        named = read.withColumn("filename", _filename())
-        read = named.join(only.select("filename").distinct(), "filename", "left_semi")
-    read = read.select("path", hex_digest(F.col("content"), algorithm).alias("digest"))
-    of_nothing = F.when(F.col("length") == 0, hex_digest(F.lit(b""), algorithm))
-    short = files.where(fits).join(read, "path", "left").withColumn("digest", F.coalesce("digest", of_nothing))
-    long = files.where(~fits)
-    n_long = long.count()
-    if n_long == 0:
-        return short
-    scheme = long.select("path").first()["path"].split(":")[0]
-    if scheme not in ARROW_SCHEMES:
-        raise ValueError(f"files of more than {whole_file_limit} bytes can't be read in chunks from {scheme}:, only from {ARROW_SCHEMES}")
-    # Numbered, so that every file is a task of its own, the longest first. The names of long files are few.
-    order = Window.orderBy(F.desc("length"), "path")
-    numbered = long.withColumn("number", (F.row_number().over(order) - 1).cast("int"))
-    hashed = numbered.repartitionById(n_long, "number").drop("number").mapInPandas(
-        _chunked_hasher(algorithm), "path string, filename string, length bigint, digest string"
-    )
-    return short.unionByName(hashed)
-
-
-def _listing(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("ignoreCorruptFiles", True).load(path)
+    schema = "path string, filename string, length bigint, modified timestamp, digest string"
+    return files.mapInArrow(_hasher(algorithm, chunk_bytes), schema)
 
 
 def _filename() -> Column:
     return F.substring_index("path", "/", -1)
 
 
-def _chunked_hasher(algorithm: str):
+def _hasher(algorithm: str, chunk_bytes: int):
     """Built as a closure so that executors need not have this package installed."""
-    chunk_bytes = CHUNK_BYTES
 
     def hash_files(batches: Iterator) -> Iterator:
         import hashlib
 
+        import pyarrow as pa
         from pyarrow import ArrowException, fs
 
         def digest(path: str) -> str | None:
@@ -112,6 +98,7 @@ def _chunked_hasher(algorithm: str):
             return hasher.hexdigest()
 
         for batch in batches:
-            yield batch.assign(digest=[digest(path) for path in batch["path"]])
+            found = pa.array([digest(path) for path in batch.column("path").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "digest"])
 
     return hash_files

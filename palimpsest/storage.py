@@ -61,6 +61,11 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Lets go of tables that nothing reads any more."""
+        for name in names:
+            delete(self.spark, self.path(name))
+
     def close(self) -> None:
         delete(self.spark, self.root)
 

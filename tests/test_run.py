@@ -2,6 +2,7 @@
 
 import bz2
 import hashlib
+import os
 from pathlib import Path
 
 import pytest
@@ -298,3 +299,71 @@ def test_settings_stay_as_they_are(spark, dump):
     run(spark, dump, Options(revdoc_files=2, metadata_files=1, converter=converter, metadata_compression="gzip"))
     assert dict(spark.conf.getAll) == before and seen == ["8"]
     assert len(list(Path(dump.metadata_path).glob("*.gz.parquet"))) == 1
+
+
+def add_current(dump):
+    """Files of the other dump type in the same folder and manifest."""
+    manifest = Path(dump.path, "enwiki-20150923-md5sums.txt")
+    before = manifest.read_text()
+    files = {"1": HEAD + page(9, "Nine", revision(91, time(1))) + "</export>\n"}
+    stage(dump, "pages-articles", files)
+    manifest.write_text(before + manifest.read_text())
+
+
+def test_verified_lists_are_kept_by_dump_type(spark, dump):
+    add_current(dump)
+    check_staged_files(spark, dump)
+    later = Options(check_files=False, kind="current", revdoc_files=2, metadata_files=2)
+    with pytest.raises(RuntimeError, match="checked for history files"):
+        run(spark, dump, later)
+    check_staged_files(spark, dump, kind="current")
+    run(spark, dump, later)
+    assert ids(spark.table("enwiki_20150923")) == ids(spark.table("enwiki_20150923_fulltext")) == [91]
+
+
+def test_output_of_another_dump_type_is_not_skipped(spark, dump):
+    add_current(dump)
+    run(spark, dump, SMALL)
+    with pytest.raises(RuntimeError, match="another dump type"):
+        run(spark, dump, SMALL_CURRENT)
+    assert ids(read_revdocs(spark, dump.json_path)) == [11, 12, 21, 22, 23]
+    run(spark, dump, Options(revdoc_files=2, metadata_files=2, kind="current", force=True))
+    assert ids(spark.table("enwiki_20150923")) == [91]
+
+
+def test_files_changed_after_the_check_are_refused(spark, dump):
+    check_staged_files(spark, dump)
+    first = sorted(Path(dump.xml_path).glob("*.bz2"))[0]
+    content = first.read_bytes()
+    first.write_bytes(content[:-1] + b"x")  # The same name and length.
+    os.utime(first, (1, 1))
+    with pytest.raises(RuntimeError, match="changed since they were checked"):
+        run(spark, dump, Options(check_files=False, revdoc_files=2, metadata_files=2))
+    first.unlink()
+    with pytest.raises(RuntimeError, match="changed since they were checked"):
+        run(spark, dump, Options(check_files=False, revdoc_files=2, metadata_files=2))
+    first.write_bytes(content)
+    assert run(spark, dump, SMALL)["convert_xml"] == "written"
+
+
+def test_skip_knows_its_input(spark, dump):
+    """Files staged again with the same content are the same input; other content is not."""
+    run(spark, dump, SMALL)
+    record = {r["filename"]: r["digest"] for r in spark.read.parquet(f"{dump.json_path}_input").collect()}
+    assert record == {p.name: hashlib.md5(p.read_bytes()).hexdigest() for p in Path(dump.xml_path).glob("*.bz2")}
+    for path in Path(dump.xml_path).glob("*.bz2"):
+        os.utime(path, (5, 5))
+    assert run(spark, dump, SMALL)["convert_xml"] == "skipped"
+    stage(dump, files={**FILES, "3": HEAD + page(3, "Three", revision(31, time(1))) + "</export>\n"})
+    with pytest.raises(RuntimeError, match="made from other files"):
+        run(spark, dump, SMALL)
+    assert run(spark, dump, Options(revdoc_files=2, metadata_files=2, force=True))["convert_xml"] == "written"
+    assert ids(spark.table("enwiki_20150923")) == [11, 12, 21, 22, 23, 31]
+
+
+def test_without_any_check_names_tell_the_dump_type(spark, dump):
+    add_current(dump)
+    storage.touch(spark, f"{dump.xml_path}/_SUCCESS")
+    options = Options(check_files=False, kind="current", revdoc_files=2, metadata_files=2)
+    run(spark, dump, options)
+    assert ids(spark.table("enwiki_20150923")) == [91]

@@ -12,7 +12,7 @@ from palimpsest.sources import (
     read_revdocs,
     ready_dumps,
 )
-from palimpsest.sources.inventory import _chunked_hasher
+from palimpsest.sources.inventory import _hasher
 
 A, B, C = ("a" * 32, "b" * 32, "c" * 32)
 HISTORY = "enwiki-20150923-pages-meta-history1.xml-p1p2.bz2"
@@ -111,21 +111,44 @@ def test_inventory_hides_markers_and_reads_no_content(spark, folder):
 
 
 @pytest.mark.parametrize("algorithm", ["md5", "sha1"])
-@pytest.mark.parametrize("limit", [1 << 26, 1000, 0])
-def test_digests_whole_and_chunked(spark, folder, algorithm, limit):
+@pytest.mark.parametrize("chunk", [1 << 26, 1000, 1])
+def test_digests_of_files_of_all_sizes(spark, folder, algorithm, chunk):
+    """Empty, short and long files of one folder go the same way."""
     path, contents = folder
-    found = {r["filename"]: r["digest"] for r in digests(spark, path, algorithm, limit).collect()}
+    found = {r["filename"]: r["digest"] for r in digests(spark, path, algorithm, chunk_bytes=chunk).collect()}
     assert found == {n: hashlib.new(algorithm, c).hexdigest() for n, c in contents.items()}
 
 
+def test_digests_need_no_shuffle_and_start_no_job(spark, folder):
+    path, _ = folder
+    physical = digests(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in physical and "content" not in physical
+
+
+def test_digests_of_some_files(spark, folder):
+    path, contents = folder
+    only = spark.createDataFrame([("a.bz2",), ("empty.bz2",), ("gone.bz2",)], "filename string")
+    found = {r["filename"]: r["digest"] for r in digests(spark, path, only=only).collect()}
+    assert found == {n: hashlib.md5(contents[n]).hexdigest() for n in ("a.bz2", "empty.bz2")}
+
+
+def test_inventory_has_no_python_rows(spark, folder, tmp_path_factory):
+    full = tmp_path_factory.mktemp("full")
+    (full / "a.bz2").write_bytes(b"a")
+    for path in (folder[0], str(full)):
+        physical = inventory(spark, path)._jdf.queryExecution().executedPlan().toString()
+        assert "ExistingRDD" not in physical and "Python" not in physical
+    assert "Union" not in inventory(spark, str(full))._jdf.queryExecution().executedPlan().toString()
+
+
 def test_unreadable_file_has_no_digest(spark, folder):
     path, _ = folder
     files = spark.createDataFrame(
         [(f"file:{path}/a.bz2", "a.bz2", 10), (f"file:{path}/gone.bz2", "gone.bz2", 10)],
         "path string, filename string, length bigint",
     )
-    hashed = files.mapInPandas(
-        _chunked_hasher("md5"), "path string, filename string, length bigint, digest string"
+    hashed = files.mapInArrow(
+        _hasher("md5", 1000), "path string, filename string, length bigint, digest string"
     ).collect()
     assert {r["filename"]: r["digest"] is None for r in hashed} == {"a.bz2": False, "gone.bz2": True}
 
