@@ -11,20 +11,24 @@ around the diagonal, so the band decides exactly. Linked texts form classes, tra
 
 No group of equal keys is ever expanded into all its pairs. Equal texts are one. In each round every group aligns its
 most central text with the members of other classes; in a group of copies that leaves one class. A text that has
-been aligned with all other classes of its group leaves the group. What is then left with several classes is
-compared across classes only, in blocks of bounded size, by parities: shingles are dealt to PARITIES counters, of which
-a text keeps the lowest bits. Shingles that two texts do not share are at least as many as the bits in which they
-differ, so too many of these rule a pair out for certain, and only pairs that are not ruled out are emitted.
+been aligned with all other classes of its group leaves the group. Texts of groups that are then left with several classes
+go through a prefix filter: of the labelled shingles in an order that begins with those of the fewest texts, similar texts
+share one among the first fifth. Texts are put together by these only; a text with more than a fifth of its own meets no
+other. Within such a small group pairs of different classes are ruled out by parities, in blocks of bounded size: shingles
+are dealt to PARITIES counters, of which a text keeps the lowest bits. Shingles that two texts do not share are
+at least as many as the bits in which they differ, so too many of these rule a pair out for certain, and only pairs that
+are not ruled out are emitted.
 
 * Null text counts as empty. Texts without words are equal. A text of one to four words is one shingle.
 * Rows with equal words are one class. The class id is the smallest row number of its class, `keep_id` the id of its
   longest text, ties to the smaller id, null last. Exactly one row of a class is kept, even if ids repeat.
 * An empty table gives an empty result. Other columns, whatever their names, can be carried along in `row`.
+* Very long texts: hashing needs some 60 times the size of the longest text, aligning two texts some 100 bytes a
+  word and time in proportion to the length times the band.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +49,8 @@ BLOCK_ROWS = 256  # Of a group compared with as many others in one step.
 SALTS = 32  # Parts of the pairs of a text that takes part in a large share of all pairs.
 
 PARITIES = 2048
+FEW = 32  # Places of a shingle whose bits are put together anew for every step.
+CACHE_BITS = 1 << 29  # Of the bits of other shingles that are kept from step to step.
 
 SKETCHED = "seq long, n long, mark string, keys array<long>"
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -139,10 +145,48 @@ def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays([part.column("seq"), pa.array(grams, pa.list_(pa.int64()))], ["v", "grams"])
 
 
+class Matches:
+    """Bits of the places of a shingle in a text, within windows that only move on."""
+
+    def __init__(self, text: np.ndarray, width: int):
+        self.width = width
+        order = np.argsort(text, kind="stable")
+        ranked = text[order]
+        begin = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        self.places = {int(ranked[a]): order[a:b] for a, b in zip(begin, [*begin[1:], len(text)], strict=True)}
+        self.seen: dict[int, tuple[int, int]] = {}  # Of frequent shingles: where the window began, and the bits.
+        self.bits = 0
+
+    def within(self, gram: int, low: int) -> int:
+        """Bit k is set if the shingle is at place low + k of the text, for k below the width."""
+        places = self.places.get(gram)
+        if places is None:
+            return 0
+        if len(places) <= FEW:
+            return sum(1 << (j - low) for j in places.tolist() if low <= j < low + self.width)
+        before, bits = self.seen.get(gram, (low - self.width, 0))
+        bits >>= min(low - before, self.width)
+        a, b = np.searchsorted(places, [max(before + self.width, low), low + self.width])
+        if b - a > FEW:
+            new = np.zeros(self.width, np.uint8)
+            new[places[a:b] - low] = 1
+            bits |= int.from_bytes(np.packbits(new, bitorder="little").tobytes(), "little")
+        else:
+            for j in places[a:b].tolist():
+                bits |= 1 << (j - low)
+        self.bits += 0 if gram in self.seen else self.width
+        if self.bits > CACHE_BITS:
+            self.seen, self.bits = {}, self.width
+        self.seen[gram] = low, bits
+        return bits
+
+
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     """Whether the aligned similarity of two shingle sequences reaches `least`.
 
-    Rows of the alignment are kept as bits of one number, and only matches within the band count.
+    The row of the alignment that belongs to a shingle of `a` is kept as bits of one number, which has the width of the band
+    and moves along the diagonal: a step costs the width, not the length of `b`. Columns that leave the band
+    are settled, those that enter it have not been matched.
     """
     n, m = len(a), len(b)
     if not n or not m:
@@ -162,20 +206,18 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     if np.isin(a, b).sum() < need or np.isin(b, a).sum() < need:
         return False
     band = len(a) + len(b) - 2 * need  # More steps off the diagonal would leave too many unmatched.
-    places = defaultdict(list)
-    for j, gram in enumerate(b.tolist()):
-        places[gram].append(j)
-    full = (1 << len(b)) - 1
-    row = full
+    width = 2 * band + 1
+    matches, full, top = Matches(b, width), (1 << width) - 1, 1 << (width - 1)
+    row, settled = full, 0  # A zero is a match.
     for i, gram in enumerate(a.tolist()):
-        matches = 0
-        for j in places.get(gram, ()):
-            if -band <= j - i <= band:
-                matches |= 1 << j
-        hit = row & matches
+        hit = row & matches.within(gram, i - band)
         if hit:
             row = ((row + hit) | (row - hit)) & full
-    return len(b) - row.bit_count() >= need
+        settled += not row & 1
+        row = (row >> 1) | top
+        if i % 64 == 63 and settled + width - row.bit_count() + len(a) - 1 - i < need:
+            return False
+    return settled + width - row.bit_count() >= need
 
 
 def _align_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +258,9 @@ def _aligned(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str) ->
     left = left.select("a", "grams_a", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
     right = grams.select(F.col("v").alias("b"), F.col("grams").alias("grams_b"))
     both = salted.join(right, "b").join(left, ["a", "salt"]).select("a", "b", "grams_a", "grams_b")
-    return scratch.keep(both.mapInArrow(_align_batches, "a long, b long"), f"{name}-links")
+    links = scratch.keep(both.mapInArrow(_align_batches, "a long, b long"), f"{name}-links")
+    scratch.drop(f"{name}-candidates", f"{name}-facts", f"{name}-pairs", f"{name}-grams")
+    return links
 
 
 def _fits(a: str, b: str) -> F.Column:
@@ -238,6 +282,7 @@ def classes(rows: DataFrame, scratch: Scratch) -> DataFrame:
     shared = scratch.keep(hot_join(keyed, sizes, "key", "size"), "shared")
     central = shared.groupBy("v").agg(F.sum("size").alias("central"))
     bands = scratch.keep(shared.join(central, "v"), "bands")
+    scratch.drop("sketches", "sizes", "shared")
 
     for turn in range(ROUNDS + 1):
         current = bands.join(nodes, "v")
@@ -255,15 +300,53 @@ def classes(rows: DataFrame, scratch: Scratch) -> DataFrame:
             pairs = joined.where(F.col("c") != F.col("pc")).where(_fits("n", "pn")).select(F.col("pv").alias("a"), F.col("v").alias("b")).distinct()
             bands = joined.where("v <> pv").select("v", "n", "key", "size", "central")
         else:
-            parities = scratch.keep(_facts(rows, joined.select("v")).select("v", "parity"), "parities")
-            pairs = _across(joined.join(parities, "v"))
-        nodes = components(nodes, _aligned(pairs, rows, scratch, f"turn-{turn}"), scratch, f"turn-{turn}")
+            left_over = scratch.keep(joined.select("v", "c").distinct(), "left-over")
+            rare = scratch.keep(_rare_shared(rows, left_over, scratch), "rare")
+            parities = scratch.keep(_facts(rows, rare.select("v")).select("v", "parity"), "parities")
+            pairs = _across(rare.join(parities, "v"))
+        links = _aligned(pairs, rows, scratch, f"turn-{turn}")
+        nodes = components(nodes, links, scratch, f"turn-{turn}")
+        scratch.drop(f"groups-{turn}", f"turn-{turn}-links", *[f"joined-{turn - 1}"] * bool(turn), *["bands"] * (turn == 0))
     merged = scratch.keep(
         member.groupBy("v").agg(F.first("size").alias("size")).join(nodes, "v").select("v", "size", F.col("c").alias("class")), "classes"
     )
     return hot_join(member.select("seq", "v"), merged, "v", "size").select("seq", "class")
 
 
+def _labelled_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, texts in _row_hashes(batch):
+            grams = [labelled(shingles(hashes)).view(np.int64) for hashes in texts]
+            yield pa.RecordBatch.from_arrays([part.column("seq"), pa.array(grams, pa.list_(pa.int64()))], ["v", "grams"])
+
+
+def prefix_length(n: str) -> F.Column:
+    """How many of n shingles, in an order that all texts share, must have one in common with any text that is similar."""
+    return F.col(n) - F.ceil(F.col(n) * SIMILARITY - 1e-9) + 1
+
+
+def _rare_shared(rows: DataFrame, left_over: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, v, n, c, left): for texts (v, c), those of their rarest labelled shingles that another text has too.
+
+    Shingles are ordered by the number of texts they are in, then by their hash. Of two similar texts the first ones in
+    this order, one more than may be unmatched, have one in common. Shingles of one text only come first and
+    match nothing, so a text with enough of its own has no row at all. `left` is the number of rows of a key.
+    """
+    wanted = rows.select("seq", "text").join(left_over.select(F.col("v").alias("seq")), "seq", "left_semi")
+    grams = scratch.keep(wanted.mapInArrow(_labelled_batches, "v long, grams array<long>"), "left-over-grams")
+    each = grams.select("v", F.size("grams").cast("long").alias("n"), F.explode("grams").alias("key"))
+    shared = scratch.keep(each.groupBy("key").agg(F.count("*").alias("texts")).where("texts > 1"), "left-over-shared")
+    common = hot_join(each, shared, "key", "texts")
+    ordered = common.groupBy("v").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("texts", "key"))).alias("common"))
+    own = F.col("n") - F.size("common")
+    first = ordered.withColumn("take", (prefix_length("n") - own).cast("int")).where("take > 0")
+    keyed = first.select("v", "n", F.explode(F.slice("common", F.lit(1), F.col("take"))).alias("one"))
+    keyed = scratch.keep(keyed.select("v", "n", F.col("one.key").alias("key")).join(left_over, "v"), "left-over-keyed")
+    groups = keyed.groupBy("key").agg(F.count("*").alias("left"), F.min("c").alias("low"), F.max("c").alias("high"))
+    groups = scratch.keep(groups.where("low <> high").select("key", "left"), "left-over-groups")
+    return hot_join(keyed, groups, "key", "left").select("key", "v", "n", "c", "left")
+
+
 def _across(joined: DataFrame) -> DataFrame:
     """Pairs of different classes within a group that may be similar. A task compares two blocks of a group at a time."""
     blocks_of = F.ceil(F.col("left") / BLOCK_ROWS).cast("int")
@@ -321,8 +404,9 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text:
 
     class_id is the smallest id of the class.
     """
-    narrow = [F.monotonically_increasing_id().alias("seq"), F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text")]
-    rows = scratch.keep(docs.select(*narrow, *[F.struct("*").alias("row")] * carry), "rows")
+    narrow = [F.monotonically_increasing_id().alias("seq"), F.col(id).cast("long").alias("id")]
+    kept = scratch.keep(docs.select(*narrow, F.struct("*").alias("row") if carry else F.col(text).cast("string").alias("text")), "rows")
+    rows = kept.withColumn("text", F.col("row")[text].cast("string")) if carry else kept  # Written once, read as one column.
     found = scratch.keep(classes(rows, scratch), "found")
     facts = rows.select("seq", "id", F.length(F.coalesce("text", F.lit(""))).alias("n_chars"))
     rank = F.struct(-F.col("n_chars"), F.col("id").isNull(), "id", "seq")

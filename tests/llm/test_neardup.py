@@ -1,7 +1,9 @@
 import random
+import time
 from collections import Counter
 
 import numpy as np
+import pytest
 from helpers_llm import awkward, documents, edited, prose
 
 from palimpsest.llm import neardup
@@ -140,3 +142,98 @@ def test_components(spark):
 
 def test_empty_table(spark):
     assert neardup.near_duplicates(documents(spark, []), Scratch(spark)).count() == 0
+
+
+@pytest.mark.parametrize("few", [0, 2, 32])
+@pytest.mark.parametrize("cache", [1 << 29, 100])
+def test_alignment_of_repeated_shingles(monkeypatch, few, cache):
+    """Random sequences of few different shingles, at lengths on both sides of the threshold."""
+    monkeypatch.setattr(neardup, "FEW", few)
+    monkeypatch.setattr(neardup, "CACHE_BITS", cache)
+    draw = np.random.default_rng(few + cache)
+    verdicts = set()
+    for _ in range(600):
+        a = draw.integers(0, draw.integers(2, 12), draw.integers(1, 60))
+        b = list(a)
+        for _ in range(draw.integers(0, 9)):
+            at = int(draw.integers(0, len(b) + 1))
+            b[at : at + int(draw.integers(0, 3))] = draw.integers(0, 12, draw.integers(0, 3)).tolist()
+        b = np.array(b or [0])
+        m = subsequence(a.tolist(), b.tolist())
+        expected = m / (len(a) + len(b) - m) >= 0.8 - 1e-12
+        assert neardup.similar(a.astype(np.int64), b.astype(np.int64)) == expected
+        verdicts.add(expected)
+    assert verdicts == {True, False}
+
+
+@pytest.mark.parametrize("words", [20_000, 200_000])
+def test_long_repeated_texts_align_fast(words):
+    """Equal words with other ends: all matches are repeated, and nothing can be trimmed."""
+    a, b = (np.concatenate([np.full(3, k), np.full(words, 7), np.full(3, k + 1)]).astype(np.int64) for k in (1, 3))
+    began = time.perf_counter()
+    assert neardup.similar(a, b)
+    assert not neardup.similar(a, np.concatenate([b[: words // 2], np.arange(100, 100 + words // 2)]))
+    assert time.perf_counter() - began < (1 if words == 20_000 else 60)
+
+
+def apart(n, own):
+    """Texts that share most of their words, but not enough, each with words of its own spread over it."""
+    core = prose(300, 1).split()
+    texts = []
+    for k in range(n):
+        words = list(core)
+        for j in range(own):
+            words[j * (300 // own)] = f"own{k}x{j}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_families_below_the_threshold_stay_proportional(spark):
+    """Texts with more than a fifth of their shingles of their own meet nobody, however many there are."""
+    for n in (200, 1000):
+        docs = documents(spark, apart(n, 20)).selectExpr("doc_id AS seq", "text")
+        left = docs.selectExpr("seq AS v", "seq AS c")
+        assert neardup._rare_shared(docs, left, Scratch(spark)).count() == 0
+
+
+def test_prefix_filter_loses_no_pair(spark):
+    """Random pairs of texts on both sides of the threshold, compared with all of them."""
+    draw = np.random.default_rng(8)
+    texts = []
+    for k in range(60):
+        base = prose(int(draw.integers(6, 120)), k)
+        texts += [base, edited(base, draw.integers(0, len(base.split()), int(draw.integers(1, 4))).tolist())]
+    docs = documents(spark, texts).selectExpr("doc_id AS seq", "text")
+    rare = neardup._rare_shared(docs, docs.selectExpr("seq AS v", "seq AS c"), Scratch(spark)).collect()
+    keys = {}
+    for row in rare:
+        keys.setdefault(row.v, set()).add(row.key)
+    grams = {k: shingle_numbers(t) for k, t in enumerate(texts)}
+    similar = [(a, b) for a in grams for b in grams if a < b and neardup.similar(grams[a], grams[b])]
+    assert len(similar) > 15
+    for a, b in similar:
+        assert texts[a] == texts[b] or keys.get(a, set()) & keys.get(b, set()), (a, b)
+
+
+def shingle_numbers(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    starts, ends, _ = neardup.word_spans(data, np.array([0, len(data)]))
+    return neardup.shingles(neardup.hash_spans(data, starts, ends)).view(np.int64)
+
+
+def test_recall_against_all_pairs(spark):
+    """All pairs of the documents of scale factor 0.01 whose shared shingles allow the similarity, aligned one by one."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {r.id: r.class_id for r in neardup.near_duplicates(docs, Scratch(spark)).collect()}
+    rows = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
+    grams = {i: shingle_numbers(t) for i, t in rows}
+    counts = {i: Counter(neardup.labelled(g.view(np.uint64)).tolist()) for i, g in grams.items()}
+    holders = {}
+    for i, c in counts.items():
+        for gram in c:
+            holders.setdefault(gram, []).append(i)
+    shared = Counter((a, b) for some in holders.values() for k, a in enumerate(some) for b in some[k + 1 :])
+    pairs = [(a, b) for (a, b), n in shared.items() if n >= 0.8 * (len(grams[a]) + len(grams[b])) / 1.8 - 1e-6]
+    links = [(a, b) for a, b in pairs if neardup.similar(grams[a], grams[b])]
+    assert len(links) > 20
+    assert sum(found[a] == found[b] for a, b in links) >= 0.999 * len(links)
