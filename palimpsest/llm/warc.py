@@ -55,14 +55,17 @@ def records(pages: DataFrame, scratch: Scratch, id: str = "page_id", url: str =
         F.octet_length(payload).cast("long").alias("bytes"), F.sha1(payload).alias("digest"),
     )
     narrow = scratch.keep(rows.where(F.col("bytes") >= least).select("page_id", "url", "digest"), "payloads")
-    cells = exact.cells_for(narrow.count())
-    found = scratch.keep(exact.repeated_positions(narrow, cells, "digest"), "filter")
+    words = exact.words_for(narrow.count())
+    found = scratch.keep(exact.repeated_bits(narrow, words, "digest"), "filter")
     first = F.max(F.struct(F.col("page_id").isNotNull(), "page_id", "url"))
     groups = narrow.groupBy("digest").agg(F.count("*").alias("copies"), first.alias("of")).where("copies > 1")
     groups = scratch.keep(groups.select("digest", "copies", F.struct("of.page_id", "of.url").alias("of")), "groups")
 
     # Only payloads that may repeat are moved.
-    probed = exact.probe(rows, found, cells, "digest")
+    rows = exact.numbered_for_probing(rows, words, "digest")
+    if words > exact.SLICE_WORDS:
+        rows = scratch.keep(rows, "numbered")  # Every slice reads its own rows only.
+    probed = exact.probe(rows, found, words, scratch, "probed", "digest")
     maybe = probed.where(F.col("maybe") & (F.col("bytes") >= least)).drop("maybe")
     alone = probed.where(~(F.col("maybe") & (F.col("bytes") >= least))).drop("maybe")
     none = F.lit(None).cast("struct<page_id: bigint, url: string>").alias("of")
@@ -70,7 +73,7 @@ def records(pages: DataFrame, scratch: Scratch, id: str = "page_id", url: str =
     false = maybe.join(groups.select("digest"), "digest", "left_anti").select(*rows.columns, none)
     marked = alone.select("*", none).unionByName(repeated).unionByName(false)
     revisit = F.col("of").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("of.page_id"))
-    return marked.withColumn("of", F.when(revisit, F.col("of")))
+    return marked.drop("word").withColumn("of", F.when(revisit, F.col("of")))
 
 
 def write(marked: DataFrame, path: str, date: str = DATE) -> None:

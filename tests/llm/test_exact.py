@@ -2,6 +2,7 @@ import hashlib
 import re
 from collections import defaultdict
 
+import pytest
 from helpers_llm import AWKWARD, awkward, documents, prose
 
 from palimpsest.llm import exact
@@ -42,21 +43,48 @@ def test_hot_group_among_many(spark):
 
 def test_small_filter_gives_the_same(spark, monkeypatch):
     """A filter that is far too small only moves more rows."""
-    monkeypatch.setattr(exact, "MIN_CELLS", 64)
-    monkeypatch.setattr(exact, "MAX_CELLS", 64)
+    monkeypatch.setattr(exact, "MIN_WORDS", 1)
+    monkeypatch.setattr(exact, "ROWS_PER_WORD", 600)
     texts = [prose(4, k % 400) for k in range(600)]
     found = exact.dedup(documents(spark, texts), Scratch(spark)).collect()
     expected = brute(list(enumerate(texts)))
     assert {(r.id, r.group_size) for r in found} == {(k, expected[t.replace(" ", "")][1]) for k, t in enumerate(texts)}
 
 
-def test_filter_passes_unique_rows(spark):
-    texts = [f"text {k}" for k in range(2000)] + ["text 7"]
-    rows = Scratch(spark).keep(exact.fingerprints(documents(spark, texts), "doc_id", "text", False), "f")
-    cells = exact.cells_for(rows.count())
-    probed = exact.probe(rows, exact.repeated_positions(rows, cells), cells)
+def test_many_slices_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(exact, "MIN_WORDS", 1)
+    monkeypatch.setattr(exact, "SLICE_WORDS", 16)
+    monkeypatch.setattr(exact, "BLOCK", 8)
+    texts = [prose(4, k % 400) for k in range(600)] + [None, "", "hot"] + ["hot"] * 300
+    found = exact.dedup(documents(spark, texts), Scratch(spark), carry=True).collect()
+    expected = brute(list(enumerate(texts)))
+    key = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
+    assert len(found) == len(texts)
+    assert {(r.id, r.keep_id, r.group_size) for r in found} == {(k, *expected[key(t)][:2]) for k, t in enumerate(texts)}
+    assert all(r.row.doc_id == r.id for r in found)
+
+
+@pytest.mark.parametrize("slice_words", [1 << 22, 1000])
+def test_filter_passes_unique_rows(spark, monkeypatch, slice_words):
+    """However many slices there are, fewer than 1 % of unique rows are taken for repeats, and no repeat is missed."""
+    monkeypatch.setattr(exact, "SLICE_WORDS", slice_words)
+    texts = [f"text {k}" for k in range(40_000)] + ["text 7"] + ["text 8"] * 500
+    scratch = Scratch(spark)
+    words = exact.words_for(len(texts))
+    rows = scratch.keep(exact.numbered_for_probing(exact.fingerprints(documents(spark, texts), "doc_id", "text", False), words), "f")
+    found = scratch.keep(exact.repeated_bits(rows, words), "filter")
+    probed = exact.probe(rows, found, words, scratch, "probed")
     maybe = {r.id for r in probed.where("maybe").collect()}
-    assert {7, 2000} <= maybe and len(maybe) < 60
+    assert {7, 8, *range(40_000, 40_501)} <= maybe and len(maybe) < 503 + 400
+    assert probed.count() == len(texts)
+
+
+def test_first_pass_moves_words_only(spark):
+    """What is shuffled to build the filter: a word's number and bits, added up before."""
+    rows = exact.fingerprints(documents(spark, AWKWARD), "doc_id", "text", False)
+    plan = exact.repeated_bits(rows, 1024)._jdf.queryExecution().executedPlan().toString()
+    exchanged = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(exchanged) == 2 and all("hashpartitioning(word" in line for line in exchanged) and "Generate" not in plan
 
 
 def test_empty_table(spark):
