@@ -140,9 +140,9 @@ class Vocabulary:
         totals = sums + 0.5 * (bucket_types - np.bincount(of_apart, minlength=len(buckets)) + 1)
         return cls(keys, counts, leaves, of_bucket, totals, np.sort(frequencies)[::-1], tokens, types, int(rank[0]))
 
-    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Leaf, count (-1 where the table does not say) and log10 of the probability within the leaf, without the
-        word's own count where that is not known."""
+    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Leaf, count (-1 where the table does not say), log10 of the probability by counts alone (0 where it does not say)
+        and of that within the leaf, without the word's own count where that is not known."""
         unique, inverse = np.unique(hashes, return_inverse=True)
         buckets = bucket_of(unique, len(self.of_bucket))
         leaves, counts = self.of_bucket[buckets], np.full(len(unique), -1, np.int64)
@@ -152,8 +152,10 @@ class Vocabulary:
             leaves[known], counts[known] = self.leaves[at[known]], self.counts[at[known]]
         leaves[unique == END] = self.end
         inner = np.where(leaves == self.of_bucket[buckets], -np.log10(self.bucket_totals[buckets]), 0)
-        inner[(inner != 0) & (counts >= 0)] += np.log10(counts[(inner != 0) & (counts >= 0)] + 0.5)
-        return leaves[inverse], counts[inverse], inner[inverse]
+        smooth = np.log10(np.maximum(counts, 0) + 0.5)
+        inner[(inner != 0) & (counts >= 0)] += smooth[(inner != 0) & (counts >= 0)]
+        base = np.where(counts >= 0, smooth - math.log10(self.base_total), 0)
+        return leaves.take(inverse), counts.take(inverse), base.take(inverse), inner.take(inverse)
 
     @property
     def base_total(self) -> float:
@@ -244,8 +246,12 @@ class Model:
         order = np.argsort(places)
         ranked = places[order]
         begin = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        rows = ranked[begin]
-        step = np.add.reduceat(gradients.take(order, axis=0), begin, axis=0)
+        rows, sizes = ranked[begin], np.diff(begin, append=len(places))
+        step = gradients.take(order.take(begin), axis=0)
+        several = np.flatnonzero(sizes > 1)  # Most rows have one gradient, which needs no sum.
+        if len(several):
+            sizes_of, grouped = sizes[several], order[np.repeat(sizes > 1, sizes)]
+            step[several] = np.add.reduceat(gradients.take(grouped, axis=0), np.cumsum(sizes_of) - sizes_of, axis=0)
         step /= np.float32(BATCH)
         squares = self.squares[group].take(rows) + np.einsum("ij,ij->i", step, step) / np.float32(SIZE)
         self.squares[group][rows] = squares
@@ -379,9 +385,8 @@ def encode(narrow: DataFrame, words: Vocabulary) -> DataFrame:
             for part, data, offsets in blocks(batch, "text"):
                 n = len(offsets) - 1
                 hashes, rows = tokens_of(data, offsets)
-                leaves, found, inner = table.look_up(hashes)
+                leaves, found, base, inner = table.look_up(hashes)
                 here = found >= 0
-                base = np.where(here, np.log10((np.maximum(found, 0) + 0.5) / table.base_total), 0)
                 bounds = np.searchsorted(rows, np.arange(n + 1))
                 key = _keys(hashes, bounds, part.column("id"))
                 cuts = np.searchsorted(rows[~here], np.arange(n + 1)).astype(np.int32)

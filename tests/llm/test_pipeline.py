@@ -68,4 +68,4 @@ def test_empty_tables(spark, tmp_path, text):
 
 
 def test_only_expressible_queries_have_sql():
-    assert set(ORACLE) == {"op2_exact_dedup", "op7_warc"}
+    assert set(ORACLE) == {"op2_exact_dedup", "op7_warc", "op11_centroids", "op12_decontaminate"}
