@@ -1,6 +1,10 @@
 import math
 import random
 import re
+import zlib
+from collections import Counter
+
+import pytest
 
 from palimpsest.llm import urls
 from palimpsest.storage import Scratch
@@ -30,6 +34,10 @@ def pages(spark):
     for k in range(600):
         host = draw.choice(hosts) + draw.choice(["", ".com", ".net", ".example.org", ".COM"])
         rows.append((k, f"http://{host}{draw.choice(tails)}", f"<title>The weather blog news, free bets and cheap pills {k}</title>"))
+    for k, host in enumerate(["casino", "win", "free", "bets", "cheap", "pills"] * 5):  # The rules teach which words are bad.
+        rows.append((2000 + k, f"http://{host}{k}.com/de/x", ""))
+    for k, host in enumerate(["news", "weather", "blog"] * 40):
+        rows.append((3000 + k, f"http://{host}{k}.{('com/fr/x', 'org/de/x', 'org/en/x', 'org/es/x')[k % 4]}", ""))
     rows += [(None, None, None), (1000, "no scheme", ""), (1001, "://", None), (1002, "http://é.ÉXAMPLE.org/é", ""), (3, "http://a.org", "")]
     rows += [(1003, "http://" + "a" * 5000 + ".net/" + "b" * 5000, "")]
     return spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'x' as host", "'y' as path", "'z' as words"), rows
@@ -47,8 +55,8 @@ def test_rows(spark):
             assert row.verdict == verdicts[row.rule]
         elif row.host in ("casino-win.net", "freebets.net", "cheappills.net"):
             assert row.verdict == "block", row
-        elif row.host in ("news.net", "blog.weather.net", "weatherblog.net"):
-            assert row.verdict == "allow", row
+        elif row.host in ("news.net", "blog.weather.net", "weatherblog.net") and not row.path.lower().startswith("/de/"):
+            assert row.verdict == "allow", row  # Paths that a rule blocks elsewhere speak against any host.
     words = {r.host: r.words for r in found}
     assert words["weatherblog.net"].startswith("weather blog") and words["freebets.net"].startswith("free bets")
 
@@ -75,5 +83,67 @@ def test_splitting_against_all_ways():
         assert abs(sum(map(cost, urls.split_name(name, pieces, total))) - max(ways)) < 1e-9
 
 
+def test_long_names_and_words(spark):
+    """A word of 30 letters is found whole, and a long name without words stays whole."""
+    long = "pneumonoultramicroscopicsilico"
+    rows = [(k, f"http://{long}weather{k}.net/", f"<p>{long} weather {long}</p><b>{'weather ' * 50}</b>") for k in range(5)]
+    rows += [(9, "http://" + "qz" * 200 + ".net/", "")]
+    found = {r.page_id: r.words.split() for r in urls.judge(spark.createDataFrame(rows, SCHEMA), Scratch(spark)).collect()}
+    assert found[0][:2] == [long, "weather"] and found[9][0] == "qz" * 200
+
+
+def plain_model(rows):
+    """Naive Bayes taught by rules and refined by the other urls, with dictionaries. rows: (host words, path, rule's verdict)."""
+    words = lambda row: [zlib.crc32(w.encode()) % urls.BUCKETS for w in [*row[0], *re.findall("[a-z]+", row[1].lower())]]
+    labelled, weights = [Counter(), Counter()], [0.0, 0.0]
+    for row in rows:
+        if row[2]:
+            labelled[row[2] == "block"].update(words(row))
+            weights[row[2] == "block"] += 1
+
+    def fitted(counts, weights):
+        used = set(counts[0]) | set(counts[1])
+        totals = [sum(c.values()) + urls.SMOOTHING * len(used) for c in counts]
+        odds = {b: math.log((counts[1][b] + urls.SMOOTHING) / totals[1]) - math.log((counts[0][b] + urls.SMOOTHING) / totals[0]) for b in used}
+        return lambda row: math.log((weights[1] + 1) / (weights[0] + 1)) + sum(odds.get(b, 0.0) for b in words(row))
+
+    score = fitted(labelled, weights)
+    for _ in range(urls.EM_ROUNDS):
+        counts, mass = [Counter(c) for c in labelled], list(weights)
+        for row in rows:
+            if not row[2]:
+                block = round(1000 / (1 + math.exp(-max(-50, min(50, score(row)))))) / 1000
+                for c, share in ((0, 1 - block), (1, block)):
+                    mass[c] += urls.UNLABELLED * share
+                    for b in words(row):
+                        counts[c][b] += urls.UNLABELLED * share
+        score = fitted(counts, mass)
+    return score
+
+
+@pytest.mark.parametrize("data", ["sample", "sf0.01"])
+def test_scores_and_verdicts_of_a_plain_model(spark, data):
+    table = pages(spark)[0] if data == "sample" else spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    known = urls.with_words(table, Scratch(spark), "page_id", "url", "html", urls.RULES).collect()
+    score = plain_model([(r.words, r.path, r.verdict) for r in known])
+    expected = sorted(((r.page_id, r.host, r.path, rule(r.host, r.path)[1], score((r.words, r.path))) for r in known), key=repr)
+    found = urls.judge(table, Scratch(spark)).collect()
+    got = sorted(((r.page_id, r.host, r.path, r.rule and r.verdict, r.score) for r in found), key=repr)
+    for one, other in zip(got, expected, strict=True):
+        assert one[:4] == other[:4] and one[4] == pytest.approx(other[4], abs=1e-6)
+    for r in found:
+        if r.rule is None:
+            assert r.verdict == ("block" if r.score > 0 and r.words else "allow")
+
+
+def test_held_out_hosts(spark):
+    """Verdicts on hosts that the model was not taught with, over the pages of scale factor 0.1."""
+    table = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    known = urls.with_words(table, Scratch(spark), "page_id", "url", "html", urls.RULES)
+    right, total = urls.held_out_accuracy(known)
+    print(f"held out: {right} of {total}")
+    assert total > 100 and right / total > 0.9
+
+
 def test_empty_table(spark):
     assert urls.judge(spark.createDataFrame([], SCHEMA), Scratch(spark)).count() == 0
