@@ -10,7 +10,8 @@ its freest choice under `or`, as its strictest part under `and`. Without any lab
 
 * Null text counts as empty: no words, null places, empty labels, score 0.
 * Rows are scanned one by one, so repeated rows give repeated results. An empty table gives an empty result.
-* Other columns of the input take no part. A text of any length is scanned whole.
+* Other columns of the input take no part. A text of any length is scanned whole, in time proportional to its length
+  and some 40 times its size of memory (a Python object for each word).
 * An expression that does not parse adds no label.
 """
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import ahocorasick
 import pyarrow as pa
@@ -60,28 +62,30 @@ _SEPARATE = bytes(
     c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 0x20 if 0x41 <= c <= 0x5A else 0x20 for c in range(256)
 )
 _TOKEN = re.compile(r"[\x20\t]*(\(|\)|[a-z0-9][a-z0-9.+-]*)")
-_automata: dict[str, ahocorasick.Automaton] = {}
+_PLACED = {  # By phrase between spaces: the phrase's spaces, its label, whether it is a base phrase.
+    f" {phrase} ": (phrase.count(" "), label, base)
+    for phrases, base in ((PHRASES, False), (BASE_PHRASES, True))
+    for phrase, label in phrases.items()
+}
 
 
-def _automaton(name: str, words: dict) -> ahocorasick.Automaton:
-    if name not in _automata:
-        found = ahocorasick.Automaton()
-        for word, value in words.items():
-            found.add_word(word, value)
-        found.make_automaton()
-        _automata[name] = found
-    return _automata[name]
+@cache
+def _automaton(name: str) -> ahocorasick.Automaton:
+    found = ahocorasick.Automaton()
+    for word, value in (_PLACED if name == "phrases" else dict.fromkeys(TAGS, True)).items():
+        found.add_word(word, value)
+    found.make_automaton()
+    return found
 
 
 def phrase_places(words: list[bytes]) -> list[tuple[int, str, bool]]:
     """(first word, label, whether a base phrase) of all places."""
     text = (b" " + b" ".join(words) + b" ").decode()
-    table = {f" {phrase} ": (phrase, label, base) for phrases, base in ((PHRASES, False), (BASE_PHRASES, True)) for phrase, label in phrases.items()}
     places, word, seen = [], 0, 0
-    for last, (phrase, label, base) in _automaton("phrases", table).iter(text):
+    for last, (spaces, label, base) in _automaton("phrases").iter(text):
         word += text.count(" ", seen, last)  # Spaces before the last one: words up to the end of the phrase.
         seen = last
-        places.append((word - 1 - phrase.count(" "), label, base))
+        places.append((word - 1 - spaces, label, base))
     return places
 
 
@@ -97,19 +101,22 @@ def label_of(name: str) -> str:
 def parse(text: str, at: int = 0) -> tuple[list[str], float] | None:
     """Labels and freedom of the licence expression that begins at `at` of a lower-case text and ends with its line.
 
-    Shunting yard: `with` binds closest, then `and`, then `or`. None if it does not parse.
+    Shunting yard: `with` binds closest, then `and`, then `or`. None if it does not parse. Operands lie side by side, so
+    the labels of all are one list, of which the topmost operand has the end.
     """
     ranks = {"or": 1, "and": 2, "with": 3}
-    values: list[tuple[list[str], float]] = []
+    labels: list[str] = []
+    values: list[tuple[int, float]] = []  # Of each operand: where its labels begin, its freedom.
     operators: list[str] = []
     wants_value = True
 
     def apply() -> None:
-        operator, right, left = operators.pop(), values.pop(), values.pop()
+        operator, (middle, right), (first, left) = operators.pop(), values.pop(), values.pop()
         if operator == "with":  # An exception adds leave, so it does not take any away.
-            values.append(left)
+            del labels[middle:]
+            values.append((first, left))
         else:
-            values.append((left[0] + right[0], (max if operator == "or" else min)(left[1], right[1])))
+            values.append((first, (max if operator == "or" else min)(left, right)))
 
     while token := _TOKEN.match(text, at):
         word = token[1]
@@ -120,7 +127,8 @@ def parse(text: str, at: int = 0) -> tuple[list[str], float] | None:
                 return None
             else:
                 label = label_of(word)
-                values.append(([label], FREEDOM.get(label, UNKNOWN)))
+                values.append((len(labels), FREEDOM.get(label, UNKNOWN)))
+                labels.append(label)
                 wants_value = False
         elif word in ranks:
             while operators and operators[-1] != "(" and ranks[operators[-1]] >= ranks[word]:
@@ -138,7 +146,7 @@ def parse(text: str, at: int = 0) -> tuple[list[str], float] | None:
         return None
     while operators:
         apply()
-    return values[0]
+    return labels, values[0][1]
 
 
 def scan_text(text: str) -> tuple[int, int, int | None, int | None, str, str, float]:
@@ -152,7 +160,7 @@ def scan_text(text: str) -> tuple[int, int, int | None, int | None, str, str, fl
     labels = {p[1] for p in places}
     freedoms = [FREEDOM[label] for label in labels]
     lower = raw.lower().decode()
-    for last, _ in _automaton("tags", dict.fromkeys(TAGS, True)).iter(lower):
+    for last, _ in _automaton("tags").iter(lower):
         if expression := parse(lower, last + 1):
             labels.update(expression[0])
             freedoms.append(expression[1])

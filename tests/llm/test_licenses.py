@@ -2,6 +2,7 @@ import random
 import re
 
 from helpers_llm import awkward, documents
+from pyspark.sql import functions as F
 
 from palimpsest.llm import licenses
 
@@ -49,3 +50,20 @@ def test_expressions():
 
 def test_empty_table(spark):
     assert licenses.scan(documents(spark, [])).count() == 0
+
+
+def test_clashing_names(spark):
+    docs = awkward(spark).withColumns({"n_words": F.lit("x"), "labels": F.lit("y"), "score": F.lit(None).cast("string")})
+    texts = [r.text for r in docs.collect()]
+    found = licenses.scan(docs)
+    assert found.columns == [f.split()[0] for f in licenses.RESULT.split(", ")]
+    for text, row in zip(texts, found.collect(), strict=True):
+        assert (row.n_words, row.n_base, row.first_word, row.last_word, row.base_labels) == brute(text)
+
+
+def test_long_expressions():
+    """In time proportional to their length, chained or nested."""
+    names = [f"lic{k}" for k in range(100_000)]
+    assert licenses.parse(" or ".join(names)) == (names, licenses.UNKNOWN)
+    assert licenses.parse(" or (".join(names[:50_000]) + ")" * 49_999) == (names[:50_000], licenses.UNKNOWN)
+    assert licenses.parse("mit with a and (isc with b or cc0)") == (["mit", "isc", "cc0"], 0.9)
