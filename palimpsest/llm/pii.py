@@ -89,9 +89,9 @@ def _phone(text: str, at: int) -> tuple[int, int] | None:
     return (at, end) if end >= at + 4 else None
 
 
-def _url(text: str, at: int) -> tuple[int, int] | None:
+def _url(text: str, at: int, floor: int) -> tuple[int, int] | None:
     start = at
-    while start > 0 and at - start < 32 and text[start - 1] in _SCHEME:
+    while start > floor and text[start - 1] in _SCHEME:  # No scheme holds `://`, so a text is walked over once.
         start -= 1
     rest = _USERINFO.match(text, at + 3)
     return (start, rest.end()) if rest and start < at else None
@@ -158,7 +158,7 @@ def find(text: str) -> list[Span]:
                     spans.append((found[0], 3, found[1]))
                 after[kind] = found[1]
         elif kind == "url":
-            if found := _url(text, at):
+            if found := _url(text, at, after[kind]):
                 spans.append((found[0], 4, found[1]))
                 after[kind] = found[1]
         else:

@@ -73,3 +73,10 @@ def test_hostile_lengths_take_linear_time():
 
 def test_empty_table(spark):
     assert pii.scan(documents(spark, [])).count() == 0
+
+
+def test_schemes_of_any_length():
+    scheme = "a" * 5000
+    assert pii.find(f"({scheme}://me:pw@host") == [(1, pii.KINDS.index("url"), 1 + len(scheme) + len("://me:pw@host"))]
+    many = "b://" * 100_000 + "me@h"  # Found in time proportional to the length.
+    assert [s[1] for s in pii.find(many)] == [pii.KINDS.index("url")]
