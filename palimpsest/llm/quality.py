@@ -2,12 +2,14 @@
 
 Two multinomials over hashed n-grams of bytes are counted, one from trusted documents and one from all. A text's
 score is the mean over its n-grams of log p(trusted) - log p(raw), so length does not matter. Every document is
-compared with one threshold; nothing is sampled or drawn.
+compared with one threshold, which comes from the scores of all labelled documents. Only the fit of the trusted multinomial
+has a bound, TRUSTED_ROWS.
 
 * Null text counts as empty: no words, score 0, `base_failed`.
 * Rows are judged one by one, so repeated rows and repeated ids give repeated results.
 * An empty table gives an empty result; without trusted documents every score is 0 and only base rules decide.
-* Other columns of the input, whatever their names, take no part.
+* Other columns of the input, whatever their names, can be carried along in `row`.
+* Very long texts are judged whole, in some 60 times the size of the longest one of memory.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ TAIL = 0.002  # Share of trusted texts allowed near the threshold.
 
 COUNTS = "bucket int, trusted long, raw long"
 SCORES = (
-    "id long, label int, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+    "id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "base_failed boolean, score double"
 )
 _SYMBOL = np.zeros(256, bool)
@@ -63,22 +65,30 @@ class Model:
     threshold: float | None = None
 
 
-def labelled_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """(id, label) of at most `rows` ids of each label, chosen by a hash; ids with both labels count as 0."""
-    ids = (
+def all_labels(labels: DataFrame) -> DataFrame:
+    """(id, label), a row per labelled id; ids with both labels count as 0."""
+    return (
         labels.where("doc_id is not null and quality is not null")
-        .groupBy(F.col("doc_id").alias("id"))
+        .groupBy(F.col("doc_id").cast("long").alias("id"))
         .agg(F.min("quality").cast("int").alias("label"))
     )
+
+
+def labelled_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
+    """(id, label) of at most `rows` ids of each label, chosen by a hash."""
+    ids = all_labels(labels)
     chosen = [ids.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(rows) for k in (0, 1)]
     return chosen[0].unionByName(chosen[1])
 
 
-def _with_labels(docs: DataFrame, id: str, text: str, sample: DataFrame, carry: bool = False) -> DataFrame:
-    narrow = docs.select(
+def _narrow(docs: DataFrame, id: str, text: str, carry: bool = False) -> DataFrame:
+    return docs.select(
         F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"), *[F.struct("*").alias("row")] * carry
     )
-    return narrow.join(F.broadcast(sample), "id", "left")  # At most 2 * TRUSTED_ROWS rows of two numbers.
+
+
+def _with_labels(docs: DataFrame, id: str, text: str, sample: DataFrame) -> DataFrame:
+    return _narrow(docs, id, text).join(F.broadcast(sample), "id", "left")  # At most 2 * TRUSTED_ROWS rows of two numbers.
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,19 +148,17 @@ def describe(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 def score(
     docs: DataFrame,
-    labels: DataFrame,
     model: Model,
     id: str = "doc_id",
     text: str = "text",
-    rows: int = TRUSTED_ROWS,
     carry: bool = False,
 ) -> DataFrame:
-    """Base counts and score of every document: id, label (of the sample, else null), counts, base_failed, score.
+    """Base counts and score of every document: id, counts, base_failed, score.
 
     With `carry` also `row`, a struct of all columns of the document.
     """
     ratios = model.ratios
-    narrow = _with_labels(docs, id, text, labelled_ids(labels, rows), carry)
+    narrow = _narrow(docs, id, text, carry)
     schema = StructType.fromDDL(SCORES)
     if carry:
         schema.add(narrow.schema["row"])
@@ -164,17 +172,21 @@ def score(
                 total = np.bincount(of, ratios[bucket], minlength=n)
                 mean = total / np.maximum(1, np.bincount(of, minlength=n))
                 failed = (base["n_words"] < 10) | (100 * base["n_repeat_words"] > 20 * base["n_words"])
-                arrays = [part.column("id"), part.column("label"), *map(pa.array, base.values()), pa.array(failed), pa.array(mean)]
+                arrays = [part.column("id"), *map(pa.array, base.values()), pa.array(failed), pa.array(mean)]
                 arrays += [part.column(name) for name in ["row"] * carry]
                 yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
     return narrow.mapInArrow(judge, schema)
 
 
-def threshold(scored: DataFrame) -> float | None:
-    """Halfway between the low tail of trusted texts and the middle of untrusted ones, but not above that tail."""
+def threshold(scored: DataFrame, labels: DataFrame) -> float | None:
+    """Halfway between the low tail of trusted texts and the middle of untrusted ones, but not above that tail.
+
+    All labelled documents count. Ids and scores are all that is joined; Spark shuffles them if there are many labels.
+    """
     good, bad = F.col("label") == 1, F.col("label") == 0
-    low, middle = scored.where("not base_failed").agg(
+    judged = scored.where("not base_failed and id is not null").select("id", "score").join(all_labels(labels), "id")
+    low, middle = judged.agg(
         F.percentile_approx(F.when(good, F.col("score")), TAIL, 10_000),
         F.percentile_approx(F.when(bad, F.col("score")), 0.5, 10_000),
     ).first()
@@ -194,7 +206,7 @@ def judge_quality(
 ) -> DataFrame:
     """One row per document: id, the base counts, base_failed, score and kept; with `carry` also `row`, its columns."""
     model = fit(docs, labels, id, text, rows)
-    scored = scratch.keep(score(docs, labels, model, id, text, rows, carry), "quality")
-    limit = threshold(scored)
+    scored = scratch.keep(score(docs, model, id, text, carry), "quality")
+    limit = threshold(scored, labels)
     fine = F.lit(True) if limit is None else F.col("score") >= limit
-    return scored.withColumn("kept", ~F.col("base_failed") & fine).drop("label")
+    return scored.withColumn("kept", ~F.col("base_failed") & fine)

@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -69,3 +70,47 @@ def test_counts_cover_all_rows(spark):
 def test_empty_table(spark):
     empty = quality.judge_quality(documents(spark, []), spark.createDataFrame([], LABELS), Scratch(spark))
     assert empty.count() == 0
+
+
+def test_threshold_covers_all_labels(spark):
+    """Labels beyond those that the model is fitted on count, at any bound of the fit."""
+    scored = spark.createDataFrame([(k, False, float(k)) for k in range(1000)] + [(2000, True, -9.0), (None, False, -9.0)], "id long, base_failed boolean, score double")
+    labels = spark.createDataFrame([(k, int(k >= 500)) for k in range(0, 1000, 2)] + [(2000, 1), (None, 1), (3000, 1)], LABELS)
+    good, bad = [k for k in range(500, 1000, 2)], [k for k in range(0, 500, 2)]
+    assert quality.threshold(scored, labels) == (good[0] + bad[124]) / 2
+    assert quality.threshold(scored, labels.where("quality = 0")) is None
+    assert quality.threshold(scored, labels.where("quality = 1")) == good[0] - 1
+    docs = documents(spark, [prose(120, k) for k in range(40)])
+    known = spark.createDataFrame([(k, 1) for k in range(40)], LABELS)
+    found = quality.judge_quality(docs, known, Scratch(spark), rows=3).collect()
+    assert all(r.kept for r in found)  # The lowest of all labelled scores sets the limit, not that of three.
+
+
+def test_plain_scores(spark):
+    """Scores and verdicts of a whole table by a plain version."""
+    texts = [prose(60, k) for k in range(60)] + [prose(60, 500 + k).replace("e", "q") for k in range(40)]
+    labels = {k: int(k < 60) for k in range(0, 100, 3)}
+    found = quality.judge_quality(documents(spark, texts), spark.createDataFrame(list(labels.items()), LABELS), Scratch(spark)).collect()
+
+    def grams(text):
+        data = text.encode()
+        for k in range(len(data) - 3):
+            yield (int.from_bytes(data[k : k + 4], "big") * 2654435761 % 2**32) >> 16
+
+    raw = Counter(g for text in texts for g in grams(text))
+    trusted = Counter(g for k, text in enumerate(texts) if labels.get(k) == 1 for g in grams(text))
+    sizes = [sum(counts.values()) + 0.5 * quality.BUCKETS for counts in (trusted, raw)]
+
+    def plain(text):
+        logs = [math.log((trusted[g] + 0.5) / sizes[0] / ((raw[g] + 0.5) / sizes[1])) for g in grams(text)]
+        return sum(logs) / len(logs)
+
+    scores = [plain(text) for text in texts]
+    passed = {k: not brute(texts[k])["base_failed"] for k in labels}
+    good = sorted(scores[k] for k, v in labels.items() if v and passed[k])
+    bad = sorted(scores[k] for k, v in labels.items() if not v and passed[k])
+    limit = min(good[0], (good[0] + bad[(len(bad) - 1) // 2]) / 2)
+    for row in found:
+        assert abs(row.score - scores[row.id]) < 1e-5
+        if abs(scores[row.id] - limit) > 1e-5:
+            assert row.kept == (scores[row.id] >= limit and not row.base_failed)
