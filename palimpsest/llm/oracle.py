@@ -1,6 +1,6 @@
 """The queries that SQL can express, for DuckDB."""
 
-from palimpsest.llm import centroids
+from palimpsest.llm import centroids, licenses, urls
 
 
 def _clusters() -> str:
@@ -52,7 +52,120 @@ WORDS = r"""regexp_extract_all(
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'
     )"""
 
+# crc32 of a number's decimal digits: a table for one byte, then a step per digit.
+CRC_TABLE = """(SELECT list(list_reduce(range(8), lambda c, k: if(c & 1 = 1, xor(c >> 1, 3988292384), c >> 1), n) ORDER BY n)
+    FROM range(256) AS t(n))"""
+CRC = """xor(list_reduce(
+        list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda d: ascii(d)::BIGINT),
+        lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]), 4294967295
+    ), 4294967295)"""
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(f"'{value}'" for value in row) + ")" for row in rows)
+
+
 ORACLE = {
+    "base_pii": r"""
+        WITH found AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS emails,
+                regexp_extract_all(coalesce(text, ''), '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)') AS ips,
+                list_transform(
+                    regexp_extract_all(coalesce(text, ''), '[0-9]([\x20-]?[0-9])+'), lambda m: regexp_replace(m, '[^0-9]', '', 'g')
+                ) AS numbers,
+                list_transform(
+                    regexp_extract_all(coalesce(text, ''), '\+[0-9][\x20().0-9-]+[0-9]'), lambda m: regexp_replace(m, '[^0-9]', '', 'g')
+                ) AS phones
+            FROM documents
+        )
+        SELECT doc_id, len(emails) AS n_email,
+            len(list_filter(
+                ips, lambda m: len(list_filter(string_split(m, '.'), lambda p: coalesce(try_cast(p AS BIGINT), 256) > 255)) = 0
+            )) AS n_ip,
+            len(list_filter(numbers, lambda m: length(m) BETWEEN 14 AND 19 AND list_sum(list_transform(
+                range(length(m)),
+                lambda k: if(
+                    k % 2 = 0, m[length(m) - k]::INTEGER,
+                    m[length(m) - k]::INTEGER * 2 - if(m[length(m) - k]::INTEGER > 4, 9, 0)
+                )
+            )) % 10 = 0)) AS n_card,
+            len(list_filter(phones, lambda m: length(m) BETWEEN 10 AND 15)) AS n_phone
+        FROM found
+    """,
+    "base_licenses": f"""
+        WITH phrases AS (
+            SELECT string_split(phrase, ' ') AS ps, label FROM (VALUES {_values(licenses.BASE_PHRASES.items())}) AS t(phrase, label)
+        ), docs AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, doc_id, {WORDS} AS ws FROM documents
+        ), places AS (
+            SELECT r, i - 1 AS place, label FROM phrases, docs, unnest(range(1, len(ws) - len(ps) + 2)) AS t(i)
+            WHERE ws[i] = ps[1] AND ws[i : i + len(ps) - 1] = ps
+        ), found AS (
+            SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+                string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+            FROM places GROUP BY r
+        )
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels
+        FROM docs LEFT JOIN found USING (r)
+    """,
+    "base_quality": r"""
+        WITH docs AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+            FROM documents
+        ), grams AS (
+            SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS times FROM (
+                SELECT r, i, array_to_string(ws[i : i + 4], ' ') AS gram FROM docs, unnest(range(1, len(ws) - 3)) AS t(i)
+            )
+        ), repeated AS (
+            SELECT r, count(DISTINCT i + j) AS n FROM grams, range(5) AS s(j) WHERE times > 1 GROUP BY r
+        ), lines AS (
+            SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs)
+            WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+        ), counts AS (
+            SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+                length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+                coalesce(lines.n, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words
+            FROM docs LEFT JOIN lines USING (r) LEFT JOIN repeated USING (r)
+        )
+        SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts
+    """,
+    "base_urls": rf"""
+        WITH cut AS (
+            SELECT row_number() OVER () AS r, page_id,
+                CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+            FROM pages
+        ), parts AS MATERIALIZED (
+            SELECT r, page_id, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+                translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+            FROM cut
+        ), rules(verdict, name, start) AS (VALUES {_values(urls.RULES)}), fits AS (
+            SELECT r, max_by(name || start, length(name || start)) AS rule, max_by(rules.verdict, length(name || start)) AS verdict
+            FROM parts JOIN rules ON (host = name OR suffix(host, '.' || name)) AND starts_with(path, start) GROUP BY r
+        )
+        SELECT page_id, host, path, rule, verdict FROM parts LEFT JOIN fits USING (r)
+    """,
+    "base_scores": rf"""
+        WITH docs AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, doc_id, {CRC} % 5 = 1 AND doc_id IS NOT NULL AS held_out,
+                list_append(regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'
+                ), ' ') AS ws
+            FROM documents, (SELECT {CRC_TABLE} AS crcs)
+        ), tokens AS MATERIALIZED (
+            SELECT r, held_out, w, count(*) AS k FROM (SELECT r, held_out, unnest(ws) AS w FROM docs) GROUP BY ALL
+        ), counts AS MATERIALIZED (
+            SELECT w, sum(k)::BIGINT AS c FROM tokens WHERE NOT held_out GROUP BY w
+        ), totals AS (
+            SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM counts
+        ), sums AS (
+            SELECT r, sum(k)::BIGINT AS n_tokens, coalesce(sum(k) FILTER (c > 0), 0)::BIGINT AS n_known,
+                sum(k * log10((coalesce(c, 0) + 0.5::DOUBLE) / (n + 0.5::DOUBLE * (v + 1)))) AS s
+            FROM tokens LEFT JOIN counts USING (w), totals GROUP BY r
+        )
+        SELECT doc_id, held_out, n_tokens, n_known, n AS train_tokens, round(s, 3) AS base_score
+        FROM docs JOIN sums USING (r), totals
+    """,
     "op2_exact_dedup": r"""
         WITH texts AS (
             SELECT doc_id, length(coalesce(text, '')) AS n_chars,

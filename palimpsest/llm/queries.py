@@ -86,10 +86,38 @@ def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id").drop("n_words")
 
 
+# The columns of operators 1, 5, 8, 9 and 10 that SQL can express.
+
+
+def base_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
+def base_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_licenses(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def base_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_quality(spark, sf_dir).drop("score", "kept")
+
+
+def base_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the verdicts of rules only."""
+    ruled = F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("verdict")
+    return op9_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule", ruled)
+
+
+def base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores to three places, as sums of floats depend on their order."""
+    rounded = F.round("base_score", 3).alias("base_score")
+    return op10_lm_score(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", rounded)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii, op2_exact_dedup, op3_packing, op4_sentencepiece, op5_licenses, op6_near_dedup, op7_warc, op8_quality,
         op9_url_filter, op10_lm_score, op11_centroids, op12_decontaminate, op13_resample,
+        base_pii, base_licenses, base_quality, base_urls, base_scores,
     )
 }
