@@ -65,7 +65,7 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(f"'{value}'" for value in row) + ")" for row in rows)
 
 
-ORACLE = {
+BASE_ORACLE = {  # Of the queries that hold some columns of an operator.
     "base_pii": r"""
         WITH found AS (
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS emails,
@@ -166,6 +166,9 @@ ORACLE = {
         SELECT doc_id, held_out, n_tokens, n_known, n AS train_tokens, round(s, 3) AS base_score
         FROM docs JOIN sums USING (r), totals
     """,
+}
+
+ORACLE = {  # Of whole results.
     "op2_exact_dedup": r"""
         WITH texts AS (
             SELECT doc_id, length(coalesce(text, '')) AS n_chars,
