@@ -32,7 +32,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether decoding them gives the text back."""
-    coded = sentencepieces.decode(sentencepieces.encode(_table(spark, sf_dir, "documents")))
+    coded = sentencepieces.round_trip(_table(spark, sf_dir, "documents"))
     text = F.translate(F.coalesce("text", F.lit("")), sentencepieces.MARK, " ")
     return coded.select(
         F.col("id").alias("doc_id"),

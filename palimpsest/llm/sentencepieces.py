@@ -195,34 +195,48 @@ def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
+def _encode_batches(batches: Iterator[pa.RecordBatch], tool: Coder) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in _slices(batch):
+            coded = tool.encode([t or "" for t in part.column("text").to_pylist()])
+            bounds = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.frombuffer(b"".join(coded), "<i4")))
+            crc = pa.array(map(zlib.crc32, coded), pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text"), ids, crc], ["id", "text", "ids", "ids_crc32"])
+
+
+def _decode_batches(batches: Iterator[pa.RecordBatch], tool: Coder) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in _slices(batch):
+            column = part.column("ids")
+            bounds, values = np.asarray(column.offsets), np.asarray(column.values)
+            texts = [tool.decode(values[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"])
+
+
+def _narrow(docs: DataFrame, id: str, text: str) -> DataFrame:
+    return docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+
+
 def encode(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = None, merges: bool = True) -> DataFrame:
     """One row per document: id, text, ids, ids_crc32 (of the ids as little-endian 32-bit numbers)."""
     path = path or model_path()
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = coder(path, merges)
-        for batch in batches:
-            for part in _slices(batch):
-                coded = tool.encode([t or "" for t in part.column("text").to_pylist()])
-                bounds = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.frombuffer(b"".join(coded), "<i4")))
-                crc = pa.array(map(zlib.crc32, coded), pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text"), ids, crc], ["id", "text", "ids", "ids_crc32"])
-
-    narrow = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    return narrow.mapInArrow(work, ENCODED)
+    return _narrow(docs, id, text).mapInArrow(lambda batches: _encode_batches(batches, coder(path, merges)), ENCODED)
 
 
 def decode(coded: DataFrame, path: str | None = None, merges: bool = True) -> DataFrame:
     """With the column `decoded`. `coded` is what `encode` returns."""
     path = path or model_path()
+    return coded.mapInArrow(lambda batches: _decode_batches(batches, coder(path, merges)), f"{ENCODED}, decoded string")
+
+
+def round_trip(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = None, merges: bool = True) -> DataFrame:
+    """What `decode` returns for what `encode` returns. Both work in one process for each task, which holds the
+    tables once, and ids go from one to the other in slices."""
+    path = path or model_path()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = coder(path, merges)
-        for batch in batches:
-            column = batch.column("ids")
-            bounds, values = np.asarray(column.offsets), np.asarray(column.values)
-            texts = [tool.decode(values[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+        return _decode_batches(_encode_batches(batches, tool), tool)
 
-    return coded.mapInArrow(work, f"{ENCODED}, decoded string")
+    return _narrow(docs, id, text).mapInArrow(work, f"{ENCODED}, decoded string")

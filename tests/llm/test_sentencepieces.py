@@ -3,9 +3,11 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import sentencepiece
 from helpers_llm import awkward, documents, prose
 
+from palimpsest.llm import queries
 from palimpsest.llm import sentencepieces as sp
 
 
@@ -58,3 +60,25 @@ def test_rows(spark):
 
 def test_empty_table(spark):
     assert sp.decode(sp.encode(documents(spark, []))).count() == 0
+
+
+def test_round_trip_holds_tables_once(spark, tmp_path):
+    """The query's encoder and decoder share a process, and give what they give one after the other."""
+    docs = awkward(spark)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op4_sentencepiece(spark, str(tmp_path))
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    alone = sp.decode(sp.encode(docs)).collect()
+    assert sorted(sp.round_trip(docs).collect(), key=repr) == sorted(alone, key=repr)
+    assert found.count() == len(alone) and found.where("round_trip").count() == len(alone)
+
+
+def test_decoder_goes_by_slices():
+    tool = sp.coder(sp.model_path(), True)
+    texts = [f"line {k}" for k in range(1000)] + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["id", "text"])
+    whole = pa.Table.from_batches(sp._encode_batches(iter([batch]), tool)).combine_chunks().to_batches()
+    assert len(whole) == 1
+    parts = list(sp._decode_batches(iter(whole), tool))
+    assert max(part.num_rows for part in parts) <= 256
+    assert [t for part in parts for t in part.column("decoded").to_pylist()] == [t or "" for t in texts]
