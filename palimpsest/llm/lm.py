@@ -446,6 +446,12 @@ def _cut(shards: int, end: int):
     return work
 
 
+def deal(rows: DataFrame, shards: int, end: int) -> DataFrame:
+    """(shard, place, words): parts of texts, each shard in a task of its own. By a hash of their numbers some tasks would get several
+    shards and others none."""
+    return rows.mapInArrow(_cut(shards, end), "shard int, place long, words binary").repartitionById(shards, "shard")
+
+
 def shards_for(tokens: int) -> int:
     return max(1, int(tokens // (ROUNDS * max(SHARD_TOKENS, SHARD_ROOT * math.sqrt(tokens)))))
 
@@ -496,6 +502,7 @@ def _train_shards(held, seed: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = _unpacked(*held.value)
         shard = model = draw = None
+        held_back = 0  # Tokens in the pool.
         pool: list[tuple[np.ndarray, ...]] = []
 
         def use(columns: tuple[np.ndarray, ...]) -> None:
@@ -519,11 +526,13 @@ def _train_shards(held, seed: int):
                     if pool:
                         fill(pool, 1)
                         yield from _changes(model, start, shard)
-                    shard, model, draw, pool = now, start.copy(), np.random.default_rng([SEED, seed, now]), []
+                    shard, model, draw, pool, held_back = now, start.copy(), np.random.default_rng([SEED, seed, now]), [], 0
                 words = data[a:b]
                 pool.append((words[1:-1], words[:-2], words[2:]))
-                if sum(len(p[0]) for p in pool) >= POOL:
+                held_back += b - a - 2
+                if held_back >= POOL:
                     pool = fill(pool, POOL)
+                    held_back = len(pool[0][0])
         if pool:
             fill(pool, 1)
             yield from _changes(model, start, shard)
@@ -548,8 +557,7 @@ def train(encoded: DataFrame, words: Vocabulary, shards: int | None = None) -> M
     for turn in range(ROUNDS):
         held = context.broadcast(_packed(model))
         rows = encoded.where(~F.col("held_out") & (F.col("turn") == turn)).select("key", "words")
-        dealt = rows.mapInArrow(_cut(shards, words.end), "shard int, place long, words binary")
-        dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "place", "words")
+        dealt = deal(rows, shards, words.end).sortWithinPartitions("shard", "place", "words")
         kind = "kind long, first long"
         sent = dealt.mapInArrow(_train_shards(held, turn), f"{kind}, shard long, at binary, data binary, squares binary")
         merged = sent.repartition("kind", "first").sortWithinPartitions("kind", "first", "shard")

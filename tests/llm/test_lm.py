@@ -1,9 +1,11 @@
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers_llm import awkward, documents, prose
 
@@ -200,3 +202,22 @@ def test_extra_columns_with_clashing_names(spark):
     for name in ("h", "c", "held_out", "turn", "words", "n_tokens", "base"):
         docs = docs.withColumn(name, docs["lang"])
     assert lm.score(docs, Scratch(spark)).count() == docs.count()
+
+
+@pytest.mark.parametrize("shards", [3, 12, 39])
+def test_each_shard_has_a_task(spark, shards):
+    schema = "key long, words binary"
+    rows = spark.createDataFrame([(k * 7919, bytearray(np.arange(3, dtype=np.int32).tobytes())) for k in range(40 * shards)], schema)
+    tasks = lm.deal(rows, shards, 0).select("shard").rdd.glom().map(lambda part: len({r.shard for r in part})).collect()
+    assert tasks == [1] * shards
+
+
+def test_many_short_texts_fill_pools_in_time():
+    """What training does for a text must not grow with the texts that wait with it."""
+    model = random_model(50)
+    held = type("Held", (), {"value": lm._packed(model)})
+    n = 40_000
+    rows = pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array([np.arange(4, dtype=np.int32).tobytes()] * n)], ["shard", "words"])
+    start = time.process_time()
+    assert list(lm._train_shards(held, 0)(iter([rows])))
+    assert time.process_time() - start < 10
