@@ -59,6 +59,7 @@ CUT = 1 << 15  # Tokens of a text that go to one shard together.
 RUN = 1 << 19  # Tokens scored at once.
 PART = 2048  # Rows of parameters merged together.
 CELLS = 1 << 17  # Logits held at once when scoring.
+STRIDE = 1 << 13  # Predicted vectors made at once when scoring.
 SEED = 20240101
 END = np.uint64(0x5F3A9D0C47E1B286)  # Stands for the hash of the end.
 
@@ -226,7 +227,7 @@ class Model:
         for depth in range(1, paths.shape[1]):
             deep = np.flatnonzero(paths[:, depth] >= 0)
             target = paths[deep, depth]
-            drawn = np.searchsorted(tree.mass, tree.low.take(target) + tree.width.take(target) * draw.random(len(deep)), "right") - 1
+            drawn = _searched(tree.mass, tree.low.take(target) + tree.width.take(target) * draw.random(len(deep))) - 1
             drawn = np.minimum(drawn, tree.last.take(target) - 1)
             here, vectors, others = predicted.take(deep, axis=0), self.node.take(target, axis=0), self.node.take(drawn, axis=0)
             pull = _pull(np.einsum("ij,ij->i", here, vectors))[:, None]
@@ -238,30 +239,38 @@ class Model:
         of_scale = np.stack([np.einsum("ij,ij->j", of_predicted, c1), np.einsum("ij,ij->j", of_predicted, c2)])
         self._step(1, np.concatenate(places), np.concatenate(of_nodes))
         self._step(0, np.concatenate([w1, w2]), np.concatenate([of_predicted * self.scale[0], of_predicted * self.scale[1]]))
-        self._step(2, np.arange(2), of_scale)
+        self._move(2, np.arange(2), of_scale)
 
     def _step(self, group: int, places: np.ndarray, gradients: np.ndarray) -> None:
         """Moves the rows at `places`, which may repeat, by the sums of their gradients."""
-        places = places.astype(np.int32)
+        places = places.astype(np.int32, copy=False)
         order = np.argsort(places)
-        ranked = places[order]
-        begin = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        rows, sizes = ranked[begin], np.diff(begin, append=len(places))
+        ranked = places.take(order)
+        edges = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1], [True]]))
+        begin, sizes = edges[:-1], edges[1:] - edges[:-1]
         step = gradients.take(order.take(begin), axis=0)
         several = np.flatnonzero(sizes > 1)  # Most rows have one gradient, which needs no sum.
         if len(several):
             sizes_of, grouped = sizes[several], order[np.repeat(sizes > 1, sizes)]
             step[several] = np.add.reduceat(gradients.take(grouped, axis=0), np.cumsum(sizes_of) - sizes_of, axis=0)
+        self._move(group, ranked.take(begin), step)
+
+    def _move(self, group: int, rows: np.ndarray, step: np.ndarray) -> None:
+        """Moves distinct rows by their gradients, which are overwritten."""
         step /= np.float32(BATCH)
         squares = self.squares[group].take(rows) + np.einsum("ij,ij->i", step, step) / np.float32(SIZE)
         self.squares[group][rows] = squares
         step *= (np.float32(RATE) / np.sqrt(squares + np.float32(1e-10)))[:, None]
-        self.groups[group][rows] = self.groups[group].take(rows, axis=0) + step
+        step += self.groups[group].take(rows, axis=0)
+        self.groups[group][rows] = step
 
     def log_chances(self, w1: np.ndarray, w2: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Natural logs of the probabilities of leaves after their contexts."""
         paths, vectors = self.tree.paths.take(words, axis=0), self.logit_vectors
-        predicted = self.context.take(w1, axis=0) * self.scale[0] + self.context.take(w2, axis=0) * self.scale[1]
+        predicted = np.empty((len(words), SIZE), np.float32)
+        for at in range(0, len(words), STRIDE):  # What is read by chance and what is made of it stay in the cache.
+            part = slice(at, at + STRIDE)
+            np.add(self.context.take(w1[part], axis=0) * self.scale[0], self.context.take(w2[part], axis=0) * self.scale[1], out=predicted[part])
         logs = np.zeros(len(words))
         for depth in range(paths.shape[1]):
             some = np.flatnonzero(paths[:, depth] >= 0)
@@ -295,6 +304,14 @@ def _push(logit: np.ndarray) -> np.ndarray:
         return -1 / (1 + np.exp(-logit))
 
 
+def _searched(edges: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """searchsorted(edges, values, "right"); in rising order neighbours are found in the same places of memory."""
+    order = np.argsort(values)
+    found = np.empty(len(values), np.int64)
+    found[order] = np.searchsorted(edges, values.take(order), "right")
+    return found
+
+
 def _log_sums(predicted: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """For each row the log of the sum of exp(predicted . vector) over all vectors."""
     rows = max(16, CELLS // len(vectors))
@@ -302,9 +319,10 @@ def _log_sums(predicted: np.ndarray, vectors: np.ndarray) -> np.ndarray:
         return np.concatenate([_log_sums(predicted[at : at + rows], vectors) for at in range(0, len(predicted), rows)])
     logits = predicted @ vectors.T
     with np.errstate(over="ignore", divide="ignore"):
-        sums = np.exp(logits) @ np.ones(len(vectors), np.float32)  # Much faster than sum().
+        sums = np.exp(logits, out=logits) @ np.ones(len(vectors), np.float32)  # Much faster than sum().
         result = np.log(sums)
     if not (sums.min() > 1e-20 and sums.max() < 1e30):
+        logits = predicted @ vectors.T
         top = logits.max(axis=1, keepdims=True)
         result = np.log(np.exp(logits - top).sum(axis=1)) + top[:, 0]
     return result
